@@ -328,3 +328,7 @@ def mail_flatten(spark, sf_dir):
     raw = tables.raw_mail(tables.table(spark, sf_dir, "documents"), tables.table(spark, sf_dir, "pages"))
     parts = mail.explode_content(mail.flatten_mail(raw))
     return parts.select("msg_no", "pos", "msg_type", F.md5("content").alias("body_md5"))
+
+
+# Streaming forms register themselves into the same tables.
+from flowdex.plans import streams  # noqa: E402,F401
