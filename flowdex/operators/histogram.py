@@ -35,14 +35,16 @@ def with_documents(messages: DataFrame, field: str, value_col: str = "value") ->
 
 def field_support_by_batch(docs: DataFrame, batch_col: str = "batch") -> DataFrame:
     """``batch, histo_valu, n``: support of each value within each batch."""
-    return (docs.where(F.col(HISTO_VALU).isNotNull())
-            .groupBy(batch_col, HISTO_VALU).agg(F.count(F.lit(1)).alias("n")))
+    # Missing values are dropped after the aggregation, through the count of
+    # non-null values (0 only for the NULL group).  A filter on the key itself
+    # would be pushed below the aggregate and evaluate the whole parse twice.
+    return (docs.groupBy(batch_col, HISTO_VALU).agg(F.count(HISTO_VALU).alias("n"))
+            .where(F.col("n") > 0))
 
 
 def field_support(docs: DataFrame) -> DataFrame:
     """``histo_valu, n``: global support (the final state of the running histogram)."""
-    return (docs.where(F.col(HISTO_VALU).isNotNull())
-            .groupBy(HISTO_VALU).agg(F.count(F.lit(1)).alias("n")))
+    return docs.groupBy(HISTO_VALU).agg(F.count(HISTO_VALU).alias("n")).where(F.col("n") > 0)
 
 
 def running_support(by_batch: DataFrame, batch_col: str = "batch") -> DataFrame:
