@@ -58,15 +58,27 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_ROOT: str | None = None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a temp folder only when unset."""
+    global _LOCAL_ROOT
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="flowdex-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    try:
+        sc = spark.sparkContext
+        root = sc.getCheckpointDir()
+    except Exception:  # no SparkContext on this client
+        sc = None
+    if root:
+        return root.rstrip("/")
+    if _LOCAL_ROOT is None:
+        _LOCAL_ROOT = tempfile.mkdtemp(prefix="flowdex-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(_LOCAL_ROOT)
+    return _LOCAL_ROOT
 
 
 def work_dir(spark: SparkSession, *parts: str) -> str:

@@ -35,10 +35,12 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     as many splits as cores (any large table on a cluster) are left untouched:
     no extra shuffle at scale.  Filters and column pruning still reach the scan.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no SparkContext on this client (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 # The two log files of the reference's report query.

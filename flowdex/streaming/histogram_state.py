@@ -1,20 +1,26 @@
-"""Running histogram across micro-batches, kept as a versioned state table.
-
-Version ``b`` (folder ``<state_dir>/v=<b>``) holds ``histo_valu, n`` = support of
-every value over micro-batches 0..b.  Batch ``b`` reads version ``b-1``, adds its
-own counts (pre-aggregated per value before the union), writes version ``b``
-and joins its messages to it.  Re-running a batch id rewrites the same version
-from the same predecessor, so a replay after an executor or driver failure
-gives the same state and the same documents.
-
-The state lives on the shared checkpoint filesystem, never in the driver; the
-join to it is planned with the file's real size (broadcast only under the
-planner's threshold, sort-merge / skew-split join above it).
+"""Running histogram across micro-batches, kept as snapshot + delta tables.
+
+Layout under ``state_dir`` (on the shared checkpoint filesystem):
+
+* ``delta/b=<id>``    ``histo_valu, n``: counts of micro-batch ``id`` only;
+* ``snapshot/s=<id>`` ``histo_valu, n``: support over batches ``0..id``, written
+  after every ``compact_every``-th batch (ids ``K-1, 2K-1, ...``).
+
+Batch ``b`` writes its delta (work proportional to the batch, not to the
+state), then reads the latest snapshot before ``b`` plus the deltas after it
+(at most ``K``), **semi-joined to the values present in the batch**, and sums
+them: that is the support of each of its values over batches ``<= b``.  Only
+every ``K`` batches does a compaction rewrite the whole state.
+
+Every file a batch writes is a pure function of the batch and of files of
+earlier batches, so a batch re-run after an executor or driver failure
+rewrites the same files and produces the same documents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,46 +30,79 @@ from flowdex.functions.documents import HISTO_SUPP, HISTO_VALU, doc_to_json, his
 from flowdex.operators.histogram import field_support, with_documents
 
 STATE_SCHEMA = f"{HISTO_VALU} string, n bigint"
+DEFAULT_COMPACT_EVERY = 10
 
 
 class HistogramState:
-    def __init__(self, state_dir: str, field: str):
+    def __init__(self, state_dir: str, field: str, compact_every: int = DEFAULT_COMPACT_EVERY):
+        if compact_every < 1:
+            raise ValueError("compact_every must be >= 1")
         self.state_dir = state_dir.rstrip("/")
         self.field = field
+        self.compact_every = compact_every
+
+    # ------------------------------------------------------------ layout
+    def delta_path(self, batch_id: int) -> str:
+        return f"{self.state_dir}/delta/b={int(batch_id)}"
+
+    def snapshot_path(self, batch_id: int) -> str:
+        return f"{self.state_dir}/snapshot/s={int(batch_id)}"
 
-    def version_path(self, batch_id: int) -> str:
-        return f"{self.state_dir}/v={int(batch_id)}"
+    def base_snapshot(self, batch_id: int) -> int:
+        """Id of the latest snapshot strictly before ``batch_id`` (-1: none)."""
+        return (batch_id // self.compact_every) * self.compact_every - 1
+
+    def is_snapshot_batch(self, batch_id: int) -> bool:
+        return (batch_id + 1) % self.compact_every == 0
+
+    # ------------------------------------------------------------ reading
+    def _read(self, spark: SparkSession, path: str) -> DataFrame:
+        return spark.read.schema(STATE_SCHEMA).parquet(path)
+
+    def _parts(self, spark: SparkSession, batch_id: int) -> list[DataFrame]:
+        """Snapshot before ``batch_id`` and the deltas after it up to ``batch_id`` (one scan)."""
+        base = self.base_snapshot(batch_id)
+        parts = [self._read(spark, self.snapshot_path(base))] if base >= 0 else []
+        deltas = [self.delta_path(b) for b in range(base + 1, batch_id + 1)]
+        parts.append(spark.read.schema(STATE_SCHEMA).parquet(*deltas))
+        return parts
 
     def load(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """State after ``batch_id``; None before the first batch."""
+        """Full state after ``batch_id`` (None before the first batch or if it was never run)."""
         if batch_id < 0:
             return None
         try:
-            return spark.read.schema(STATE_SCHEMA).parquet(self.version_path(batch_id))
+            parts = self._parts(spark, batch_id)
         except AnalysisException:
             return None
+        return _sum_parts(parts)
 
+    # ------------------------------------------------------------ writing
     def advance(self, docs: DataFrame, batch_id: int) -> DataFrame:
-        """Merge this batch's counts into version ``batch_id - 1``; write and return version ``batch_id``.
-
-        An empty batch still writes a version (the previous state, carried over).
-        """
+        """Record this batch; return the support (over batches <= ``batch_id``) of its values."""
         spark = docs.sparkSession
-        counts = field_support(docs)
-        previous = self.load(spark, batch_id - 1)
-        merged = counts if previous is None else (
-            previous.unionByName(counts).groupBy(HISTO_VALU).agg(F.sum("n").alias("n")))
-        merged.write.mode("overwrite").parquet(self.version_path(batch_id))
-        return spark.read.schema(STATE_SCHEMA).parquet(self.version_path(batch_id))
+        field_support(docs).write.mode("overwrite").parquet(self.delta_path(batch_id))
+        parts = self._parts(spark, batch_id)
+        if self.is_snapshot_batch(batch_id):
+            _sum_parts(parts).write.mode("overwrite").parquet(self.snapshot_path(batch_id))
+            return self._read(spark, self.snapshot_path(batch_id))
+        present = self._read(spark, self.delta_path(batch_id)).select(HISTO_VALU)
+        union = reduce(lambda a, b: a.unionByName(b), parts)
+        return _sum_parts([union.join(present, HISTO_VALU, "left_semi")])
 
     def enrich_batch(self, batch: DataFrame, batch_id: int, value_col: str = "value",
                      keep: Sequence[str] = ()) -> DataFrame:
         """One micro-batch -> enriched documents (``doc``, ``histo_valu``, ``histo_supp``, JSON ``value``)."""
         docs = with_documents(batch, self.field, value_col)
-        state = self.advance(docs, batch_id).withColumnRenamed("n", HISTO_SUPP)
-        joined = docs.join(state, HISTO_VALU, "left")
+        support = self.advance(docs, batch_id).withColumnRenamed("n", HISTO_SUPP)
+        joined = docs.join(support, HISTO_VALU, "left")
         tagged = F.when(F.col(HISTO_VALU).isNotNull(),
                         merge_docs("doc", histogram_tags(self.field, HISTO_VALU, HISTO_SUPP))
                         ).otherwise(F.col("doc"))
         return joined.select(*keep, tagged.alias("doc"), HISTO_VALU, HISTO_SUPP,
                              doc_to_json(tagged).alias("value"))
+
+
+def _sum_parts(parts: list[DataFrame]) -> DataFrame:
+    union = reduce(lambda a, b: a.unionByName(b), parts)
+    return union.groupBy(HISTO_VALU).agg(F.sum("n").alias("n"))

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -17,12 +19,13 @@ def _window_oracle(df):
     return {r["id"]: r["s"] for r in df.select("id", F.count(F.lit(1)).over(w).alias("s")).collect()}
 
 
-def test_fold_property_random_batches(spark):
+@pytest.mark.parametrize("compact_every", [1, 2, 10])
+def test_fold_property_random_batches(spark, compact_every):
     rng = random.Random(7)
     rows = [(i, rng.randrange(4), rng.choice("aaaabbc")) for i in range(300)]  # skewed values
     df = spark.createDataFrame(rows, "id int, b int, v string")
     msgs = df.select("id", "b", F.to_json(F.struct("v")).alias("value"))
-    state = HistogramState(work_dir(spark, "fold"), "v")
+    state = HistogramState(work_dir(spark, "fold"), "v", compact_every)
     got = {}
     for b in range(4):
         batch = msgs.where(F.col("b") == b).select("id", "value")
