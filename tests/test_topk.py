@@ -2,12 +2,15 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from flowdex.operators.topk import top_k_per_group
 
 
-def test_top_k_matches_brute_force(spark):
+@pytest.mark.parametrize("threshold", ["1000", "0"])
+def test_top_k_matches_brute_force(spark, threshold):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", threshold)
     rng = random.Random(3)
     rows = [("hot" if rng.random() < 0.4 else f"g{rng.randrange(5)}", f"h{i}", rng.randrange(20))
             for i in range(2000)]
@@ -18,4 +21,5 @@ def test_top_k_matches_brute_force(spark):
     for g in {r[0] for r in rows}:
         members = sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], r[1]))
         expected.extend(members[:7])
+    spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     assert got == sorted(expected)
