@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flowdex.functions.text import decode_utf8
@@ -120,14 +120,16 @@ INTERACTION_SCHEMA = "event_id bigint, event_type string, value double"
 
 def interaction_feed(interactions: DataFrame, query: str | None = None,
                      schema: str = INTERACTION_SCHEMA, delete_col: str = "is_delete",
-                     value_col: str = "interaction", keep: Sequence[str] = ()) -> DataFrame:
+                     value_col: str = "interaction", keep: Sequence[str] = (),
+                     observation: Observation | str = "interaction_feed") -> DataFrame:
     """Interactions -> JSON text messages.
 
-    Delete events never enter the stream (their number is observable as the
-    ``deleted`` metric).  ``query`` replaces the vendor's server-side filter: a
-    Spark SQL predicate over the interaction's fields.
+    Delete events never enter the stream; their number is the ``deleted``
+    metric of ``observation`` (an ``Observation`` on tables, a metric name
+    reported to query listeners on streams).  ``query`` replaces the vendor's
+    server-side filter: a Spark SQL predicate over the interaction's fields.
     """
-    flagged = interactions.observe("interaction_feed",
+    flagged = interactions.observe(observation,
                                    F.sum(F.col(delete_col).cast("long")).alias("deleted"))
     live = flagged.where(~F.coalesce(F.col(delete_col), F.lit(False)))
     # Passthrough columns and the message are parked under private names so the

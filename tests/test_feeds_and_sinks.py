@@ -1,6 +1,7 @@
 """Feed operators on hand-written rows; Kafka / index option builders (no broker)."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from flowdex.sinks import index as index_sink
@@ -63,8 +64,11 @@ def test_interaction_feed_and_status(spark):
             (2, True, '{"event_id":2,"event_type":"error","value":70.0}'),
             (3, False, '{"event_id":3,"event_type":"click","value":10.0}')]
     df = spark.createDataFrame(rows, "event_id bigint, is_delete boolean, interaction string")
-    out = feeds.interaction_feed(df, query="value > 50 AND event_type <> 'x'", keep=["event_id"]).collect()
+    obs = Observation("deletes")
+    out = feeds.interaction_feed(df, query="value > 50 AND event_type <> 'x'", keep=["event_id"],
+                                 observation=obs).collect()
     assert [r["event_id"] for r in out] == [1]
+    assert obs.get == {"deleted": 1}
     st = spark.createDataFrame([(True, False, "m"), (False, True, "m"), (False, False, "m")],
                                "is_error boolean, is_info boolean, message string")
     assert [r[0] for r in feeds.status_messages(st).collect()] == ["Error:\nm", "Info:\nm", "Warning:\nm"]
