@@ -16,6 +16,7 @@ from flowdex.operators.documents import doc_fields, prepare_documents
 from flowdex.plans.analyzers import HistogramAnalyzer, SqlAnalyzer
 from flowdex.plans.catalog import L, RUNNING, MAIL_PARTS, register
 from flowdex.session import work_dir
+from flowdex.sinks.files import batch_sink, write_batch
 from flowdex.sinks.index import index_path, index_sink, write_index
 from flowdex.sources import feeds, mail, tables
 from flowdex.streaming import replay
@@ -74,9 +75,7 @@ def histogram_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     analyzer = HistogramAnalyzer("host", f"{base}/state", keep=["event_id"])
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        (df.select("event_id", HISTO_VALU, HISTO_SUPP, F.lit(batch_id).alias("batch_id"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out))
+        write_batch(df.select("event_id", HISTO_VALU, HISTO_SUPP), out, batch_id)
 
     source = lambda d: spark.readStream.schema("event_id bigint, value string").parquet(d)
     _replayed_stream(spark, msgs, ["event_id", "value"], "parquet", source, analyzer, sink, base)
@@ -112,10 +111,7 @@ def log_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = tables.log_messages(tables.table(spark, sf_dir, "events"))
     analyzer = SqlAnalyzer(render=False)
 
-    def sink(df: DataFrame, batch_id: int) -> None:
-        (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out))
+    sink = batch_sink(out)
 
     source = lambda d: feeds.read_text_feed(spark, d)
     _replayed_stream(spark, msgs, ["value"], "text", source, analyzer, sink, base)

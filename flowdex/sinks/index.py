@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowdex.sinks.files import write_batch
+
 CONNECTOR_FORMAT = "org.elasticsearch.spark.sql"
 
 
@@ -34,7 +36,7 @@ def write_index(docs: DataFrame, target: str, batch_id: int = 0, doc_col: str =
     """Write one batch of documents.
 
     ``fmt`` = ``parquet``/``json``: ``target`` is the index directory; the
-    batch's partition is replaced (dynamic partition overwrite).
+    batch's folder ``batch_id=<id>`` is replaced.
     ``fmt`` = the connector format: ``target`` is unused, ``options`` address
     the cluster; the map is written as the document body.
     """
@@ -42,9 +44,7 @@ def write_index(docs: DataFrame, target: str, batch_id: int = 0, doc_col: str =
     if fmt == CONNECTOR_FORMAT:
         (docs.select(*cols).write.format(fmt).options(**(options or {})).mode("append").save())
         return
-    (docs.select(*cols, F.lit(int(batch_id)).cast("bigint").alias("batch_id"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").format(fmt).save(target))
+    write_batch(docs.select(*cols), target, batch_id, fmt)
 
 
 def index_sink(target: str, doc_col: str = "doc", id_col: str | None = None, fmt: str = "parquet",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flowdex.functions.documents import HISTO_SUPP, HISTO_VALU
 from flowdex.plans.analyzers import HistogramAnalyzer, SqlAnalyzer
 from flowdex.session import work_dir
+from flowdex.sinks.files import write_batch
 from flowdex.streaming.histogram_state import HistogramState
 from flowdex.streaming.runner import start_indexing, trigger_of
 
@@ -63,9 +64,7 @@ def test_stream_restart_from_checkpoint(spark):
     analyzer = HistogramAnalyzer("v", f"{base}/state")
 
     def sink(df, batch_id):
-        (df.select("value", HISTO_SUPP, F.lit(batch_id).alias("batch_id"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(out))
+        write_batch(df.select("value", HISTO_SUPP), out, batch_id)
 
     def run_once():
         src = spark.readStream.text(feed)
