@@ -63,8 +63,14 @@ def enrich(messages: DataFrame, field: str, batch_col: str = "batch",
     """
     docs = with_documents(messages, field, value_col)
     support = running_support(field_support_by_batch(docs, batch_col), batch_col)
-    support = support.withColumnRenamed("n", HISTO_SUPP)
-    joined = docs.join(support, [batch_col, HISTO_VALU], "left")
+    support = support.select(F.col(batch_col).alias("__sb"), F.col(HISTO_VALU).alias("__sv"),
+                             F.col("n").alias(HISTO_SUPP))
+    # Null-safe equality on the value (the support side has no NULL value, so the
+    # result is the same): a plain equi-join would let the optimizer infer
+    # ``isnotnull(histo_valu)`` and push it through the aggregate into the scan,
+    # evaluating the whole JSON parse twice per message.
+    cond = (F.col(batch_col) == F.col("__sb")) & F.col(HISTO_VALU).eqNullSafe(F.col("__sv"))
+    joined = docs.join(support, cond, "left").drop("__sb", "__sv")
     tagged = F.when(F.col(HISTO_VALU).isNotNull(),
                     merge_docs("doc", histogram_tags(field, HISTO_VALU, HISTO_SUPP))
                     ).otherwise(F.col("doc"))
