@@ -170,3 +170,39 @@ def read_text_feed(spark: SparkSession, path: str, streaming: bool = True,
     if streaming and files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
     return reader.text(path)
+
+
+# --------------------------------------------- feed openers (source -> value stream)
+
+def open_kafka_feed(spark: SparkSession, options: dict[str, str], streaming: bool = True) -> DataFrame:
+    """Kafka records -> text messages (key dropped), with topic/partition/offset kept."""
+    records = read_kafka(spark, options, streaming)
+    return record_values(records, keep=["topic", "partition", "offset"])
+
+
+def open_shard_feed(spark: SparkSession, shard_paths: Sequence[str], fmt: str = "parquet",
+                    schema: str = "value binary", value_col: str = "value",
+                    streaming: bool = True) -> DataFrame:
+    """One source per shard folder, unioned, bytes decoded as UTF-8 text."""
+    reader = spark.readStream if streaming else spark.read
+    shards = [reader.schema(schema).format(fmt).load(p) for p in shard_paths]
+    return record_values(union_shards(shards), value_col)
+
+
+def open_frame_feed(spark: SparkSession, path: str, topic: str = "", fmt: str = "parquet",
+                    schema: str = "frames array<binary>", frames_col: str = "frames",
+                    streaming: bool = True) -> DataFrame:
+    """Multi-frame messages subscribed by topic prefix (frame 0), every frame one message."""
+    reader = spark.readStream if streaming else spark.read
+    messages = reader.schema(schema).format(fmt).load(path)
+    subscribed = subscribe_prefix(messages.withColumn("__topic", topic_frame(frames_col)), topic, "__topic")
+    return flatten_frames(subscribed.drop("__topic"), frames_col)
+
+
+def open_interaction_feed(spark: SparkSession, path: str, query: str | None = None,
+                          fmt: str = "parquet",
+                          schema: str = "is_delete boolean, interaction string",
+                          streaming: bool = True) -> DataFrame:
+    """Interaction rows -> JSON messages, deletes dropped, ``query`` applied."""
+    reader = spark.readStream if streaming else spark.read
+    return interaction_feed(reader.schema(schema).format(fmt).load(path), query=query)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from flowdex.plans.analyzers import Analyzer, apply_analyzer
@@ -18,10 +18,21 @@ from flowdex.plans.analyzers import Analyzer, apply_analyzer
 Sink = Callable[[DataFrame, int], None]
 
 
-def trigger_of(batch_seconds: float | None = None, available_now: bool = False) -> dict:
-    """``spark.batch.duration`` seconds -> a processing-time trigger; tests use available-now."""
+BATCH_DURATION_CONF = "spark.batch.duration"
+
+
+def trigger_of(batch_seconds: float | None = None, available_now: bool = False,
+               spark: SparkSession | None = None) -> dict:
+    """Micro-batch interval in seconds -> a processing-time trigger; tests use available-now.
+
+    Without ``batch_seconds`` the interval is read from the session's
+    ``spark.batch.duration`` setting (5 seconds when that is unset too).
+    """
     if available_now:
         return {"availableNow": True}
+    if batch_seconds is None and spark is not None:
+        configured = spark.conf.get(BATCH_DURATION_CONF, None)
+        batch_seconds = float(configured) if configured else None
     return {"processingTime": f"{batch_seconds or 5} seconds"}
 
 

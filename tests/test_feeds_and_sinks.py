@@ -101,3 +101,37 @@ def test_sender_rendering_and_page(spark):
     mails = spark.range(100).select(F.col("id").alias("msg_no"), F.lit("inbox").alias("folder"))
     assert [r["msg_no"] for r in mail.mail_page(mails, take=3, drop=5).collect()] == [5, 6, 7]
     assert mail.mail_page(mails, folder="other").count() == 0
+
+
+def test_feed_openers_batch_and_stream(spark):
+    from flowdex.session import work_dir
+    base = work_dir(spark, "openers")
+    for i in range(2):
+        spark.createDataFrame([(bytearray(f"m{i}".encode()),)], "value binary").write.parquet(f"{base}/shard{i}")
+    shard_paths = [f"{base}/shard0", f"{base}/shard1"]
+    assert sorted(r["value"] for r in feeds.open_shard_feed(spark, shard_paths, streaming=False).collect()) == ["m0", "m1"]
+    frames = spark.createDataFrame([([bytearray(b"logs"), bytearray(b"a")],), ([bytearray(b"other"), bytearray(b"b")],)],
+                                   "frames array<binary>")
+    frames.write.parquet(f"{base}/frames")
+    got = feeds.open_frame_feed(spark, f"{base}/frames", topic="lo", streaming=False).collect()
+    assert sorted((r["pos"], r["value"]) for r in got) == [(0, "logs"), (1, "a")]
+    inter = spark.createDataFrame([(False, '{"event_id":1,"event_type":"v","value":9.0}'),
+                                   (True, '{"event_id":2,"event_type":"e","value":9.0}')],
+                                  "is_delete boolean, interaction string")
+    inter.write.parquet(f"{base}/inter")
+    q = (feeds.open_interaction_feed(spark, f"{base}/inter", query="value > 1").writeStream
+         .format("memory").queryName("inter_feed").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert [r["value"] for r in spark.sql("select value from inter_feed").collect()] == [
+        '{"event_id":1,"event_type":"v","value":9.0}']
+
+
+def test_trigger_from_batch_duration(spark):
+    from flowdex.streaming.runner import trigger_of
+    assert trigger_of(available_now=True) == {"availableNow": True}
+    assert trigger_of(2) == {"processingTime": "2 seconds"}
+    spark.conf.set("spark.batch.duration", "3")
+    try:
+        assert trigger_of(spark=spark) == {"processingTime": "3.0 seconds"}
+    finally:
+        spark.conf.unset("spark.batch.duration")
