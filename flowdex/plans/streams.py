@@ -49,9 +49,7 @@ def index_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = index_path(work_dir(spark, "index"), "logs", "message")
     docs = prepare_documents(tables.log_messages(tables.table(spark, sf_dir, "events")), keep=["event_id"])
     write_index(docs, target, batch_id=0, id_col="event_id")
-    written = spark.read.parquet(target)
-    return doc_fields(written.withColumnRenamed("_id", "event_id"), ["host", "path", "lineno"],
-                      keep=["event_id"])
+    return doc_fields(spark.read.parquet(target), ["host", "path", "lineno"], keep=["event_id"])
 
 
 def _replayed_stream(spark, msgs: DataFrame, columns, fmt: str, source_of, analyzer, sink, base: str):

@@ -19,8 +19,13 @@ CONNECTOR_FORMAT = "org.elasticsearch.spark.sql"
 
 def index_options(nodes: str, port: int | str, index: str, mapping: str,
                   id_col: str | None = None) -> dict[str, str]:
-    """Connector settings: nodes, port and the ``index/mapping`` resource."""
-    opts = {"es.nodes": nodes, "es.port": str(port), "es.resource": f"{index}/{mapping}"}
+    """Connector settings: nodes, port, the ``index/mapping`` resource, JSON input.
+
+    Documents go to the connector as JSON text (``es.input.json``), so the flat
+    map becomes the document body; ``id_col`` names the document id field.
+    """
+    opts = {"es.nodes": nodes, "es.port": str(port), "es.resource": f"{index}/{mapping}",
+            "es.input.json": "true"}
     if id_col:
         opts["es.mapping.id"] = id_col
     return opts
@@ -30,20 +35,30 @@ def index_path(root: str, index: str, mapping: str) -> str:
     return f"{root.rstrip('/')}/{index}/{mapping}"
 
 
+def connector_documents(docs: DataFrame, doc_col: str = "doc", id_col: str | None = None) -> DataFrame:
+    """One JSON object per document (the flat map), the id as a field of the same name."""
+    doc = F.col(doc_col)
+    if id_col:
+        doc = F.map_concat(doc, F.create_map(F.lit(id_col), F.col(id_col).cast("string")))
+    return docs.select(F.to_json(doc).alias("value"))
+
+
 def write_index(docs: DataFrame, target: str, batch_id: int = 0, doc_col: str = "doc",
                 id_col: str | None = None, fmt: str = "parquet",
                 options: dict[str, str] | None = None) -> None:
     """Write one batch of documents.
 
     ``fmt`` = ``parquet``/``json``: ``target`` is the index directory; the
-    batch's folder ``batch_id=<id>`` is replaced.
-    ``fmt`` = the connector format: ``target`` is unused, ``options`` address
-    the cluster; the map is written as the document body.
+    batch's folder ``batch_id=<id>`` is replaced.  Columns: the id column
+    (when given) and ``doc``.
+    ``fmt`` = the connector format: ``target`` is unused, ``options`` (see
+    :func:`index_options`) address the cluster.
     """
-    cols = ([F.col(id_col).alias("_id")] if id_col else []) + [F.col(doc_col).alias("doc")]
     if fmt == CONNECTOR_FORMAT:
-        (docs.select(*cols).write.format(fmt).options(**(options or {})).mode("append").save())
+        (connector_documents(docs, doc_col, id_col).write.format(fmt)
+         .options(**(options or {})).mode("append").save())
         return
+    cols = ([F.col(id_col)] if id_col else []) + [F.col(doc_col).alias("doc")]
     write_batch(docs.select(*cols), target, batch_id, fmt)
 
 

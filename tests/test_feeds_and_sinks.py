@@ -37,10 +37,13 @@ def test_kafka_sink_options_and_records(spark):
     assert rec["key"] is None and bytes(rec["value"]) == b"v1" and rec["topic"] == "t"
 
 
-def test_index_options():
+def test_index_options_and_connector_documents(spark):
     assert index_sink.index_options("es1,es2", 9200, "logs", "message", id_col="id") == {
         "es.nodes": "es1,es2", "es.port": "9200", "es.resource": "logs/message",
-        "es.mapping.id": "id"}
+        "es.input.json": "true", "es.mapping.id": "id"}
+    docs = spark.createDataFrame([(7, {"a": "x"})], "id bigint, doc map<string,string>")
+    assert index_sink.connector_documents(docs, id_col="id").first()["value"] == '{"a":"x","id":"7"}'
+    assert index_sink.connector_documents(docs).first()["value"] == '{"a":"x"}'
 
 
 def test_subscriptions(spark):
