@@ -1,20 +1,24 @@
 """Running histogram across micro-batches, kept as snapshot + delta tables.
 
-Layout under ``state_dir`` (on the shared checkpoint filesystem):
+Batches are grouped in windows of ``K = compact_every``: window ``w`` holds
+batches ``wK .. wK+K-1``.  Layout under ``state_dir`` (shared checkpoint FS):
 
-* ``delta/b=<id>``    ``histo_valu, n``: counts of micro-batch ``id`` only;
-* ``snapshot/s=<id>`` ``histo_valu, n``: support over batches ``0..id``, written
-  after every ``compact_every``-th batch (ids ``K-1, 2K-1, ...``).
+* ``delta/slot=<w % 2>/b=<id>``  ``histo_valu, n``: counts of batch ``id`` only;
+* ``snapshot/slot=<w % 2>``      support over batches ``0 .. wK+K-1``, written by
+  the last batch of window ``w``.
 
 Batch ``b`` writes its delta (work proportional to the batch, not to the
-state), then reads the latest snapshot before ``b`` plus the deltas after it
-(at most ``K``), **semi-joined to the values present in the batch**, and sums
-them: that is the support of each of its values over batches ``<= b``.  Only
-every ``K`` batches does a compaction rewrite the whole state.
-
-Every file a batch writes is a pure function of the batch and of files of
-earlier batches, so a batch re-run after an executor or driver failure
-rewrites the same files and produces the same documents.
+state), then reads the snapshot of the previous window plus the deltas of its
+own window up to ``b`` (at most ``K``), **semi-joined to the values present in
+the batch**, and sums them: that is the support of each of its values over
+batches ``<= b``.  Only the last batch of a window rewrites the whole state.
+
+Storage stays bounded without any delete call: two snapshot slots and two delta
+slots alternate, a snapshot overwrites the one from two windows back, and the
+first batch of a window overwrites its delta slot, whose deltas were folded into
+a snapshot a whole window earlier.  Every file a batch writes is a pure function
+of the batch and of files no later batch replaces before it commits, so the
+latest batch re-run after an executor or driver failure rewrites the same files.
 """
 
 from __future__ import annotations
@@ -42,35 +46,41 @@ class HistogramState:
         self.compact_every = compact_every
 
     # ------------------------------------------------------------ layout
-    def delta_path(self, batch_id: int) -> str:
-        return f"{self.state_dir}/delta/b={int(batch_id)}"
+    def window(self, batch_id: int) -> int:
+        return batch_id // self.compact_every
+
+    def delta_slot(self, window: int) -> str:
+        return f"{self.state_dir}/delta/slot={window % 2}"
 
-    def snapshot_path(self, batch_id: int) -> str:
-        return f"{self.state_dir}/snapshot/s={int(batch_id)}"
+    def delta_path(self, batch_id: int) -> str:
+        return f"{self.delta_slot(self.window(batch_id))}/b={int(batch_id)}"
 
-    def base_snapshot(self, batch_id: int) -> int:
-        """Id of the latest snapshot strictly before ``batch_id`` (-1: none)."""
-        return (batch_id // self.compact_every) * self.compact_every - 1
+    def snapshot_path(self, window: int) -> str:
+        """Support over every batch up to the end of ``window``."""
+        return f"{self.state_dir}/snapshot/slot={window % 2}"
 
     def is_snapshot_batch(self, batch_id: int) -> bool:
         return (batch_id + 1) % self.compact_every == 0
 
+    def is_window_start(self, batch_id: int) -> bool:
+        return batch_id % self.compact_every == 0
+
     # ------------------------------------------------------------ reading
     def _read(self, spark: SparkSession, path: str) -> DataFrame:
         return spark.read.schema(STATE_SCHEMA).parquet(path)
 
     def _parts(self, spark: SparkSession, batch_id: int) -> list[DataFrame]:
-        """Snapshot before ``batch_id`` and the deltas after it up to ``batch_id`` (one scan)."""
-        base = self.base_snapshot(batch_id)
-        parts = [self._read(spark, self.snapshot_path(base))] if base >= 0 else []
-        deltas = [self.delta_path(b) for b in range(base + 1, batch_id + 1)]
+        """Previous window's snapshot and this window's deltas up to ``batch_id`` (one scan)."""
+        w = self.window(batch_id)
+        parts = [self._read(spark, self.snapshot_path(w - 1))] if w > 0 else []
+        deltas = [self.delta_path(b) for b in range(w * self.compact_every, batch_id + 1)]
         parts.append(spark.read.schema(STATE_SCHEMA).parquet(*deltas))
         return parts
 
     def load(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         """Full state after ``batch_id`` (None before the first batch or if it was never run)."""
         if batch_id < 0:
-            return None
+            return None  # only the latest batches are readable: older slots get reused
         try:
             parts = self._parts(spark, batch_id)
         except AnalysisException:
@@ -81,11 +91,16 @@ class HistogramState:
     def advance(self, docs: DataFrame, batch_id: int) -> DataFrame:
         """Record this batch; return the support (over batches <= ``batch_id``) of its values."""
         spark = docs.sparkSession
+        if self.is_window_start(batch_id):
+            # Empty the slot: the deltas it holds (two windows back) are in a snapshot.
+            (spark.createDataFrame([], STATE_SCHEMA).write.mode("overwrite")
+             .parquet(self.delta_slot(self.window(batch_id))))
         field_support(docs).write.mode("overwrite").parquet(self.delta_path(batch_id))
         parts = self._parts(spark, batch_id)
         if self.is_snapshot_batch(batch_id):
-            _sum_parts(parts).write.mode("overwrite").parquet(self.snapshot_path(batch_id))
-            return self._read(spark, self.snapshot_path(batch_id))
+            target = self.snapshot_path(self.window(batch_id))
+            _sum_parts(parts).write.mode("overwrite").parquet(target)
+            return self._read(spark, target)
         present = self._read(spark, self.delta_path(batch_id)).select(HISTO_VALU)
         union = reduce(lambda a, b: a.unionByName(b), parts)
         return _sum_parts([union.join(present, HISTO_VALU, "left_semi")])

@@ -37,6 +37,22 @@ def test_fold_property_random_batches(spark, compact_every):
     assert final == {k: sum(1 for _, _, v in rows if v == k) for k in "abc"}
 
 
+def test_state_storage_is_bounded(spark):
+    """Slots are reused: after many batches only two snapshots and two delta windows exist."""
+    import glob
+    import os
+    base = work_dir(spark, "bounded")
+    state = HistogramState(base, "v", compact_every=2)
+    msgs = spark.createDataFrame([(1, '{"v":"x"}'), (2, '{"v":"y"}')], "id int, value string")
+    for b in range(9):
+        out = {r["id"]: r[HISTO_SUPP] for r in state.enrich_batch(msgs, b, keep=["id"]).collect()}
+        assert out == {1: b + 1, 2: b + 1}
+    local = base.replace("file:", "")
+    assert sorted(os.path.basename(p) for p in glob.glob(f"{local}/snapshot/*")) == ["slot=0", "slot=1"]
+    deltas = sorted(os.path.basename(p) for p in glob.glob(f"{local}/delta/slot=*/b=*"))
+    assert deltas == ["b=6", "b=7", "b=8"]
+
+
 def test_replayed_batch_is_idempotent(spark):
     msgs = spark.createDataFrame([(i, '{"v":"x"}') for i in range(5)], "id int, value string")
     state = HistogramState(work_dir(spark, "idem"), "v")
