@@ -110,3 +110,40 @@ def test_sql_analyzer_per_micro_batch(spark):
                        trigger=trigger_of(available_now=True))
     q.awaitTermination()
     assert [r["value"] for r in spark.read.text(out).collect()] == ['{"host":"a","count":2,"mean":85.0}']
+
+
+def test_failed_batch_is_replayed_identically(spark):
+    """A batch that dies after writing its state is re-run from the checkpoint with the same result."""
+    from pyspark.errors import StreamingQueryException
+
+    def run(base, fail_batch):
+        feed, ckpt, out = f"{base}/feed", f"{base}/ckpt", f"{base}/out"
+        analyzer = HistogramAnalyzer("v", f"{base}/state", compact_every=2)
+        failed = []
+
+        def sink(df, batch_id):
+            write_batch(df.select("value", HISTO_SUPP), out, batch_id)
+            if batch_id == fail_batch and not failed:
+                failed.append(batch_id)
+                raise RuntimeError("executor lost")
+
+        def resume():
+            q = start_indexing(spark.readStream.text(feed), analyzer, sink, ckpt,
+                               trigger=trigger_of(available_now=True))
+            try:
+                q.awaitTermination()
+            except StreamingQueryException:
+                q = start_indexing(spark.readStream.text(feed), analyzer, sink, ckpt,
+                                   trigger=trigger_of(available_now=True))
+                q.awaitTermination()
+
+        for rows in ([('{"v":"a"}',), ('{"v":"b"}',)], [('{"v":"a"}',)], [('{"v":"a"}',), ('{"v":"c"}',)]):
+            _write_batch(spark, feed, rows)
+            resume()
+        return failed, sorted((r["batch_id"], r["value"], r[HISTO_SUPP]) for r in spark.read.parquet(out).collect())
+
+    failed, with_failure = run(work_dir(spark, "fail"), fail_batch=1)
+    _, clean = run(work_dir(spark, "clean"), fail_batch=-1)
+    assert failed == [1]
+    assert with_failure == clean
+    assert (2, '{"v":"a","histo_field":"v","histo_valu":"a","histo_supp":"3"}', 3) in clean
