@@ -225,9 +225,9 @@ def utf8_decode(spark, sf_dir):
 
 @register("topic_list", """
 select doc_id, source from documents where source in ('src0','src3','src7')""")
-def topic_list(spec_spark, sf_dir):
+def topic_list(spark, sf_dir):
     """Subscription to a comma-separated topic list."""
-    recs = tables.keyed_records(tables.table(spec_spark, sf_dir, "documents"))
+    recs = tables.keyed_records(tables.table(spark, sf_dir, "documents"))
     return feeds.subscribe_topics(recs, "src0, src3,,src7").select("doc_id", F.col("topic").alias("source"))
 
 
