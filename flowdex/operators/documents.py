@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowdex.functions.documents import doc_size, mapify
+from flowdex.session import ensure_map_policy
 
 
 def prepare_documents(messages: DataFrame, value_col: str = "value", keep: Sequence[str] = (),
@@ -17,6 +18,7 @@ def prepare_documents(messages: DataFrame, value_col: str = "value", keep: Seque
     Empty documents are still written by default, as upstream; ``drop_empty``
     removes them.
     """
+    ensure_map_policy(messages.sparkSession)
     docs = messages.select(*keep, mapify(value_col).alias("doc"))
     if drop_empty:
         docs = docs.where(doc_size("doc") > 0)

@@ -25,10 +25,12 @@ from pyspark.sql import functions as F
 
 from flowdex.functions.documents import (HISTO_SUPP, HISTO_VALU, doc_to_json, field_value,
                                          histogram_tags, mapify, merge_docs)
+from flowdex.session import ensure_map_policy
 
 
 def with_documents(messages: DataFrame, field: str, value_col: str = "value") -> DataFrame:
     """Add ``doc`` (parsed map) and ``histo_valu`` (the field's value, NULL if missing)."""
+    ensure_map_policy(messages.sparkSession)
     return (messages.withColumn("doc", mapify(value_col))
             .withColumn(HISTO_VALU, field_value("doc", field)))
 

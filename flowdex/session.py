@@ -58,6 +58,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ensure_map_policy(spark: SparkSession) -> None:
+    """Operators that build documents need duplicate map keys to resolve last-wins."""
+    if spark.conf.get("spark.sql.mapKeyDedupPolicy", None) != "LAST_WIN":
+        spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+
+
 _LOCAL_ROOT: str | None = None
 
 

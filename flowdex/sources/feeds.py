@@ -63,6 +63,17 @@ def read_kafka(spark: SparkSession, options: dict[str, str], streaming: bool = T
     return reader.format("kafka").options(**options).load()
 
 
+def record_id(topic_col: str = "topic", partition_col: str = "partition",
+              offset_col: str = "offset") -> Column:
+    """A document id from the record's broker position: ``topic:partition:offset``.
+
+    Identical messages get different ids, and a replayed record the same id, so
+    an index written with it is exactly-once under replays.
+    """
+    return F.concat_ws(":", F.col(topic_col), F.col(partition_col).cast("string"),
+                       F.col(offset_col).cast("string"))
+
+
 def subscribe_topics(records: DataFrame, topics: str | Sequence[str],
                      topic_col: str = "topic") -> DataFrame:
     """Keep records of the listed topics (what ``subscribe`` does at the broker)."""

@@ -119,6 +119,11 @@ def explode_content(emails: DataFrame) -> DataFrame:
              F.col("_c.msgType").alias("msg_type"), F.col("_c.content").alias("content"))
 
 
+def poll_trigger() -> dict:
+    """The reference's poll cadence as a Structured Streaming trigger."""
+    return {"processingTime": POLL_INTERVAL}
+
+
 def read_mail_drop(spark: SparkSession, path: str, files_per_trigger: int = POLL_BATCH) -> DataFrame:
     """Stream the mail drop folder (parquet files of raw messages), a few files per poll."""
     return (spark.readStream.schema(RAW_MAIL_SCHEMA)

@@ -138,3 +138,9 @@ def test_trigger_from_batch_duration(spark):
         assert trigger_of(spark=spark) == {"processingTime": "3.0 seconds"}
     finally:
         spark.conf.unset("spark.batch.duration")
+
+
+def test_record_id_and_poll_trigger(spark):
+    df = spark.createDataFrame([("t", 3, 42)], "topic string, partition int, offset bigint")
+    assert df.select(feeds.record_id()).first()[0] == "t:3:42"
+    assert mail.poll_trigger() == {"processingTime": "2 seconds"}

@@ -40,3 +40,11 @@ def test_work_dirs_are_fresh(spark):
 def test_email_content_rendering(spark):
     df = spark.createDataFrame([("body", "TEXT/PLAIN")], "c string, t string")
     assert df.select(render_email_content("c", "t")).first()[0] == "EmailContent(body (...),TEXT/PLAIN)"
+
+
+def test_document_operators_set_last_win(spark):
+    from flowdex.operators.documents import prepare_documents
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "EXCEPTION")
+    df = spark.createDataFrame([('{"a":"1","a":"2"}',)], "value string")
+    assert prepare_documents(df).first()["doc"] == {"a": "2"}
+    assert spark.conf.get("spark.sql.mapKeyDedupPolicy") == "LAST_WIN"
