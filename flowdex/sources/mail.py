@@ -8,12 +8,22 @@ in ``mapInPandas`` with the standard library's ``email`` parser.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The parser runs in Python workers, which may not have this package on their
+# path (it need not be installed on executors): ship this module's functions by
+# value with each task instead of by import name.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # older cloudpickle: rely on imports
+    pass
+
 # The two MIME types an email part can have, and the texts used
 # for a missing / empty sender list.
 TEXT_PLAIN = "TEXT/PLAIN"
