@@ -28,17 +28,13 @@ SHARDS = 4
 @register("shard_union", """
 select event_id, event_type from events""")
 def shard_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """N independent shard feeds unioned into one stream of messages.
+    """``SHARDS`` independent shard sources unioned into one feed.
 
-    The table is laid out once as ``SHARDS`` shard folders (hash of the id);
-    each folder is read as its own source, as one receiver per shard would.
+    Shards are the table's files when it has enough of them (no copy), else
+    hash-of-id folders written once (see :func:`tables.shard_sources`).
     """
-    base = work_dir(spark, "shards")
-    ev = tables.table(spark, sf_dir, "events").select("event_id", "event_type")
-    (ev.withColumn("shard", F.pmod(F.xxhash64("event_id"), F.lit(SHARDS)))
-     .write.partitionBy("shard").parquet(base))
-    shards = [spark.read.schema("event_id bigint, event_type string").parquet(f"{base}/shard={i}")
-              for i in range(SHARDS)]
+    shards = tables.shard_sources(spark, sf_dir, "events", ["event_id", "event_type"], SHARDS,
+                                  work_dir(spark, "shards"))
     return feeds.union_shards(shards)
 
 

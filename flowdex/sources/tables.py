@@ -13,6 +13,7 @@ DataFrame expressions, so the work grows with the tables:
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,34 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     return df.repartition(cores, df.columns[0])
 
 
+def shard_sources(spark: SparkSession, sf_dir: str, name: str, columns: list[str],
+                  shards: int, stage_dir: str) -> list[DataFrame]:
+    """``shards`` independent sources that together hold the table once.
+
+    A table stored as at least ``shards`` files is split by file: each shard
+    reads its own files, nothing is copied.  A table with fewer files (a small
+    one) is laid out once as shard folders by a hash of its leading key.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    full = spark.read.parquet(path).select(*columns)
+    schema = full.schema
+    files = sorted(full.inputFiles())
+    if len(files) >= shards:
+        return [spark.read.schema(schema).parquet(*files[i::shards]).select(*columns)
+                for i in range(shards)]
+    (full.withColumn("__shard", F.pmod(F.xxhash64(columns[0]), F.lit(shards)))
+     .write.partitionBy("__shard").parquet(stage_dir))
+    return [_read_or_empty(spark, schema, f"{stage_dir}/__shard={i}") for i in range(shards)]
+
+
+def _read_or_empty(spark: SparkSession, schema, path: str) -> DataFrame:
+    """A shard folder; a shard that received no rows has none and is empty."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
 # The two log files of the reference's report query.
 SYSTEM_LOG = "/var/log/system.log"
 AUTH_LOG = "/var/log/auth.log"

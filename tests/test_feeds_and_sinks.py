@@ -144,3 +144,16 @@ def test_record_id_and_poll_trigger(spark):
     df = spark.createDataFrame([("t", 3, 42)], "topic string, partition int, offset bigint")
     assert df.select(feeds.record_id()).first()[0] == "t:3:42"
     assert mail.poll_trigger() == {"processingTime": "2 seconds"}
+
+
+def test_shard_sources_split_by_file_or_stage(spark):
+    from flowdex.session import work_dir
+    from flowdex.sources.tables import shard_sources
+    base = work_dir(spark, "shardsrc")
+    spark.range(100).selectExpr("id as k", "id % 7 as v").repartition(6).write.parquet(f"{base}/t.parquet")
+    by_file = shard_sources(spark, base, "t", ["k", "v"], 3, f"{base}/stage1")
+    assert [len(s.inputFiles()) for s in by_file] == [2, 2, 2]
+    assert sorted(r["k"] for r in feeds.union_shards(by_file).collect()) == list(range(100))
+    staged = shard_sources(spark, base, "t", ["k", "v"], 64, f"{base}/stage2")
+    assert len(staged) == 64 and min(s.count() for s in staged) == 0
+    assert sorted(r["k"] for r in feeds.union_shards(staged).collect()) == list(range(100))
