@@ -316,6 +316,14 @@ def mail_page(spark, sf_dir):
     return mail.mail_page(raw.select("msg_no", "folder"), take=10, drop=20)
 
 
+@register("mail_page_deep", """
+select doc_id as msg_no, source as folder from documents order by doc_id limit 40 offset 150""")
+def mail_page_deep(spark, sf_dir):
+    """S16 on the deep-page path: rank by range partitions, no single merged top-k."""
+    raw = tables.raw_mail(tables.table(spark, sf_dir, "documents"), tables.table(spark, sf_dir, "pages"))
+    return mail.mail_page(raw.select("msg_no", "folder"), take=40, drop=150, direct_limit=0)
+
+
 MAIL_PARTS = """
 select doc_id as msg_no, 0::bigint as pos, 'TEXT/PLAIN' as msg_type, md5(text) as body_md5 from documents
 union all

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowdex.operators import paging
+
 # The parser runs in Python workers, which may not have this package on their
 # path (it need not be installed on executors): ship this module's functions by
 # value with each task instead of by import name.
@@ -49,15 +51,15 @@ def render_sender(from_col: Column | str) -> Column:
 
 
 def mail_page(mails: DataFrame, take: int | None = None, drop: int = 0,
-              folder: str | None = None, order_col: str = "msg_no") -> DataFrame:
-    """``drop`` then ``take`` messages in mailbox order, optionally of one folder."""
-    page = mails if folder is None else mails.where(F.col("folder") == folder)
-    page = page.orderBy(order_col)
-    if drop:
-        page = page.offset(drop)
-    if take is not None:
-        page = page.limit(take)
-    return page
+              folder: str | None = None, order_col: str = "msg_no",
+              direct_limit: int = paging.DIRECT_LIMIT) -> DataFrame:
+    """``drop`` then ``take`` messages in mailbox order, optionally of one folder.
+
+    Deep pages (``drop + take`` above ``direct_limit``, or no ``take``) are cut by
+    a distributed global rank rather than a single merged top-k.
+    """
+    box = mails if folder is None else mails.where(F.col("folder") == folder)
+    return paging.page(box, order_col, drop, take, direct_limit)
 
 
 def _part_type(content_type: str) -> str | None:
