@@ -41,7 +41,20 @@ def parse_records(messages: DataFrame, schema: str | None = LOG_SCHEMA,
         schema = infer_json_schema(messages, value_col)
         if schema is None:
             return None
-    return messages.select(*keep, F.from_json(value_col, schema).alias("__r")).select(*keep, "__r.*")
+    return parse_once(messages, value_col, schema, keep).select(*keep, "__r.*")
+
+
+def parse_once(messages: DataFrame, value_col: str, schema: str, keep: Sequence[str] = (),
+               alias: str = "__r") -> DataFrame:
+    """``from_json`` evaluated exactly once per message, as struct column ``alias``.
+
+    Predicates on parsed fields would otherwise be pushed below the projection
+    and re-run the parse once per predicate (and again for the projection).
+    Parsing inside a one-element ``explode`` (a ``Generate``, always one output
+    row, NULL struct for unparsable text) keeps every filter above the parse.
+    """
+    parsed = F.explode(F.array(F.from_json(value_col, schema)))
+    return messages.select(*keep, parsed.alias(alias))
 
 
 def infer_json_schema(messages: DataFrame, value_col: str = "value") -> str | None:

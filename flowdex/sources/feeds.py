@@ -145,9 +145,12 @@ def interaction_feed(interactions: DataFrame, query: str | None = None,
     live = flagged.where(~F.coalesce(F.col(delete_col), F.lit(False)))
     # Passthrough columns and the message are parked under private names so the
     # predicate can use the interaction's own field names unqualified.
+    # Parsed once inside a one-row explode, so the predicate cannot be pushed below
+    # the parse and re-run ``from_json`` (see sqlreport.parse_once).
     staged = live.select(*[F.col(k).alias(f"__keep_{k}") for k in keep],
                          F.col(value_col).alias("__message"),
-                         F.from_json(value_col, schema).alias("__i")).select("*", "__i.*")
+                         F.explode(F.array(F.from_json(value_col, schema))).alias("__i")
+                         ).select("*", "__i.*")
     if query:
         staged = staged.where(F.expr(query))
     return staged.select(*[F.col(f"__keep_{k}").alias(k) for k in keep],
