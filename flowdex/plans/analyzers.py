@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame
 
 from flowdex.operators import sqlreport
 
-Analyzer = Callable[[DataFrame, int], DataFrame]
+Analyzer = Callable[[DataFrame, int], DataFrame | None]  # None: nothing to emit
 
 
-def apply_analyzer(batch: DataFrame, analyzer: Analyzer | None, batch_id: int = 0) -> DataFrame:
+def apply_analyzer(batch: DataFrame, analyzer: Analyzer | None, batch_id: int = 0) -> DataFrame | None:
     """``if (analyzer == null) stream else analyzer.analyze(stream)``."""
     return batch if analyzer is None else analyzer(batch, batch_id)
 
@@ -34,10 +34,10 @@ class SqlAnalyzer:
         self.mean_decimals = mean_decimals
         self.legacy_keys = legacy_keys
 
-    def __call__(self, batch: DataFrame, batch_id: int = 0) -> DataFrame:
+    def __call__(self, batch: DataFrame, batch_id: int = 0) -> DataFrame | None:
         report = sqlreport.sql_analyzer(batch, self.statement, self.view, self.schema)
-        if report is None:  # nothing parsable in this batch
-            return batch.sparkSession.createDataFrame([], "value string")
+        if report is None:  # no JSON object to infer a schema from: no output for this batch
+            return None
         if not self.render:
             return report
         return sqlreport.render_report(report, self.mean_decimals, self.legacy_keys)

@@ -41,7 +41,9 @@ def run_micro_batch(batch: DataFrame, batch_id: int, analyzer: Analyzer | None,
     if persist:
         batch.persist()
     try:
-        sink(apply_analyzer(batch, analyzer, batch_id), batch_id)
+        out = apply_analyzer(batch, analyzer, batch_id)
+        if out is not None:  # an analyzer may have nothing to emit for this batch
+            sink(out, batch_id)
     finally:
         if persist:
             batch.unpersist()

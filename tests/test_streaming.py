@@ -147,3 +147,26 @@ def test_failed_batch_is_replayed_identically(spark):
     assert failed == [1]
     assert with_failure == clean
     assert (2, '{"v":"a","histo_field":"v","histo_valu":"a","histo_supp":"3"}', 3) in clean
+
+
+def test_sql_analyzer_infers_schema_per_micro_batch(spark):
+    base = work_dir(spark, "sqlinfer")
+    feed, ckpt, out = f"{base}/feed", f"{base}/ckpt", f"{base}/out"
+    statement = "SELECT path, COUNT(*) AS n, MAX(lineno) AS hi FROM logstash GROUP BY path"
+    analyzer = SqlAnalyzer(statement=statement, schema=None, render=False)
+
+    def sink(df, batch_id):
+        write_batch(df, out, batch_id)
+
+    def run_once():
+        start_indexing(spark.readStream.text(feed), analyzer, sink, ckpt,
+                       trigger=trigger_of(available_now=True)).awaitTermination()
+
+    _write_batch(spark, feed, [('{"path":"/a","lineno":3}',), ('{"path":"/a","lineno":9}',), ("junk",)])
+    run_once()
+    _write_batch(spark, feed, [("not json",), ("[1,2]",)])  # nothing to infer: no report rows
+    run_once()
+    rows = sorted(((r["batch_id"], r["path"], r["n"], r["hi"]) for r in spark.read.parquet(out).collect()),
+                  key=str)
+    # "junk" is a record of NULL fields, grouped under a NULL path (as a per-batch JSON reader does).
+    assert rows == [(0, "/a", 2, 9), (0, None, 1, None)]
