@@ -80,6 +80,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     if root:
         return root.rstrip("/")
+    if not _is_local(spark):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder on the cluster's "
+                           "shared filesystem (a machine-local folder is invisible to executors)")
     if _LOCAL_ROOT is None:
         _LOCAL_ROOT = tempfile.mkdtemp(prefix="flowdex-ckpt-")
     if sc is not None:
@@ -87,6 +90,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _LOCAL_ROOT
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        master = spark.conf.get("spark.master", None)
+    except Exception:
+        master = None
+    return master is None or master.startswith("local")
+
+
 def work_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh sub-folder of the checkpoint root for one run of one operator."""
     return "/".join([checkpoint_root(spark), "flowdex", uuid.uuid4().hex, *parts])

@@ -31,6 +31,12 @@ def test_checkpoint_root_falls_back_to_one_temp_folder():
     assert a == b and "flowdex-ckpt-" in a
 
 
+def test_checkpoint_root_refuses_local_folder_on_a_cluster():
+    import pytest
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(_NoContextSession({"spark.master": "yarn"}))
+
+
 def test_work_dirs_are_fresh(spark):
     one, two = session.work_dir(spark, "x"), session.work_dir(spark, "x")
     assert one != two and one.startswith(session.checkpoint_root(spark))
