@@ -8,7 +8,7 @@ Arguments: brokers topics index mapping field [index-nodes] [index-port].
 import sys
 
 from flowdex.plans.analyzers import HistogramAnalyzer
-from flowdex.session import build_session, work_dir
+from flowdex.session import build_session, named_dir
 from flowdex.sinks.index import CONNECTOR_FORMAT, index_options, index_sink
 from flowdex.sources.feeds import kafka_source_options, open_kafka_feed
 from flowdex.streaming.runner import start_indexing, trigger_of
@@ -20,9 +20,9 @@ def main(argv):
     port = argv[6] if len(argv) > 6 else "9200"
     spark = build_session()
     feed = open_kafka_feed(spark, kafka_source_options(brokers, topics=topics))
-    analyzer = HistogramAnalyzer(field, work_dir(spark, "state"))
+    analyzer = HistogramAnalyzer(field, named_dir(spark, "logs", "state"))
     sink = index_sink("", fmt=CONNECTOR_FORMAT, options=index_options(nodes, port, index, mapping))
-    query = start_indexing(feed, analyzer, sink, work_dir(spark, "checkpoint"),
+    query = start_indexing(feed, analyzer, sink, named_dir(spark, "logs", "checkpoint"),
                            trigger=trigger_of(spark=spark))
     query.awaitTermination()
 

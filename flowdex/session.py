@@ -98,6 +98,17 @@ def _is_local(spark: SparkSession) -> bool:
     return master is None or master.startswith("local")
 
 
+def named_dir(spark: SparkSession, *parts: str) -> str:
+    """A stable sub-folder of the checkpoint root (same path on every run).
+
+    Use it for a deployed stream's checkpoint and state, which must survive
+    restarts; :func:`work_dir` is for one-off runs that must not see old files.
+    """
+    if not parts:
+        raise ValueError("name the folder")
+    return "/".join([checkpoint_root(spark), "flowdex", *parts])
+
+
 def work_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh sub-folder of the checkpoint root for one run of one operator."""
     return "/".join([checkpoint_root(spark), "flowdex", uuid.uuid4().hex, *parts])

@@ -37,6 +37,11 @@ def test_checkpoint_root_refuses_local_folder_on_a_cluster():
         session.checkpoint_root(_NoContextSession({"spark.master": "yarn"}))
 
 
+def test_named_dirs_are_stable(spark):
+    assert session.named_dir(spark, "app", "state") == session.named_dir(spark, "app", "state")
+    assert session.named_dir(spark, "app", "state").startswith(session.checkpoint_root(spark))
+
+
 def test_work_dirs_are_fresh(spark):
     one, two = session.work_dir(spark, "x"), session.work_dir(spark, "x")
     assert one != two and one.startswith(session.checkpoint_root(spark))
