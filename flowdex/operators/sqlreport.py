@@ -82,20 +82,39 @@ def sql_analyzer(messages: DataFrame, statement: str = DEFAULT_STATEMENT,
                  value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame | None:
     """Run ``statement`` over the parsed messages exposed as ``view``.
 
-    A statement may reference the view as ``{view}`` (bound as a DataFrame
-    argument, no catalog side effect) or by its plain name (temp view).
+    The view is bound as a DataFrame argument (no catalog side effect) whether
+    the statement writes ``{view}`` or the plain name; only statements where
+    the plain name cannot be rewritten unambiguously fall back to a temp view.
     Returns None for a batch without any JSON object under inference.
     """
     records = parse_records(messages, schema, value_col, keep)
     if records is None:
         return None
     spark = messages.sparkSession
-    if "{" + view + "}" in statement:
-        return spark.sql(statement, **{view: records})
+    bound = statement if "{" + view + "}" in statement else bind_view(statement, view)
+    if bound is not None:
+        return spark.sql(bound, **{view: records})
     records.createOrReplaceTempView(view)
     return spark.sql(statement)
 
 
+def bind_view(statement: str, view: str) -> str | None:
+    """The statement with its bare references to ``view`` turned into ``{view}``.
+
+    Binding the batch as a DataFrame argument leaves the session catalog alone,
+    so concurrent analyzers on one session cannot swap each other's view.
+    Only done when it is unambiguous: no braces or double quotes in the text;
+    single-quoted literals are left untouched.  Otherwise returns None.
+    """
+    if any(c in statement for c in '{}"'):
+        return None
+    pattern = re.compile(rf"(?<![\w.`])`?{re.escape(view)}`?(?![\w`])", re.IGNORECASE)
+    pieces = statement.split("'")
+    pieces[::2] = [pattern.sub("{" + view + "}", p) for p in pieces[::2]]
+    bound = "'".join(pieces)
+    return bound if bound != statement else None
+
+
 def report_filter(records: DataFrame) -> DataFrame:
     return records.where((F.col("path") == REPORT_PATH) & (F.col("lineno") > REPORT_MIN_LINENO))
 

@@ -98,3 +98,19 @@ def test_field_values_on_null_member(spark):
     vals = sorted(str(r[0]) for r in histogram.with_documents(df, "f").select("histo_valu").collect())
     assert vals == ["None", "v"]
     assert df.select(F.size(mapify("value"))).collect()[0][0] == 0
+
+
+def test_bind_view_rewrites_only_table_references():
+    from flowdex.operators.sqlreport import DEFAULT_STATEMENT, bind_view
+    bound = bind_view(DEFAULT_STATEMENT, "logstash")
+    assert "FROM {logstash} WHERE" in bound and bound.count("{logstash}") == 1
+    assert bind_view("SELECT 'logstash' AS s FROM logstash", "logstash") == "SELECT 'logstash' AS s FROM {logstash}"
+    assert bind_view("SELECT logstash_x FROM t", "logstash") is None
+    assert bind_view('SELECT "a" FROM logstash', "logstash") is None
+
+
+def test_sql_analyzer_leaves_catalog_alone(spark):
+    df = spark.createDataFrame([('{"host":"a","path":"/var/log/system.log","lineno":80}',)], "value string")
+    spark.catalog.dropTempView("logstash")
+    assert [r["host"] for r in sqlreport.sql_analyzer(df).collect()] == ["a"]
+    assert not spark.catalog.tableExists("logstash")
