@@ -43,6 +43,8 @@ def global_rank(df: DataFrame, order_col: str, partitions: int | None = None) ->
 def page(df: DataFrame, order_col: str, drop: int = 0, take: int | None = None,
          direct_limit: int = DIRECT_LIMIT) -> DataFrame:
     """Rows ``drop+1 .. drop+take`` of ``df`` in ``order_col`` order."""
+    if drop == 0 and take is None:
+        return df.orderBy(order_col)  # the whole mailbox: a distributed sort, nothing to cut
     if drop + (take or 0) <= direct_limit and take is not None:
         ordered = df.orderBy(order_col)
         return (ordered.offset(drop) if drop else ordered).limit(take)

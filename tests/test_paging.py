@@ -12,7 +12,7 @@ def test_global_rank_is_exact(spark):
     assert ranks == {k: i + 1 for i, k in enumerate(range(0, 3000, 3))}
 
 
-@pytest.mark.parametrize("drop,take", [(0, 10), (250, 40), (990, 50), (5, None)])
+@pytest.mark.parametrize("drop,take", [(0, 10), (250, 40), (990, 50), (5, None), (0, None)])
 def test_deep_page_equals_offset_limit(spark, drop, take):
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"), F.col("id").alias("v")).repartition(6)
     deep = [tuple(r) for r in page(df, "k", drop, take, direct_limit=0).orderBy("k").collect()]
