@@ -24,11 +24,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_input(df) if spread else df
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    return spread_small_input(df, cache_key=path) if spread else df
+
+
+# Split-count probes by input path.  The decision only affects how work is spread,
+# never the result, so a stale entry cannot change any answer.
+_SPLITS: dict[tuple[str, int], int] = {}
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
+def spread_small_input(df: DataFrame, cache_key: str | None = None) -> DataFrame:
     """Round-robin a scan that arrives as fewer splits than the cluster has cores.
 
     A parquet file with one row group is one split however large it is, so the
@@ -38,7 +44,12 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     """
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
+        key = (cache_key, cores) if cache_key else None
+        splits = _SPLITS.get(key) if key else None
+        if splits is None:
+            splits = df.rdd.getNumPartitions()
+            if key:
+                _SPLITS[key] = splits
     except Exception:  # no SparkContext on this client (e.g. Spark Connect): leave as is
         return df
     if splits >= cores:
