@@ -170,3 +170,18 @@ def test_sql_analyzer_infers_schema_per_micro_batch(spark):
                   key=str)
     # "junk" is a record of NULL fields, grouped under a NULL path (as a per-batch JSON reader does).
     assert rows == [(0, "/a", 2, 9), (0, None, 1, None)]
+
+
+def test_interaction_deletes_are_reported_in_stream_progress(spark):
+    from flowdex.sources.feeds import open_interaction_feed
+    base = work_dir(spark, "deletes")
+    rows = [(False, '{"event_id":1,"event_type":"v","value":9.0}'),
+            (True, '{"event_id":2,"event_type":"e","value":9.0}'),
+            (True, '{"event_id":3,"event_type":"e","value":1.0}')]
+    spark.createDataFrame(rows, "is_delete boolean, interaction string").write.parquet(f"{base}/in")
+    q = (open_interaction_feed(spark, f"{base}/in").writeStream.format("parquet")
+         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start(f"{base}/out"))
+    q.awaitTermination()
+    metrics = q.lastProgress["observedMetrics"]["interaction_feed"]
+    assert metrics["deleted"] == 2
+    assert spark.read.parquet(f"{base}/out").count() == 1
