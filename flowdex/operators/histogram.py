@@ -28,11 +28,25 @@ from flowdex.functions.documents import (HISTO_SUPP, HISTO_VALU, doc_to_json, fi
 from flowdex.session import ensure_map_policy
 
 
-def with_documents(messages: DataFrame, field: str, value_col: str = "value") -> DataFrame:
-    """Add ``doc`` (parsed map) and ``histo_valu`` (the field's value, NULL if missing)."""
+ON_MISSING = ("skip", "fail")
+
+
+def with_documents(messages: DataFrame, field: str, value_col: str = "value",
+                   on_missing: str = "skip") -> DataFrame:
+    """Add ``doc`` (parsed map) and ``histo_valu`` (the field's value).
+
+    ``on_missing="skip"``: a message without the field gets NULL and is passed
+    through uncounted.  ``"fail"``: the job fails on the first such message
+    (``raise_error`` inside the expression, no driver-side check).
+    """
+    if on_missing not in ON_MISSING:
+        raise ValueError(f"on_missing must be one of {ON_MISSING}")
     ensure_map_policy(messages.sparkSession)
-    return (messages.withColumn("doc", mapify(value_col))
-            .withColumn(HISTO_VALU, field_value("doc", field)))
+    value = field_value("doc", field)
+    if on_missing == "fail":
+        value = F.when(value.isNull(), F.raise_error(F.lit(f"message without field '{field}'"))
+                       ).otherwise(value)
+    return messages.withColumn("doc", mapify(value_col)).withColumn(HISTO_VALU, value)
 
 
 def field_support_by_batch(docs: DataFrame, batch_col: str = "batch") -> DataFrame:
@@ -57,13 +71,13 @@ def running_support(by_batch: DataFrame, batch_col: str = "batch") -> DataFrame:
 
 
 def enrich(messages: DataFrame, field: str, batch_col: str = "batch",
-           value_col: str = "value") -> DataFrame:
+           value_col: str = "value", on_missing: str = "skip") -> DataFrame:
     """Tag every message with the running support of its field value.
 
     Output: the input columns, ``doc`` (enriched map), ``histo_valu`` and
     ``histo_supp`` (BIGINT; NULL for messages without the field).
     """
-    docs = with_documents(messages, field, value_col)
+    docs = with_documents(messages, field, value_col, on_missing)
     support = running_support(field_support_by_batch(docs, batch_col), batch_col)
     support = support.select(F.col(batch_col).alias("__sb"), F.col(HISTO_VALU).alias("__sv"),
                              F.col("n").alias(HISTO_SUPP))

@@ -47,10 +47,11 @@ class HistogramAnalyzer:
     """Running histogram of ``field`` (state kept in a versioned table)."""
 
     def __init__(self, field: str, state_dir: str, keep: Sequence[str] = (),
-                 compact_every: int | None = None):
+                 compact_every: int | None = None, on_missing: str = "skip"):
         from flowdex.streaming.histogram_state import DEFAULT_COMPACT_EVERY, HistogramState
         self.field = field
-        self.state = HistogramState(state_dir, field, compact_every or DEFAULT_COMPACT_EVERY)
+        self.state = HistogramState(state_dir, field, compact_every or DEFAULT_COMPACT_EVERY,
+                                    on_missing)
         self.keep = tuple(keep)
 
     def __call__(self, batch: DataFrame, batch_id: int = 0) -> DataFrame:

@@ -38,12 +38,14 @@ DEFAULT_COMPACT_EVERY = 10
 
 
 class HistogramState:
-    def __init__(self, state_dir: str, field: str, compact_every: int = DEFAULT_COMPACT_EVERY):
+    def __init__(self, state_dir: str, field: str, compact_every: int = DEFAULT_COMPACT_EVERY,
+                 on_missing: str = "skip"):
         if compact_every < 1:
             raise ValueError("compact_every must be >= 1")
         self.state_dir = state_dir.rstrip("/")
         self.field = field
         self.compact_every = compact_every
+        self.on_missing = on_missing
 
     # ------------------------------------------------------------ layout
     def window(self, batch_id: int) -> int:
@@ -108,7 +110,7 @@ class HistogramState:
     def enrich_batch(self, batch: DataFrame, batch_id: int, value_col: str = "value",
                      keep: Sequence[str] = ()) -> DataFrame:
         """One micro-batch -> enriched documents (``doc``, ``histo_valu``, ``histo_supp``, JSON ``value``)."""
-        docs = with_documents(batch, self.field, value_col)
+        docs = with_documents(batch, self.field, value_col, self.on_missing)
         support = self.advance(docs, batch_id).withColumnRenamed("n", HISTO_SUPP)
         joined = docs.join(support, HISTO_VALU, "left")
         tagged = F.when(F.col(HISTO_VALU).isNotNull(),

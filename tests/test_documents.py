@@ -114,3 +114,14 @@ def test_sql_analyzer_leaves_catalog_alone(spark):
     spark.catalog.dropTempView("logstash")
     assert [r["host"] for r in sqlreport.sql_analyzer(df).collect()] == ["a"]
     assert not spark.catalog.tableExists("logstash")
+
+
+def test_on_missing_fail_stops_the_job(spark):
+    import pytest
+    df = spark.createDataFrame([("2024-01-01", '{"f":"x"}'), ("2024-01-01", '{"g":"y"}')],
+                               "batch string, value string")
+    assert histogram.enrich(df, "f").count() == 2  # default: passed through uncounted
+    with pytest.raises(Exception, match="message without field 'f'"):
+        histogram.enrich(df, "f", on_missing="fail").collect()
+    with pytest.raises(ValueError):
+        histogram.with_documents(df, "f", on_missing="ignore")
