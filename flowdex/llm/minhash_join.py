@@ -6,7 +6,7 @@
 * Band hashes are shuffled; each bucket links its members to the smallest one (as many rows as members, no pairs).
   Connected buckets form a *neighbourhood*, which holds every pair that shares a band.
 * The shingle sets of a neighbourhood meet in tiles of a bounded number of shingles.  Every pair of a neighbourhood is
-  verified on the full sets in some tile, which returns one row per member: its links and the smallest text linked to it.
+  verified on the full sets in some tile, which returns one row per member: its links and the smallest member connected to it there.
 """
 
 from __future__ import annotations
@@ -130,7 +130,7 @@ def _neighbourhoods(sets: DataFrame) -> DataFrame:
 
 
 def _tile_links(threshold: float):
-    """Verifier of one tile: members with shingles -> links and smallest linked key of each member."""
+    """Verifier of one tile: members with shingles -> links of each member, and the smallest one connected to it."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("key").sort_values("key", kind="stable").reset_index(drop=True)
@@ -170,14 +170,17 @@ def _tile_links(threshold: float):
         copies = pdf["copies"].to_numpy(np.int64)
         links, low = np.zeros(m, np.int64), np.arange(m)
         links[left] += linked @ copies[right]
-        low[left] = np.minimum(low[left], np.where(linked, right[None, :], m).min(axis=1, initial=m))
         if not diagonal:
             links[right] += linked.T @ copies[left]
-            low[right] = np.minimum(low[right], np.where(linked, left[:, None], m).min(axis=0, initial=m))
+        while True:  # the smallest member that a member is connected to within this tile
+            before = low.copy()
+            low[left] = np.minimum(low[left], np.where(linked, low[right][None, :], m).min(axis=1, initial=m))
+            low[right] = np.minimum(low[right], np.where(linked, low[left][:, None], m).min(axis=0, initial=m))
+            low = low[low]
+            if (low == before).all():
+                break
         got = links > 0
         keys = pdf["key"].to_numpy()
-        # The smallest linked key joins a member to its class unless the member is itself the smallest, so the smaller
-        # side of every link is reached from the larger; chains are closed by connected_components.
         return pd.DataFrame({"key": keys[got], "links": links[got], "low": keys[low[got]]})
 
     return run
