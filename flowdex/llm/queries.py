@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from flowdex.llm import exact_dedup, minhash_join
+from flowdex.llm import exact_dedup, minhash_join, piece_codec
 
 QUERIES = {
+    "op3_piece_codec": piece_codec.query,
     "op6_exact_dedup": exact_dedup.query,
     "op9_ngram_jaccard_join": minhash_join.query,
 }
