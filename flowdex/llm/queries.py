@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from flowdex.llm import exact_dedup, minhash_join, piece_codec
+from flowdex.llm import exact_dedup, language_crf, learned_partitions, minhash_join, piece_codec, quality_qda
 
 QUERIES = {
+    "op1_learned_partitions": learned_partitions.query,
+    "op2_quality_qda": quality_qda.query,
     "op3_piece_codec": piece_codec.query,
     "op6_exact_dedup": exact_dedup.query,
+    "op7_language_crf": language_crf.query,
     "op9_ngram_jaccard_join": minhash_join.query,
 }
 ORACLE_SQL = {"op6_exact_dedup": exact_dedup.ORACLE.strip()}
