@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from flowdex.llm import exact_dedup, language_crf, learned_partitions, minhash_join, piece_codec, quality_qda
+from flowdex.llm import (best_fit_packing, exact_dedup, fuzzy_lines, language_crf, learned_partitions, license_scan,
+                         minhash_join, piece_codec, quality_qda, secret_forest)
 
 QUERIES = {
     "op1_learned_partitions": learned_partitions.query,
     "op2_quality_qda": quality_qda.query,
     "op3_piece_codec": piece_codec.query,
+    "op4_fuzzy_lines": fuzzy_lines.query,
+    "op5_license_scan": license_scan.query,
     "op6_exact_dedup": exact_dedup.query,
     "op7_language_crf": language_crf.query,
+    "op8_best_fit_packing": best_fit_packing.query,
     "op9_ngram_jaccard_join": minhash_join.query,
+    "op10_secret_forest": secret_forest.query,
+}
+ORACLE_SQL = {
+    "op5_license_scan": license_scan.ORACLE.strip(),
+    "op6_exact_dedup": exact_dedup.ORACLE.strip(),
 }
-ORACLE_SQL = {"op6_exact_dedup": exact_dedup.ORACLE.strip()}

@@ -1,0 +1,187 @@
+"""Secret scans: candidates from whole texts, and a random forest that removes the false positives.
+
+Everything is DataFrame functions and Spark's own random forest; no Python runs on the executors.
+
+* A candidate is a run of eight or more key characters that holds a digit and twelve characters, or that stands behind a
+  credential word and an assignment sign.
+* Its features are length, character shares and transitions, dictionary coverage, the path and neighbouring words.
+* The forest learns from labelled findings: ``(label 0/1)`` beside the features.  ``rule_labels`` labels findings by
+  format where a table of audited ones is not at hand: it decides the clear cases and leaves the rest unlabelled.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from flowdex.llm.common import saved, small, table, text_or_empty
+
+TREES, DEPTH, SEED = 20, 6, 17
+MAX_LABELLED = 20_000     # labelled findings that the forest learns from, at most about; drawn by a hash
+CUT = 0.5                 # probability from which a finding is a secret
+MASK = "[SECRET]"
+
+# Words of credentials, signs of test data in paths, and common words of prose, addresses and samples.
+CREDENTIAL = "passw|passwd|pwd|secret|token|api_?-?key|apikey|credential|private_?key|access_?key|auth"
+TEST_PATH = "test|example|sample|fixture|mock|demo|doc"
+DICTIONARY = ("and the for with from that this your have not are was will can all any change changeme default dummy "
+              "example examples fake foo bar sample test testing user users admin root guest name value string number "
+              "mail email com org net www http https html index page file path version license key password secret "
+              "token true false null none local host server client data config setting begin end public private "
+              "abc xyz qwerty letmein welcome hello world").split()
+KEY_CHARS = "A-Za-z0-9+/_.@-"
+
+NUMBERS = ("length", "digits", "uppers", "hex", "distinct", "turns", "runs", "covered", "dots", "at_sign", "only_digits",
+           "known_prefix", "quoted", "assigned", "credential_near", "credential_inside", "test_path", "next_word")
+
+
+def _share(col: Column, pattern: str) -> Column:
+    return (F.length(col) - F.length(F.regexp_replace(col, pattern, ""))) / F.greatest(F.length(col), F.lit(1))
+
+
+def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: Column | None = None) -> DataFrame:
+    """One row per candidate: ``id, place`` (word number), ``found``, ``before`` (three words), ``word, after, path``.
+
+    Null and empty texts have none; equal candidates at several places are several rows; repeated rows repeat theirs.
+    """
+    path = F.lit("") if path is None else F.coalesce(path.cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(F.col(text_col)).alias("text"), path.alias("path"))
+    # No candidate without a digit or a credential word: such texts aren't split.
+    rows = rows.filter(F.col("text").rlike(f"[0-9]|(?i:{CREDENTIAL})")).select(
+        "id", "path", F.split("text", r"\s+").alias("words"))
+    value = F.regexp_extract("word", rf"([{KEY_CHARS}]{{8,}}={{0,2}})[^{KEY_CHARS}]*$", 1)
+    numbered = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("place"), w.alias("word"))),
+                        lambda x: (F.length(x["word"]) >= 8) & x["word"].rlike(rf"[{KEY_CHARS}]{{8}}"))
+    rows = rows.select("id", "path", "words", F.explode(numbered).alias("x")).select(
+        "id", "path", "x.place", "x.word", "words")
+
+    def word(offset: int) -> Column:
+        at = F.col("place") + offset
+        return F.when(at >= 0, F.coalesce(F.get("words", at), F.lit(""))).otherwise("")
+
+    rows = rows.select("id", "place", "word", "path", value.alias("found"),
+                       F.concat_ws(" ", word(-3), word(-2), word(-1)).alias("before"), word(1).alias("after"))
+    inside = F.col("word").rlike(rf"(?i)(?:{CREDENTIAL})[\w-]*[\"']?[:=]")
+    near = F.col("before").rlike(rf"(?i)(?:{CREDENTIAL})\S*\s*[:=]+$")
+    digit = F.col("found").rlike("[0-9]") & (F.length("found") >= 12)
+    return rows.filter((F.length("found") >= 8) & (digit | inside | near))
+
+
+def with_features(found: DataFrame) -> DataFrame:
+    """``found`` with the columns ``NUMBERS``: one double each, never null."""
+    c = F.col("found")
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "0")
+    turns = F.length(F.regexp_replace(shape, r"(.)\1*", "$1")) - 1
+    runs = F.length(c) - F.length(F.regexp_replace(c, r"(.)\1+", "$1"))
+    size = F.greatest(F.length(c), F.lit(1))
+    numbers = {
+        "length": F.length(c),
+        "digits": _share(c, "[0-9]"),
+        "uppers": _share(c, "[A-Z]"),
+        "hex": _share(c, "[0-9a-fA-F]"),
+        "distinct": F.size(F.array_distinct(F.split(c, ""))) / size,
+        "turns": turns / size,
+        "runs": runs / size,
+        "covered": _share(F.lower(c), "(?:" + "|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w))) + ")"),
+        "dots": F.length(c) - F.length(F.regexp_replace(c, r"\.", "")),
+        "at_sign": c.contains("@"),
+        "only_digits": c.rlike("^[0-9.-]+$"),
+        "known_prefix": c.rlike("^(?:AKIA|ASIA|ghp_|gho_|github_pat_|xox[abp]-|sk_live_|AIza|eyJ)"),
+        "quoted": F.col("word").rlike("[\"'`]"),
+        "assigned": F.col("before").rlike(r"[:=]+$") | F.col("word").rlike(r"^[\w-]+[:=]"),
+        "credential_near": F.col("before").rlike(f"(?i)(?:{CREDENTIAL})"),
+        "credential_inside": F.col("word").rlike(f"(?i)(?:{CREDENTIAL})"),
+        "test_path": F.col("path").rlike(f"(?i)(?:{TEST_PATH})"),
+        "next_word": F.col("after").rlike("^[A-Za-z]"),
+    }
+    return found.withColumns({k: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in numbers.items()})
+
+
+def rule_labels(found: DataFrame) -> DataFrame:
+    """``found`` with ``label``: 1 for a long random value in a credential assignment or an issued-key format, 0 for
+    addresses, numbers, versions and dictionary words, null where the format doesn't tell."""
+    random = (F.length("found") >= 20) & F.col("found").rlike("[0-9]") & F.col("found").rlike("[A-Za-z]")
+    yes = (random & (F.col("before").rlike(rf"(?i)(?:{CREDENTIAL})\S*\s*[:=]+$")
+                     | F.col("word").rlike(rf"(?i)(?:{CREDENTIAL})[\w-]*[\"']?[:=]"))
+           & ~F.col("found").rlike("(?i)example|changeme|your|xxxx")) | F.col("found").rlike(
+        "^(?:AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36}|xox[abp]-[0-9A-Za-z-]{20,})$")
+    no = F.col("found").rlike(r"^[0-9.()+-]+$|^[^@]+@[^@]+\.[A-Za-z]+\.?$|^v?[0-9]+(?:\.[0-9]+)+$|(?i:example|changeme|xxxx)")
+    return found.withColumn("label", F.when(yes, 1).when(no, 0))
+
+
+def learn(labelled: DataFrame) -> RandomForestClassificationModel | None:
+    """A forest from rows with ``found``, ``NUMBERS`` and ``label``; null labels teach nothing.
+
+    Of more than ``MAX_LABELLED`` labelled findings a sample by hash is read.  None without findings of both kinds.
+    """
+    rows = saved(labelled.filter("label in (0, 1)").select(
+        F.col("label").cast("int").alias("label"), F.xxhash64("found", "before", "place", "id").alias("draw"), *NUMBERS),
+        "labelled")
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(counts) < 2:
+        return None
+    # Half of the bound for each kind, so that a rare kind is whole.
+    share = F.lit(0.0)
+    for label, n in counts.items():
+        share = F.when(F.col("label") == label, F.lit(MAX_LABELLED / 2 / n)).otherwise(share)
+    sample = (rows.filter(F.pmod("draw", F.lit(1_000_003)) / 1_000_003 < share).limit(2 * MAX_LABELLED)
+              .repartition(1).sortWithinPartitions("draw", "label", *NUMBERS))
+    vectors = VectorAssembler(inputCols=list(NUMBERS), outputCol="features").transform(sample)
+    return RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=TREES, maxDepth=DEPTH,
+                                  seed=SEED, featureSubsetStrategy="sqrt").fit(vectors)
+
+
+def judged(found: DataFrame, model: RandomForestClassificationModel | None) -> DataFrame:
+    """``found`` with ``probability`` and ``is_secret``; with no model nothing is removed (probability 1)."""
+    if model is None:
+        return found.withColumn("probability", F.lit(1.0)).withColumn("is_secret", F.lit(True))
+    vectors = VectorAssembler(inputCols=list(NUMBERS), outputCol="features").transform(found)
+    scored = model.transform(vectors).withColumn("scores", vector_to_array("probability"))
+    return (scored.withColumn("probability", F.round(F.get("scores", F.lit(1)), 9))
+            .withColumn("is_secret", F.col("probability") >= CUT)
+            .select(*found.columns, "probability", "is_secret"))
+
+
+def training_fold(id_col: Column) -> Column:
+    return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 != 0, F.lit(False))
+
+
+def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: Column | None = None,
+             labelled: DataFrame | None = None) -> DataFrame:
+    """Every candidate of ``docs``: id, ``place``, ``found``, ``probability``, ``is_secret``.
+
+    ``labelled``: audited findings (rows of ``with_features`` with ``label``).  Without it the forest learns from the
+    rule-labelled candidates of ``docs`` whose id has a crc32 not divisible by 5.
+    """
+    found = saved(with_features(candidates(docs, id_col, text_col, path)), "candidates")
+    if labelled is None:
+        labelled = rule_labels(found).filter(training_fold(F.col("id")))
+    return judged(found, learn(labelled)).select(F.col("id").alias(id_col), "place", "found", "probability", "is_secret")
+
+
+def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars",
+             path: Column | None = None) -> DataFrame:
+    """``docs`` with every secret in the text replaced by ``MASK``; all rows and columns stay, ``chars_col`` follows."""
+    secrets = (findings(docs, id_col, text_col, path).filter("is_secret")
+               .groupBy(F.col(id_col).alias("secret_id")).agg(F.sort_array(F.collect_set("found"), False).alias("secrets")))
+    secrets = saved(secrets.filter("secret_id is not null"), "secrets")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.join(small(secrets, 20_000), F.col(f"row.{id_col}") == F.col("secret_id"), "left")
+    clean = F.aggregate("secrets", F.col(f"row.{text_col}"), lambda text, x: F.replace(text, x, F.lit(MASK)))
+    new = F.when(F.col("secrets").isNull(), F.col(f"row.{text_col}")).otherwise(clean)
+    cols = [F.col(f"row.`{c}`") for c in docs.columns]
+    for i, c in enumerate(docs.columns):
+        if c == text_col:
+            cols[i] = new.alias(c)
+        elif c == chars_col:
+            kind = docs.schema[c].dataType
+            cols[i] = F.when(F.col("secrets").isNull(), F.col(f"row.{c}")).otherwise(F.length(new).cast(kind)).alias(c)
+    return rows.select(*cols)
+
+
+def query(spark, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return findings(docs, path=F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))

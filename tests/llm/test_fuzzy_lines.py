@@ -1,0 +1,95 @@
+import itertools
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from flowdex.llm import fuzzy_lines as fl
+
+SCHEMA = "doc_id long, text string, `key` string, kept int"
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row[0] = row[0], i + 1
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], min(row[j] + 1, row[j + 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("ab ", max_size=14), st.text("ab ", max_size=14), st.sampled_from([0.5, 0.8, 0.9]))
+def test_edit_similarity(a, b, least):
+    want = distance(a, b) <= int((1 - least) * max(len(a), len(b)) + 1e-9)
+    assert fl.edit_similar(a, b, least) == want
+
+
+def brute(rows):
+    """All pairs of distinct normalised lines; the first line of each connected group stays."""
+    lines = [(d, n, fl.normal_line(x)) for d, t in rows if t is not None for n, x in enumerate(t.split("\n"))]
+    keys = sorted({k for *_, k in lines if k})
+    sims = dict(zip(keys, fl.SimHasher()([k.split() for k in keys]).tolist())) if keys else {}
+    root = {k: k for k in keys}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in itertools.combinations(keys, 2):
+        if bin((sims[a] ^ sims[b]) & (1 << 64) - 1).count("1") <= fl.BITS and fl.edit_similar(a, b):
+            root[find(a)] = find(b)
+    first = {}
+    for d, n, k in lines:
+        if k:
+            at = (d is None, d, n)
+            first[find(k)] = min(first.get(find(k), at), at)
+    out = {}
+    for d, t in rows:
+        out.setdefault(d, (set(), set()))
+    for d, n, k in lines:
+        out[d][0].add(n)
+        if k and first[find(k)] != (d is None, d, n):
+            out[d][1].add(n)
+    return {d: (len(a), len(a) - len(b), sorted(b)) for d, (a, b) in out.items()}
+
+
+def got(df):
+    return {r.doc_id: (r.n_lines, r.n_kept, r.dropped) for r in fl.decisions(df).collect()}
+
+
+def test_documents_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+@pytest.mark.parametrize("tile", [1024, 8])
+def test_near_lines_hot_buckets_and_edges(spark, monkeypatch, tile):
+    monkeypatch.setattr(fl, "TILE", tile)
+    if tile == 8:
+        monkeypatch.setattr(fl, "SAMPLE", 2)
+        monkeypatch.setattr(fl, "HOT", 3)
+    rng = np.random.default_rng(9)
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    base = list(rng.choice(words, 150))
+    rows = [(1, None), (2, ""), (3, "\n\n"), (4, "!!\nSame Line 17\nsame   line, 99"), (5, "x" * 200_000), (5, "x" * 200_000),
+            (6, "a\r\nb"), (7, "ein Satz\nein Satz")]
+    for i in range(40):  # near lines of one very long line, and a line that all share
+        near = list(base)
+        near[int(rng.integers(150))] = words[int(rng.integers(300))]
+        rows.append((100 + i, "shared line of text here\n" + " ".join(near)))
+    docs = spark.createDataFrame([(a, b, "clash", 0) for a, b in rows], SCHEMA)
+    want = brute(rows)
+    assert got(docs) == want and sum(len(x[2]) > 1 for x in want.values()) > 5
+    texts = {r.doc_id: r.text for r in fl.without_repeats(docs).collect()}
+    for d, t in rows:
+        kept = None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if n not in want[d][2])
+        assert texts[d] == kept
+    assert fl.without_repeats(docs).columns == docs.columns
+
+
+def test_empty_table(spark):
+    assert fl.decisions(spark.createDataFrame([], SCHEMA)).collect() == []

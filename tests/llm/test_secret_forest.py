@@ -1,0 +1,71 @@
+import zlib
+
+from pyspark.sql import functions as F
+
+from flowdex.llm import secret_forest as sf
+
+HEX = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, len(t or ""), "clash") for i, t in rows],
+                                 "doc_id long, text string, n_chars int, found string")
+
+
+def test_held_out_findings(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    found = sf.rule_labels(sf.with_features(sf.candidates(docs)))
+    truth = {(r.id, r.place): r.label for r in found.filter("label is not null").select("id", "place", "label").collect()}
+    got = sf.findings(docs).collect()
+    held = [(r.is_secret, truth[r.doc_id, r.place]) for r in got
+            if (r.doc_id, r.place) in truth and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    assert len(held) > 50 and sum(a == bool(b) for a, b in held) >= 0.99 * len(held) and {b for _, b in held} == {0, 1}
+    assert not any("@" in r.found for r in got if r.is_secret)
+
+
+def training(spark):
+    rows = []
+    for i in range(300):
+        h = f"{zlib.crc32(str(i).encode()):08x}" * 5
+        rows.append((i, [f'the key token = "{h}" and more', f"mail me at user{i}.name@mail{i}.example.com now",
+                         f"call 98{i:06d}1234567 or so"][i % 3]))
+    return rows
+
+
+def test_redaction_and_edges(spark):
+    odd = [(1000, None), (1001, ""), (1002, f'x password: "{HEX}" y\n{HEX}'), (1003, "plain words only"),
+           (1004, "w " * 60_000 + f"api_key = {HEX}"), (1005, f"token = {HEX}"), (1005, f"token = {HEX}"),
+           (None, f"token = {HEX}"), (1006, "secret = changeme-example-password")]
+    docs = frame(spark, training(spark) + odd)
+    out = sf.redacted(docs)
+    assert out.schema == docs.schema
+    rows = out.collect()
+    assert len(rows) == len(odd) + 300
+    by = {r.doc_id: r for r in rows}
+    assert by[1000].text is None and by[1001].text == "" and by[1003].text == "plain words only"
+    assert by[1002].text == f'x password: "{sf.MASK}" y\n{sf.MASK}' and by[1002].n_chars == len(by[1002].text)
+    assert by[1004].text.endswith(f"api_key = {sf.MASK}") and by[1005].text == f"token = {sf.MASK}"
+    assert all(r.text == t for r, t in ((by[i], t) for i, t in training(spark)) if "token" not in t)
+    assert all(HEX not in (r.text or "") for r in rows if r.doc_id is not None)
+
+
+def test_labelled_findings_decide(spark):
+    docs = frame(spark, training(spark))
+    found = sf.with_features(sf.candidates(docs))
+    audited = found.withColumn("label", F.col("found").contains("@").cast("int"))  # the opposite of the rule
+    got = sf.findings(docs, labelled=audited).collect()
+    assert got and all(r.is_secret == ("@" in r.found) for r in got)
+
+
+def test_nothing_to_learn(spark):
+    docs = frame(spark, [(1, f"token = {HEX}"), (2, "no")])
+    got = sf.findings(docs).collect()
+    assert [(r.doc_id, r.is_secret, r.probability) for r in got] == [(1, True, 1.0)]
+    assert sf.findings(docs.limit(0)).collect() == [] and sf.redacted(docs.limit(0)).collect() == []
+
+
+def test_no_python_in_the_plans(spark):
+    docs = frame(spark, training(spark))
+    for df in (sf.findings(docs), sf.redacted(docs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
