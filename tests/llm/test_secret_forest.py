@@ -57,10 +57,12 @@ def test_labelled_findings_decide(spark):
     assert got and all(r.is_secret == ("@" in r.found) for r in got)
 
 
-def test_nothing_to_learn(spark):
-    docs = frame(spark, [(1, f"token = {HEX}"), (2, "no")])
-    got = sf.findings(docs).collect()
-    assert [(r.doc_id, r.is_secret, r.probability) for r in got] == [(1, True, 1.0)]
+def test_examples_alone(spark):
+    docs = frame(spark, [(1, f"token = {HEX}"), (2, "no"), (3, "write to und.34@mail7.example.com or 9807915762804490")])
+    assert sorted((r.doc_id, r.is_secret) for r in sf.findings(docs).collect()) == [(1, True), (3, False), (3, False)]
+    found = sf.with_features(sf.candidates(docs))
+    none = sf.findings(docs, labelled=found.withColumn("label", F.lit(None).cast("int"))).collect()
+    assert len(none) == 3 and all(r.is_secret and r.probability == 1.0 for r in none)
     assert sf.findings(docs.limit(0)).collect() == [] and sf.redacted(docs.limit(0)).collect() == []
 
 
