@@ -1,55 +1,99 @@
 """Exact ``drop``/``take`` paging in a global order without funnelling rows through one task.
 
-Shallow pages use ``orderBy().offset().limit()`` (per-partition top ``drop+take``,
-then one merge).  Deep pages, where ``drop`` grows with the data (a poller that
-skips everything it has already read), are ranked instead:
-
-1. range-partition by the order key and sort within partitions;
-2. ``monotonically_increasing_id`` encodes (partition index, position) for free;
-3. per-partition row counts -- one row per partition, a size bounded by the
-   partition count -- give each partition's starting offset;
-4. global rank = offset + position; the page is a filter on the rank.
-
-Rows are never collected or re-shuffled into a single task.  The order key must
-be unique for the page to be unique (as a message number is).
+One algorithm for every depth:
+
+1. one aggregate (``percentile_approx``) gives cut points of the order key; they come to the driver as literals, at
+   most ``BUCKET_LIMIT`` numbers, and stay fixed from then on, so every later job puts a row into the same bucket;
+2. one aggregate counts the rows of each bucket, which gives each bucket's offset;
+3. rank = offset + ``row_number`` within the bucket.  A page computes it only for the buckets it touches: a range
+   filter on the key, which reaches the parquet reader.
+
+A bucket holds about ``BUCKET_ROWS`` rows whatever the size of the table, so no task gets more.  The key is a number or
+a time and must be unique for the page to be unique (as a message number is); rows without a key are in no page.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from bisect import bisect_left
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DIRECT_LIMIT = 10_000
-_POSITION_BITS = 33  # monotonically_increasing_id: partition index << 33 | position
+BUCKET_ROWS = 200_000     # rows ranked by one task, about
+BUCKET_LIMIT = 100_000    # most cut points
+
+
+def cut_points(keys: DataFrame, order_col: str, bucket_rows: int = BUCKET_ROWS) -> list:
+    """Fixed, ascending, distinct bucket boundaries of a key; none where one bucket is enough."""
+    n = keys.where(F.col(order_col).isNotNull()).count()
+    buckets = min(BUCKET_LIMIT, -(-n // bucket_rows))
+    if buckets < 2:
+        return []
+    shares = [i / buckets for i in range(1, buckets)]
+    row = keys.select(F.percentile_approx(order_col, shares, max(10_000, 20 * buckets)).alias("cuts")).first()
+    return sorted(set(row["cuts"]))
+
 
+def bucket_of(key: Column, cuts: list, kind) -> Column:
+    """Number of cut points below the key, by a balanced tree of comparisons: bucket ``i`` is ``(cut i-1, cut i]``."""
+    def tree(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(key <= F.lit(cuts[middle]).cast(kind), tree(low, middle)).otherwise(tree(middle + 1, high))
+    return tree(0, len(cuts))
 
-def global_rank(df: DataFrame, order_col: str, partitions: int | None = None) -> DataFrame:
-    """Add ``__rank`` (1-based position of each row in ``order_col`` order)."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    ranged = (df.repartitionByRange(n, F.col(order_col)).sortWithinPartitions(order_col)
-              .withColumn("__mid", F.monotonically_increasing_id()))
-    ranged = ranged.withColumn("__pid", F.shiftright("__mid", _POSITION_BITS)).withColumn(
-        "__pos", F.col("__mid").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    # One row per partition: a broadcast whose size is the partition count.
-    ranked = ranged.join(F.broadcast(offsets), "__pid")
-    return ranked.withColumn("__rank", F.col("__off") + F.col("__pos") + 1).drop(
-        "__mid", "__pid", "__pos", "__off")
+
+def _bucket_offsets(keys: DataFrame, order_col: str, cuts: list) -> tuple[list[int], list[int]]:
+    """(offset, size) of every bucket: one aggregate, one row per bucket."""
+    kind = keys.schema[order_col].dataType
+    bucket = bucket_of(F.col(order_col), cuts, kind)
+    counts = {r["b"]: r["n"] for r in keys.where(F.col(order_col).isNotNull()).groupBy(bucket.alias("b"))
+              .agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = [counts.get(i, 0) for i in range(len(cuts) + 1)]
+    offsets, total = [], 0
+    for size in sizes:
+        offsets.append(total)
+        total += size
+    return offsets, sizes
+
+
+def _ranked(df: DataFrame, order_col: str, cuts: list, offsets: list[int], rank_col: str) -> DataFrame:
+    kind = df.schema[order_col].dataType
+    # One row per bucket, bounded by BUCKET_LIMIT.
+    table = F.broadcast(df.sparkSession.createDataFrame(list(enumerate(offsets)), "__bucket int, __offset bigint"))
+    within = F.row_number().over(Window.partitionBy("__bucket").orderBy(order_col))
+    return (df.where(F.col(order_col).isNotNull())
+            .withColumn("__bucket", bucket_of(F.col(order_col), cuts, kind)).join(table, "__bucket")
+            .withColumn(rank_col, F.col("__offset") + within).drop("__bucket", "__offset"))
+
+
+def global_rank(df: DataFrame, order_col: str, rank_col: str = "__rank", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Add the 1-based position of each row in ``order_col`` order; the rows of a bucket are ranked by one task."""
+    keys = df.select(order_col)
+    cuts = cut_points(keys, order_col, bucket_rows)
+    return _ranked(df, order_col, cuts, _bucket_offsets(keys, order_col, cuts)[0], rank_col)
 
 
 def page(df: DataFrame, order_col: str, drop: int = 0, take: int | None = None,
-         direct_limit: int = DIRECT_LIMIT) -> DataFrame:
-    """Rows ``drop+1 .. drop+take`` of ``df`` in ``order_col`` order."""
-    if drop == 0 and take is None:
-        return df.orderBy(order_col)  # the whole mailbox: a distributed sort, nothing to cut
-    if drop + (take or 0) <= direct_limit and take is not None:
-        ordered = df.orderBy(order_col)
-        return (ordered.offset(drop) if drop else ordered).limit(take)
-    ranked = global_rank(df, order_col)
-    cond = F.col("__rank") > drop
-    if take is not None:
-        cond = cond & (F.col("__rank") <= drop + take)
-    return ranked.where(cond).drop("__rank")
+         keys: DataFrame | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Rows ``drop+1 .. drop+take`` of ``df`` in ``order_col`` order (to the end without ``take``).
+
+    ``keys`` may name a cheaper table with the same keys, such as the one ``df`` was joined from; the cut points and
+    counts are then read from it.
+    """
+    keys = (df if keys is None else keys).select(order_col)
+    cuts = cut_points(keys, order_col, bucket_rows)
+    offsets, sizes = _bucket_offsets(keys, order_col, cuts)
+    ends = [o + s for o, s in zip(offsets, sizes)]
+    last_rank = ends[-1] if take is None else min(ends[-1], drop + take)
+    first = min(bisect_left(ends, drop + 1), len(ends) - 1)
+    last = min(bisect_left(ends, max(last_rank, 1)), len(ends) - 1)
+    rows = df.where(F.col(order_col).isNotNull())
+    kind = df.schema[order_col].dataType
+    if first > 0:
+        rows = rows.where(F.col(order_col) > F.lit(cuts[first - 1]).cast(kind))
+    if last < len(cuts):
+        rows = rows.where(F.col(order_col) <= F.lit(cuts[last]).cast(kind))
+    ranked = _ranked(rows, order_col, cuts, offsets, "__rank")
+    return (ranked.where((F.col("__rank") > drop) & (F.col("__rank") <= last_rank)).orderBy(order_col).drop("__rank"))

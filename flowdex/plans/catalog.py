@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowdex.functions.documents import HISTO_SUPP, HISTO_VALU, doc_size, mapify
-from flowdex.functions.text import decode_utf8
-from flowdex.operators import histogram, sqlreport
+from flowdex.functions.text import decode_utf8, render_email_content
+from flowdex.operators import histogram, paging, sqlreport
 from flowdex.operators.documents import doc_fields, prepare_documents
 from flowdex.session import configure
 from flowdex.sinks import kafka as kafka_sink
@@ -299,43 +299,83 @@ def analyzer_identity(spark, sf_dir):
 # ------------------------------------------------------------------------- mail
 
 @register("mail_sender", """
-select s_suppkey as msg_no, s_name || coalesce(',' || n_name, '') as sender
+select s_suppkey as msg_no, case s_suppkey % 10 when 0 then 'Null' when 1 then 'Empty'
+       else s_name || coalesce(',' || n_name, '') end as sender
 from supplier left join nation on s_nationkey = n_nationkey""")
 def mail_sender(spark, sf_dir):
-    """Sender list rendering."""
+    """Sender list rendering, missing and empty lists included."""
     senders = tables.mail_senders(tables.table(spark, sf_dir, "supplier"),
                                   tables.table(spark, sf_dir, "nation"))
     return senders.select("msg_no", mail.render_sender("from").alias("sender"))
 
 
-@register("mail_page", """
-select doc_id as msg_no, source as folder from documents order by doc_id limit 10 offset 20""")
+def _raw_mail(spark, sf_dir):
+    return tables.raw_mail(tables.table(spark, sf_dir, "documents"), tables.table(spark, sf_dir, "pages"))
+
+
+def _mail_page(spark, sf_dir, take, drop, bucket_rows):
+    # The box's message numbers are the documents' ids: the page's place is found without building any mail.
+    keys = tables.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("msg_no"))
+    mails = mail.mail_page(_raw_mail(spark, sf_dir), take=take, drop=drop, keys=keys, bucket_rows=bucket_rows)
+    email = mail.flatten_mail(mails)
+    return email.select("msg_no", "folder", F.col("from").alias("sender"), "subject",
+                        F.md5(F.col("content")[0]["content"]).alias("body_md5"))
+
+
+MAIL_HEADERS = """source as folder,
+       case when doc_id % 3 = 0 then 'Feed ' || source || ' <' || source || '@feed.example>'
+            else source || '@feed.example' end as sender,
+       case when doc_id % 4 = 0 then 'Größe ' || doc_id else 'document ' || doc_id end as subject"""
+
+
+@register("mail_page", f"""
+select doc_id as msg_no, {MAIL_HEADERS}, md5(text) as body_md5 from documents order by doc_id limit 10 offset 20""")
 def mail_page(spark, sf_dir):
-    """Drop 20, take 10 in mailbox order."""
-    raw = tables.raw_mail(tables.table(spark, sf_dir, "documents"), tables.table(spark, sf_dir, "pages"))
-    return mail.mail_page(raw.select("msg_no", "folder"), take=10, drop=20)
+    """Drop 20, take 10 in mailbox order, whole messages."""
+    return _mail_page(spark, sf_dir, 10, 20, paging.BUCKET_ROWS)
 
 
-@register("mail_page_deep", """
-select doc_id as msg_no, source as folder from documents order by doc_id limit 40 offset 150""")
+@register("mail_page_deep", f"""
+select doc_id as msg_no, {MAIL_HEADERS}, md5(text) as body_md5 from documents order by doc_id limit 40 offset 150""")
 def mail_page_deep(spark, sf_dir):
-    """S16 on the deep-page path: rank by range partitions, no single merged top-k."""
-    raw = tables.raw_mail(tables.table(spark, sf_dir, "documents"), tables.table(spark, sf_dir, "pages"))
-    return mail.mail_page(raw.select("msg_no", "folder"), take=40, drop=150, direct_limit=0)
+    """S16 across buckets: small buckets, so that the page lies beyond the first and spans several."""
+    return _mail_page(spark, sf_dir, 40, 150, 20)
+
+
+@register("event_rank", """
+select event_id, row_number() over (order by event_id) as rank from events""")
+def event_rank(spark, sf_dir):
+    """The ranking that pages are cut by, over the whole of a table."""
+    return paging.global_rank(_events(spark, sf_dir).select("event_id"), "event_id", "rank", bucket_rows=500)
+
+
+@register("mail_headers", f"""
+select doc_id as msg_no, {MAIL_HEADERS} from documents""")
+def mail_headers(spark, sf_dir):
+    """Sender with display name and decoded subject of every raw message."""
+    emails = mail.flatten_mail(_raw_mail(spark, sf_dir))
+    return emails.select("msg_no", "folder", F.col("from").alias("sender"), "subject")
 
 
 MAIL_PARTS = """
-select doc_id as msg_no, 0::bigint as pos, 'TEXT/PLAIN' as msg_type, md5(text) as body_md5 from documents
+select doc_id as msg_no, 0::bigint as pos, 'TEXT/PLAIN' as msg_type, md5(text) as body_md5,
+       md5('EmailContent(' || text || ' (...),TEXT/PLAIN)') as shown_md5 from documents
 union all
-select doc_id, 1::bigint, 'TEXT/HTML', md5(html) from documents join pages on doc_id = page_id"""
+select doc_id, 1::bigint, 'TEXT/HTML', md5(html), md5('EmailContent(' || html || ' (...),TEXT/HTML)')
+from documents join pages on doc_id = page_id"""
+
+
+def mail_parts(emails: DataFrame) -> DataFrame:
+    """Parts of mails with the digests of their content and of its rendering."""
+    return mail.explode_content(emails).select(
+        "msg_no", "pos", "msg_type", F.md5("content").alias("body_md5"),
+        F.md5(render_email_content("content", "msg_type")).alias("shown_md5"))
 
 
 @register("mail_flatten", MAIL_PARTS)
 def mail_flatten(spark, sf_dir):
-    """RFC 822 parse -> one row per HTML / plain part."""
-    raw = tables.raw_mail(tables.table(spark, sf_dir, "documents"), tables.table(spark, sf_dir, "pages"))
-    parts = mail.explode_content(mail.flatten_mail(raw))
-    return parts.select("msg_no", "pos", "msg_type", F.md5("content").alias("body_md5"))
+    """S18 + F6: RFC 822 parse -> one row per HTML / plain part."""
+    return mail_parts(mail.flatten_mail(_raw_mail(spark, sf_dir)))
 
 
 # Streaming forms register themselves into the same tables.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from flowdex.functions.documents import HISTO_SUPP, HISTO_VALU
 from flowdex.operators.documents import doc_fields, prepare_documents
 from flowdex.plans.analyzers import HistogramAnalyzer, SqlAnalyzer
-from flowdex.plans.catalog import L, RUNNING, MAIL_PARTS, register
+from flowdex.plans.catalog import L, RUNNING, MAIL_PARTS, mail_parts, register
 from flowdex.session import work_dir
 from flowdex.sinks.files import batch_sink, write_batch
 from flowdex.sinks.index import index_path, index_sink, write_index
@@ -115,14 +115,13 @@ def log_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("mail_stream", MAIL_PARTS)
 def mail_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S15 + S18: a mail drop folder streamed a few files per poll, parsed, written out."""
+    """S15 + S18: a mail drop folder streamed, parsed, written out."""
     base = work_dir(spark, "mail_stream")
     drop, out = f"{base}/drop", f"{base}/out"
     raw = tables.raw_mail(tables.table(spark, sf_dir, "documents"), tables.table(spark, sf_dir, "pages"))
     raw.write.parquet(drop)
-    parts = mail.explode_content(mail.flatten_mail(mail.read_mail_drop(spark, drop)))
-    query = (parts.select("msg_no", "pos", "msg_type", F.md5("content").alias("body_md5"))
-             .writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint")
+    parts = mail_parts(mail.flatten_mail(mail.read_mail_drop(spark, drop)))
+    query = (parts.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint")
              .trigger(availableNow=True).start(out))
     query.awaitTermination()
     return spark.read.parquet(out)

@@ -33,7 +33,7 @@ TEXT_HTML = "TEXT/HTML"
 SENDER_NULL = "Null"
 SENDER_EMPTY = "Empty"
 
-RAW_MAIL_SCHEMA = "msg_no bigint, folder string, raw string"
+RAW_MAIL_SCHEMA = "msg_no bigint, folder string, raw binary"
 EMAIL_SCHEMA = ("msg_no bigint, folder string, `from` string, subject string, "
                 "content array<struct<content: string, msgType: string>>")
 
@@ -52,21 +52,23 @@ def render_sender(from_col: Column | str) -> Column:
 
 def mail_page(mails: DataFrame, take: int | None = None, drop: int = 0,
               folder: str | None = None, order_col: str = "msg_no",
-              direct_limit: int = paging.DIRECT_LIMIT) -> DataFrame:
+              keys: DataFrame | None = None, bucket_rows: int = paging.BUCKET_ROWS) -> DataFrame:
     """``drop`` then ``take`` messages in mailbox order, optionally of one folder.
 
-    Deep pages (``drop + take`` above ``direct_limit``, or no ``take``) are cut by
-    a distributed global rank rather than a single merged top-k.
+    ``keys``: a cheaper table with the message numbers of the box (see :func:`paging.page`).
     """
-    box = mails if folder is None else mails.where(F.col("folder") == folder)
-    return paging.page(box, order_col, drop, take, direct_limit)
+    if folder is not None:
+        mails = mails.where(F.col("folder") == folder)
+        keys = None if keys is None else keys.where(F.col("folder") == folder)
+    return paging.page(mails, order_col, drop, take, keys, bucket_rows)
 
 
-def _part_type(content_type: str) -> str | None:
-    ct = (content_type or "").lower()
-    if "text/html" in ct:
+def _part_type(part) -> str | None:
+    """HTML or plain text by the part's effective type: a part without ``Content-Type`` is plain text."""
+    kind = part.get_content_type()
+    if kind == "text/html":
         return TEXT_HTML
-    if "text/plain" in ct:
+    if kind == "text/plain":
         return TEXT_PLAIN
     return None
 
@@ -74,7 +76,7 @@ def _part_type(content_type: str) -> str | None:
 def _text_of(part) -> str:
     payload = part.get_payload(decode=True)
     if payload is None:
-        return part.get_payload() or ""
+        return ""
     charset = part.get_content_charset() or "utf-8"
     try:
         return payload.decode(charset, errors="replace")
@@ -82,28 +84,41 @@ def _text_of(part) -> str:
         return payload.decode("utf-8", errors="replace")
 
 
-def _parse_one(raw: str):
+def _header(value) -> str:
+    """Header text with folded lines joined and encoded words decoded."""
+    from email.header import decode_header, make_header
+
+    text = " ".join(str(value).split())
+    try:
+        return str(make_header(decode_header(text)))
+    except (LookupError, ValueError):  # unknown charset or broken encoding: the text as it came
+        return text
+
+
+def _parse_one(raw: bytes | None):
     import email
-    from email.utils import getaddresses
+    from email.utils import formataddr, getaddresses
 
-    msg = email.message_from_string(raw or "")
+    msg = email.message_from_bytes(bytes(raw or b""))
     senders = msg.get_all("From")
     if senders is None:
         sender = SENDER_NULL
     else:
-        addrs = [a for _, a in getaddresses(senders) if a]
+        # Whole addresses, display name included, as the mail API prints them.
+        addrs = [formataddr((name, addr)) if name else addr for name, addr in getaddresses(map(str, senders)) if addr]
         sender = ",".join(addrs) if addrs else SENDER_EMPTY
     parts = []
     if msg.is_multipart():
         # One level only: each top-level part that is HTML or plain text.
         for part in msg.get_payload():
-            kind = _part_type(part.get("Content-Type", ""))
+            kind = _part_type(part)
             if kind is not None:
                 parts.append({"content": _text_of(part), "msgType": kind})
     else:
-        kind = TEXT_HTML if _part_type(msg.get("Content-Type", "")) == TEXT_HTML else TEXT_PLAIN
+        kind = TEXT_HTML if _part_type(msg) == TEXT_HTML else TEXT_PLAIN
         parts.append({"content": _text_of(msg), "msgType": kind})
-    return sender, msg.get("Subject"), parts
+    subject = msg.get("Subject")
+    return sender, None if subject is None else _header(subject), parts
 
 
 def _flatten_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -136,8 +151,13 @@ def poll_trigger() -> dict:
     return {"processingTime": POLL_INTERVAL}
 
 
-def read_mail_drop(spark: SparkSession, path: str, files_per_trigger: int = POLL_BATCH) -> DataFrame:
-    """Stream the mail drop folder (parquet files of raw messages), a few files per poll."""
-    return (spark.readStream.schema(RAW_MAIL_SCHEMA)
-            .option("maxFilesPerTrigger", str(files_per_trigger))
-            .parquet(path))
+def read_mail_drop(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Stream the mail drop folder (parquet files of raw messages).
+
+    A poll takes every file that is there; ``files_per_trigger`` bounds it for a backlog that must be cut into batches
+    (the reference's poll took ``POLL_BATCH`` messages, which is a bound on rows that files don't have).
+    """
+    reader = spark.readStream.schema(RAW_MAIL_SCHEMA)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
+    return reader.parquet(path)

@@ -152,51 +152,70 @@ def status_feed(events: DataFrame) -> DataFrame:
 def mail_senders(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """One message per supplier, sent from the supplier and its nation's desk.
 
+    Every tenth message has no sender list, and the one after it an empty list.
     ``nation`` has a fixed 25 rows (TPC-H), so the planner's size check makes it
     a broadcast side; nothing else is assumed about it.
     """
     joined = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey, "left")
+    listed = F.filter(F.array("s_name", "n_name"), lambda x: x.isNotNull())
+    tenth = F.col("s_suppkey") % 10
     return joined.select(
         F.col("s_suppkey").alias("msg_no"),
-        F.filter(F.array("s_name", "n_name"), lambda x: x.isNotNull()).alias("from"),
+        F.when(tenth == 0, F.lit(None)).when(tenth == 1, F.array().cast("array<string>")).otherwise(listed).alias("from"),
     )
 
 
 BOUNDARY = "=_flowdex_part"
 
 
-def _part(content_type: str, body) -> F.Column:
-    return F.concat(
-        F.lit(f"--{BOUNDARY}\r\nContent-Type: {content_type}; charset=utf-8\r\n"
-              "Content-Transfer-Encoding: base64\r\n\r\n"),
-        F.base64(encode_utf8(body)),
-        F.lit("\r\n"),
-    )
+def _bytes(*parts) -> F.Column:
+    return F.concat(*[encode_utf8(p if isinstance(p, F.Column) else F.lit(p)) for p in parts])
+
+
+def _quoted_printable(body) -> F.Column:
+    every = F.regexp_replace(F.hex(encode_utf8(body)), "(..)", "=$1")
+    return F.regexp_replace(every, "((?:=..){24})", "$1=\r\n")  # soft line ends
+
+
+def _body(headers: str, body, way: int) -> F.Column:
+    """Bytes of one part: 8-bit (way 0), base64 (1) or quoted-printable (2)."""
+    if way == 0:
+        return _bytes(f"{headers}Content-Transfer-Encoding: 8bit\r\n\r\n", F.col(body))
+    if way == 1:
+        return _bytes(f"{headers}Content-Transfer-Encoding: base64\r\n\r\n", F.base64(encode_utf8(body)))
+    return _bytes(f"{headers}Content-Transfer-Encoding: quoted-printable\r\n\r\n", _quoted_printable(body))
 
 
 def raw_mail(documents: DataFrame, pages: DataFrame) -> DataFrame:
-    """documents (+ the page with the same id) -> RFC 822 messages.
+    """documents (+ the page with the same id) -> RFC 822 messages as bytes.
 
     A document with a page becomes a two-part ``multipart/alternative`` mail
-    (plain text, then HTML); one without a page a single-part plain mail.
-    Bodies are base64 so they survive byte for byte.
+    (plain text, then HTML); one without a page a single-part plain mail.  The
+    id chooses the body's transfer encoding (8-bit, base64, quoted-printable),
+    whether the plain part names its type at all, whether the subject is an
+    encoded word, and whether the sender has a display name.
     """
     joined = documents.join(pages, documents.doc_id == pages.page_id, "left")
-    headers = F.concat(
-        F.lit("From: "), F.col("source"), F.lit("@feed.example\r\nSubject: document "),
-        F.col("doc_id").cast("string"), F.lit("\r\nMIME-Version: 1.0\r\n"))
+    doc = F.col("doc_id")
+    number = doc.cast("string")
+    sender = F.when(doc % 3 == 0, F.concat(F.lit("Feed "), F.col("source"), F.lit(" <"), F.col("source"),
+                                           F.lit("@feed.example>"))).otherwise(
+        F.concat(F.col("source"), F.lit("@feed.example")))
+    encoded = F.concat(F.lit("=?utf-8?B?"), F.base64(encode_utf8(F.concat(F.lit("Größe "), number))), F.lit("?="))
+    subject = F.when(doc % 4 == 0, encoded).otherwise(F.concat(F.lit("document "), number))
+    headers = F.concat(F.lit("From: "), sender, F.lit("\r\nSubject: "), subject, F.lit("\r\nMIME-Version: 1.0\r\n"))
+    typed, html = "Content-Type: text/plain; charset=utf-8\r\n", "Content-Type: text/html; charset=utf-8\r\n"
+
+    def by_id(make):
+        chosen = F.when(doc % 15 == 0, make("", 0)).when(doc % 15 == 5, make("", 1)).when(doc % 15 == 10, make("", 2))
+        return chosen.when(doc % 3 == 0, make(typed, 0)).when(doc % 3 == 1, make(typed, 1)).otherwise(make(typed, 2))
+
+    plain = by_id(lambda kind, way: _body(kind, "text", way))
+    rich = F.when(doc % 2 == 0, _body(html, "html", 0)).otherwise(_body(html, "html", 2))
+    opened, closed = f"--{BOUNDARY}\r\n", f"\r\n--{BOUNDARY}--\r\n"
     multipart = F.concat(
-        headers,
-        F.lit(f'Content-Type: multipart/alternative; boundary="{BOUNDARY}"\r\n\r\n'),
-        _part("text/plain", F.col("text")),
-        _part("text/html", F.col("html")),
-        F.lit(f"--{BOUNDARY}--\r\n"))
-    single = F.concat(
-        headers,
-        F.lit("Content-Type: text/plain; charset=utf-8\r\nContent-Transfer-Encoding: base64\r\n\r\n"),
-        F.base64(encode_utf8("text")), F.lit("\r\n"))
+        encode_utf8(headers), _bytes(f'Content-Type: multipart/alternative; boundary="{BOUNDARY}"\r\n\r\n{opened}'),
+        plain, _bytes(f"\r\n{opened}"), rich, _bytes(closed))
     return joined.select(
-        F.col("doc_id").alias("msg_no"),
-        F.col("source").alias("folder"),
-        F.when(F.col("page_id").isNotNull(), multipart).otherwise(single).alias("raw"),
-    )
+        doc.alias("msg_no"), F.col("source").alias("folder"),
+        F.when(F.col("page_id").isNotNull(), multipart).otherwise(F.concat(encode_utf8(headers), plain)).alias("raw"))

@@ -77,24 +77,33 @@ def test_interaction_feed_and_status(spark):
     assert [r[0] for r in feeds.status_messages(st).collect()] == ["Error:\nm", "Info:\nm", "Warning:\nm"]
 
 
-RAW_MULTI = ("From: a@x.example, b@y.example\r\nSubject: s\r\nMIME-Version: 1.0\r\n"
-             'Content-Type: multipart/mixed; boundary="B"\r\n\r\n'
+RAW_MULTI = ("From: Joe Doe <a@x.example>, b@y.example\r\nSubject: =?iso-8859-1?Q?caf=E9?=\r\n =?utf-8?B?5pel5pys?=\r\n"
+             'MIME-Version: 1.0\r\nContent-Type: multipart/mixed; boundary="B"\r\n\r\n'
              "--B\r\nContent-Type: TEXT/HTML; charset=utf-8\r\n\r\n<p>h</p>\r\n"
              "--B\r\nContent-Type: image/png\r\n\r\nxx\r\n"
-             "--B\r\nContent-Type: text/plain; charset=utf-8\r\n\r\nplain\r\n--B--\r\n")
-RAW_HTML = "Subject: only\r\nContent-Type: text/html\r\n\r\n<b>x</b>"
-RAW_NOFROM_TYPE = "From: \r\nSubject: none\r\n\r\njust text"
+             "--B\r\n\r\nno type\r\n"
+             "--B\r\nContent-Type: text/plain; charset=iso-8859-1\r\nContent-Transfer-Encoding: quoted-printable\r\n\r\n"
+             "caf=E9=\r\n!\r\n--B--\r\n").encode()
+RAW_HTML = b"Subject: only\r\nContent-Type: text/html\r\n\r\n<b>x</b>"
+RAW_NOFROM_TYPE = b"From: \r\nSubject: none\r\n\r\njust text"
+RAW_8BIT = ("From: \"Doe, Joe\" <j@x.example>\r\nContent-Type: text/plain; charset=utf-8\r\n"
+            "Content-Transfer-Encoding: 8bit\r\n\r\ncafé 日本\n").encode()
+RAW_BAD = b"Subject: =?none-such?B?eA==?=\r\nContent-Type: text/plain; charset=none-such\r\n\r\n\xff caf\xc3\xa9"
 
 
 def test_mail_flatten(spark):
-    raw = spark.createDataFrame([(1, "inbox", RAW_MULTI), (2, "inbox", RAW_HTML), (3, "inbox", RAW_NOFROM_TYPE)],
+    raw = spark.createDataFrame([(1, "inbox", RAW_MULTI), (2, "inbox", RAW_HTML), (3, "inbox", RAW_NOFROM_TYPE),
+                                 (4, "inbox", RAW_8BIT), (5, "inbox", RAW_BAD), (6, "inbox", None)],
                                 mail.RAW_MAIL_SCHEMA)
     emails = {r["msg_no"]: r for r in mail.flatten_mail(raw).collect()}
-    assert emails[1]["from"] == "a@x.example,b@y.example"
+    assert emails[1]["from"] == "Joe Doe <a@x.example>,b@y.example" and emails[1]["subject"] == "café日本"
     assert [(c["msgType"], c["content"].strip()) for c in emails[1]["content"]] == [
-        ("TEXT/HTML", "<p>h</p>"), ("TEXT/PLAIN", "plain")]
+        ("TEXT/HTML", "<p>h</p>"), ("TEXT/PLAIN", "no type"), ("TEXT/PLAIN", "café!")]
     assert emails[2]["from"] == "Null" and emails[2]["content"][0]["msgType"] == "TEXT/HTML"
     assert emails[3]["from"] == "Empty" and emails[3]["content"][0]["msgType"] == "TEXT/PLAIN"
+    assert emails[4]["from"] == '"Doe, Joe" <j@x.example>' and emails[4]["content"][0]["content"] == "café 日本\n"
+    assert emails[5]["subject"] == "=?none-such?B?eA==?=" and emails[5]["content"][0]["content"] == "\ufffd café"
+    assert emails[6]["from"] == "Null" and emails[6]["subject"] is None and emails[6]["content"][0]["content"] == ""
 
 
 def test_sender_rendering_and_page(spark):

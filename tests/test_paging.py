@@ -1,21 +1,63 @@
-"""Deep paging by distributed rank equals offset/limit."""
+"""Pages by fixed key buckets equal offset/limit at every depth."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowdex.operators.paging import global_rank, page
 
+ROWS = 230_003  # over the size below which Spark's range partitioning samples the whole input
 
-def test_global_rank_is_exact(spark):
-    df = spark.range(0, 3000, 3).select(F.col("id").alias("k")).repartition(7)
-    ranks = {r["k"]: r["__rank"] for r in global_rank(df, "k", partitions=5).collect()}
-    assert ranks == {k: i + 1 for i, k in enumerate(range(0, 3000, 3))}
 
+@pytest.fixture(scope="module")
+def wide(spark, tmp_path_factory):
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    path = f"file:{tmp_path_factory.mktemp('paging')}/wide"
+    key = (F.col("id") * 7919 % ROWS).alias("k")
+    (spark.range(ROWS).select((key * 3).alias("k"), F.col("id").alias("v"),
+                              F.concat(F.lit("body "), F.col("id").cast("string")).alias("body"))
+     .repartition(9).write.parquet(path))
+    yield spark.read.parquet(path)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
 
-@pytest.mark.parametrize("drop,take", [(0, 10), (250, 40), (990, 50), (5, None), (0, None)])
-def test_deep_page_equals_offset_limit(spark, drop, take):
+
+@pytest.mark.parametrize("tenth", range(11))
+@pytest.mark.parametrize("columns", [["k"], ["k", "v", "body"]])
+def test_page_at_every_tenth(wide, tenth, columns):
+    drop = ROWS * tenth // 10
+    got = [r["k"] for r in page(wide.select(*columns), "k", drop, 40, bucket_rows=10_000).collect()]
+    assert got == [3 * i for i in range(drop, min(ROWS, drop + 40))]
+
+
+def test_global_rank_is_exact(wide):
+    ranked = global_rank(wide, "k", "rank", bucket_rows=10_000)
+    assert ranked.columns == [*wide.columns, "rank"]
+    assert ranked.where(F.col("rank") != F.col("k") / 3 + 1).count() == 0 and ranked.count() == ROWS
+
+
+@pytest.mark.parametrize("drop,take", [(0, 10), (250, 40), (990, 50), (5, None), (0, None), (1000, 5), (0, 0)])
+@pytest.mark.parametrize("bucket_rows", [7, 100, 200_000])
+def test_page_equals_offset_limit(spark, drop, take, bucket_rows):
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"), F.col("id").alias("v")).repartition(6)
-    deep = [tuple(r) for r in page(df, "k", drop, take, direct_limit=0).orderBy("k").collect()]
+    got = [tuple(r) for r in page(df, "k", drop, take, bucket_rows=bucket_rows).collect()]
     ordered = df.orderBy("k").offset(drop)
-    direct = [tuple(r) for r in (ordered.limit(take) if take is not None else ordered).collect()]
-    assert deep == direct
+    assert got == [tuple(r) for r in (ordered.limit(take) if take is not None else ordered).collect()]
+
+
+def test_empty_null_and_time_keys(spark):
+    assert page(spark.range(0), "id", 3, 4).collect() == []
+    some = spark.createDataFrame([(3,), (None,), (1,)], "k int")
+    assert [r["k"] for r in page(some, "k").collect()] == [1, 3]
+    times = spark.range(100).select(F.timestamp_seconds("id").alias("t"), "id")
+    assert [r["id"] for r in page(times, "t", 50, 3, bucket_rows=9).collect()] == [50, 51, 52]
+
+
+def test_page_filter_reaches_the_reader(wide):
+    plan = page(wide, "k", 100_000, 10, bucket_rows=10_000)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(k," in plan and "LessThanOrEqual(k," in plan
+
+
+def test_rank_equals_a_window(spark):
+    df = spark.range(5000).select((F.col("id") * 37 % 5000).alias("k"))
+    both = global_rank(df, "k", "rank", bucket_rows=333).withColumn("w", F.row_number().over(Window.orderBy("k")))
+    assert both.where("rank <> w").count() == 0
