@@ -19,9 +19,11 @@ def main(argv):
     nodes = argv[5] if len(argv) > 5 else "localhost"
     port = argv[6] if len(argv) > 6 else "9200"
     spark = build_session()
-    feed = open_kafka_feed(spark, kafka_source_options(brokers, topics=topics))
-    analyzer = HistogramAnalyzer(field, named_dir(spark, "logs", "state"))
-    sink = index_sink("", fmt=CONNECTOR_FORMAT, options=index_options(nodes, port, index, mapping))
+    feed = open_kafka_feed(spark, kafka_source_options(brokers, topics=topics, max_offsets=10_000_000))
+    analyzer = HistogramAnalyzer(field, named_dir(spark, "logs", "state"), keep=["record_id"])
+    # Written by record id, a batch that is replayed after a failure replaces its own documents.
+    sink = index_sink("", id_col="record_id", fmt=CONNECTOR_FORMAT,
+                      options=index_options(nodes, port, index, mapping, id_col="record_id"))
     query = start_indexing(feed, analyzer, sink, named_dir(spark, "logs", "checkpoint"),
                            trigger=trigger_of(spark=spark))
     query.awaitTermination()

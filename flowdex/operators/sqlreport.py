@@ -98,21 +98,39 @@ def sql_analyzer(messages: DataFrame, statement: str = DEFAULT_STATEMENT,
     return spark.sql(statement)
 
 
+# Words of SQL that may follow a table and aren't its alias.
+AFTER_TABLE = ("where group order having limit offset join inner left right full cross natural anti semi on using union "
+               "except intersect minus lateral window sort distribute cluster tablesample pivot unpivot").split()
+
+
 def bind_view(statement: str, view: str) -> str | None:
-    """The statement with its bare references to ``view`` turned into ``{view}``.
+    """The statement with ``view`` in table position (after FROM or JOIN) turned into ``{view}``.
 
     Binding the batch as a DataFrame argument leaves the session catalog alone,
     so concurrent analyzers on one session cannot swap each other's view.
-    Only done when it is unambiguous: no braces or double quotes in the text;
-    single-quoted literals are left untouched.  Otherwise returns None.
+    A table without an alias keeps the view's name as one, so qualified columns
+    still resolve; columns and aliases of the same name are left untouched.
+    None where that isn't certain (braces, double quotes, comments, a table
+    after a comma): the caller then uses a temp view.
     """
-    if any(c in statement for c in '{}"'):
+    if any(c in statement for c in ('{', '}', '"', "--", "/*")):
         return None
-    pattern = re.compile(rf"(?<![\w.`])`?{re.escape(view)}`?(?![\w`])", re.IGNORECASE)
+    name = rf"`?{re.escape(view)}`?(?![\w`.])"
     pieces = statement.split("'")
-    pieces[::2] = [pattern.sub("{" + view + "}", p) for p in pieces[::2]]
-    bound = "'".join(pieces)
-    return bound if bound != statement else None
+    code = " '' ".join(pieces[::2])
+    if re.search(rf"\bFROM\b[^()]*,\s*{name}", code, re.IGNORECASE | re.DOTALL):
+        return None
+    alias = re.compile(rf"\s+(?:AS\s+\w+|(?!(?:{'|'.join(AFTER_TABLE)})\b)[A-Za-z_`]\w*)", re.IGNORECASE)
+
+    def bound(piece: str) -> str:
+        def put(m):
+            own = "" if alias.match(piece, m.end()) else f" AS {view}"
+            return m[1] + "{" + view + "}" + own
+        return re.sub(rf"(\b(?:FROM|JOIN)\s+){name}", put, piece, flags=re.IGNORECASE)
+
+    pieces[::2] = [bound(p) for p in pieces[::2]]
+    out = "'".join(pieces)
+    return out if out != statement else None
 
 
 def report_filter(records: DataFrame) -> DataFrame:
@@ -146,3 +164,8 @@ def render_report(report: DataFrame, mean_decimals: int | None = None,
     mean_key = "sum" if legacy_keys else "mean"
     return report.select(F.to_json(F.struct(
         F.col("host"), F.col("host_c").alias("count"), mean.alias(mean_key))).alias("value"))
+
+
+def render_rows(report: DataFrame) -> DataFrame:
+    """Rows of any report -> JSON text with the report's own column names (escaped; null members omitted)."""
+    return report.select(F.to_json(F.struct("*")).alias("value"))

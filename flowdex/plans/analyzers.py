@@ -17,12 +17,19 @@ Analyzer = Callable[[DataFrame, int], DataFrame | None]  # None: nothing to emit
 
 
 def apply_analyzer(batch: DataFrame, analyzer: Analyzer | None, batch_id: int = 0) -> DataFrame | None:
-    """``if (analyzer == null) stream else analyzer.analyze(stream)``."""
+    """The analyzer's output for this batch; without an analyzer the batch itself."""
     return batch if analyzer is None else analyzer(batch, batch_id)
 
 
 class SqlAnalyzer:
-    """One SQL statement per micro-batch; report rows rendered as JSON ``value``."""
+    """One SQL statement per micro-batch; report rows rendered as JSON ``value``.
+
+    The default report has its own key names (``mean_decimals`` and
+    ``legacy_keys`` apply to it alone); rows of any other statement are rendered
+    with the statement's column names.
+    """
+
+    rereads_batch = False  # with a declared schema the batch is read once
 
     def __init__(self, statement: str = sqlreport.DEFAULT_STATEMENT, view: str = sqlreport.DEFAULT_VIEW,
                  schema: str | None = sqlreport.LOG_SCHEMA, render: bool = True,
@@ -33,6 +40,7 @@ class SqlAnalyzer:
         self.render = render
         self.mean_decimals = mean_decimals
         self.legacy_keys = legacy_keys
+        self.rereads_batch = schema is None  # inference is a pass of its own
 
     def __call__(self, batch: DataFrame, batch_id: int = 0) -> DataFrame | None:
         report = sqlreport.sql_analyzer(batch, self.statement, self.view, self.schema)
@@ -40,12 +48,16 @@ class SqlAnalyzer:
             return None
         if not self.render:
             return report
-        return sqlreport.render_report(report, self.mean_decimals, self.legacy_keys)
+        if self.statement == sqlreport.DEFAULT_STATEMENT:
+            return sqlreport.render_report(report, self.mean_decimals, self.legacy_keys)
+        return sqlreport.render_rows(report)
 
 
 class HistogramAnalyzer:
     """Running histogram of ``field`` (state kept in a versioned table)."""
 
+    rereads_batch = False  # it keeps the parsed documents itself
+
     def __init__(self, field: str, state_dir: str, keep: Sequence[str] = (),
                  compact_every: int | None = None, on_missing: str = "skip"):
         from flowdex.streaming.histogram_state import DEFAULT_COMPACT_EVERY, HistogramState
@@ -56,3 +68,6 @@ class HistogramAnalyzer:
 
     def __call__(self, batch: DataFrame, batch_id: int = 0) -> DataFrame:
         return self.state.enrich_batch(batch, batch_id, keep=self.keep)
+
+    def release(self) -> None:
+        self.state.release()

@@ -122,6 +122,17 @@ def sql_analyzer_inferred(spark, sf_dir):
     return sqlreport.sql_analyzer(_log(spark, sf_dir), statement=statement, schema=None)
 
 
+@register("sql_analyzer_custom", L + """
+select '{"path":"' || path || '","lo":' || min(lineno) || ',"hi":' || max(lineno) || ',"logstash":' || count(*) || '}' as value
+from L where path <> 'FROM logstash' group by path""")
+def sql_analyzer_custom(spark, sf_dir):
+    """A caller's statement through the analyzer's default settings; the view's name is an alias and a text too."""
+    from flowdex.plans.analyzers import SqlAnalyzer
+    statement = ("SELECT logstash.path, MIN(lineno) AS lo, MAX(lineno) AS hi, COUNT(*) AS logstash "
+                 "FROM logstash WHERE path <> 'FROM logstash' GROUP BY logstash.path")
+    return SqlAnalyzer(statement=statement)(_log(spark, sf_dir))
+
+
 # ------------------------------------------------------------ documents
 
 @register("message_mapify", """
@@ -285,6 +296,15 @@ def kafka_records(spark, sf_dir):
     return recs.select("topic", decode_utf8("key").alias("key"), F.md5("value").alias("value_md5"))
 
 
+@register("kafka_binary_keys", """
+select source as topic, upper(md5(text)) as key_hex, md5(text) as value_md5 from documents""")
+def kafka_binary_keys(spark, sf_dir):
+    """K4: keys of raw bytes (not text) leave as they are."""
+    docs = tables.table(spark, sf_dir, "documents").withColumn("digest", F.unhex(F.md5("text")))
+    recs = kafka_sink.records(docs, value_col="text", key_col="digest", topic_col="source")
+    return recs.select("topic", F.hex("key").alias("key_hex"), F.md5("value").alias("value_md5"))
+
+
 @register("analyzer_identity", """
 select event_id, event_type from events""")
 def analyzer_identity(spark, sf_dir):

@@ -1,9 +1,9 @@
 """Registered queries that run the streaming forms end to end.
 
 Each one stages its input under the session's checkpoint folder, replays the
-table as a feed (one micro-batch per day where the oracle needs it), runs the
-Structured Streaming query to completion with an available-now trigger and
-returns the sink's contents as a DataFrame.
+table as a feed (one micro-batch per day where the oracle needs it) to one
+running Structured Streaming query and returns the sink's contents as a
+DataFrame.
 """
 
 from __future__ import annotations
@@ -28,14 +28,8 @@ SHARDS = 4
 @register("shard_union", """
 select event_id, event_type from events""")
 def shard_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``SHARDS`` independent shard sources unioned into one feed.
-
-    Shards are the table's files when it has enough of them (no copy), else
-    hash-of-id folders written once (see :func:`tables.shard_sources`).
-    """
-    shards = tables.shard_sources(spark, sf_dir, "events", ["event_id", "event_type"], SHARDS,
-                                  work_dir(spark, "shards"))
-    return feeds.union_shards(shards)
+    """``SHARDS`` independent shard sources (by a hash of the id) unioned into one feed."""
+    return feeds.union_shards(tables.shard_sources(spark, sf_dir, "events", ["event_id", "event_type"], SHARDS))
 
 
 @register("index_write", L + """
@@ -52,11 +46,10 @@ def _replayed_stream(spark, msgs: DataFrame, columns, fmt: str, source_of, analy
     staged, days = replay.stage(msgs, "batch", f"{base}/staged")
     feed_dir, ckpt = f"{base}/feed", f"{base}/checkpoint"
 
-    def resume():
-        start_indexing(source_of(feed_dir), analyzer, sink, ckpt,
-                       trigger=trigger_of(available_now=True)).awaitTermination()
+    def start():
+        return start_indexing(source_of(feed_dir), analyzer, sink, ckpt, trigger=trigger_of(0))
 
-    replay.replay(staged, "batch", days, feed_dir, columns, fmt, resume)
+    replay.replay(staged, "batch", days, feed_dir, columns, fmt, start)
 
 
 @register("histogram_stream", L + f"""
@@ -113,6 +106,36 @@ def log_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select(F.col("batch_id").cast("bigint"), "host", "host_c", F.round("line_a", 4).alias("line_a"))
 
 
+@register("feed_to_index_plain", L + """
+select dense_rank() over (order by batch) - 1 as batch_id, event_id, host, path, cast(lineno as varchar) lineno
+from L""")
+def feed_to_index_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X2 + K1/K2/X7: text feed -> no analyzer -> index sink, which prepares the documents."""
+    base = work_dir(spark, "feed_to_index_plain")
+    target = index_path(base, "logs", "message")
+    msgs = tables.log_messages(tables.table(spark, sf_dir, "events"), with_id_in_text=True)
+    source = lambda d: feeds.read_text_feed(spark, d)
+    _replayed_stream(spark, msgs, ["value"], "text", source, None, index_sink(target), base)
+    docs = doc_fields(spark.read.parquet(target), ["event_id", "host", "path", "lineno"], keep=["batch_id"])
+    return docs.select(F.col("batch_id").cast("bigint"), F.col("event_id").cast("bigint"), "host", "path", "lineno")
+
+
+@register("report_to_index", L + """
+select dense_rank() over (order by batch) - 1 as batch_id, host, cast(count(host) as varchar) "count",
+       round(avg(lineno),4) mean
+from L where path='/var/log/system.log' and lineno>70 group by batch, host
+qualify row_number() over (partition by batch order by count(host) desc, host) <= 100""")
+def report_to_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4 + K1/K2/X7: text feed -> SQL report -> index sink, report rows as flat documents."""
+    base = work_dir(spark, "report_to_index")
+    target = index_path(base, "logs", "report")
+    msgs = tables.log_messages(tables.table(spark, sf_dir, "events"))
+    source = lambda d: feeds.read_text_feed(spark, d)
+    _replayed_stream(spark, msgs, ["value"], "text", source, SqlAnalyzer(), index_sink(target), base)
+    docs = doc_fields(spark.read.parquet(target), ["host", "count", "mean"], keep=["batch_id"])
+    return docs.select(F.col("batch_id").cast("bigint"), "host", "count", F.round(F.col("mean").cast("double"), 4).alias("mean"))
+
+
 @register("mail_stream", MAIL_PARTS)
 def mail_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S15 + S18: a mail drop folder streamed, parsed, written out."""

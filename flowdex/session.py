@@ -8,6 +8,7 @@ is a fresh temporary folder created and registered as the checkpoint dir.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -59,9 +60,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ensure_map_policy(spark: SparkSession) -> None:
-    """Operators that build documents need duplicate map keys to resolve last-wins."""
+    """Fail early where duplicate map keys wouldn't resolve last-wins: documents would raise or lose members later.
+
+    The caller's session isn't changed here; :func:`configure` sets everything the operators need.
+    """
     if spark.conf.get("spark.sql.mapKeyDedupPolicy", None) != "LAST_WIN":
-        spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+        raise RuntimeError("spark.sql.mapKeyDedupPolicy must be LAST_WIN: call flowdex.session.configure(spark)")
 
 
 _LOCAL_ROOT: str | None = None
@@ -91,11 +95,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def _is_local(spark: SparkSession) -> bool:
+    """Whether the master is known to be local; one that can't be read is taken for a cluster's."""
     try:
         master = spark.conf.get("spark.master", None)
     except Exception:
-        master = None
-    return master is None or master.startswith("local")
+        return False
+    return master is not None and re.fullmatch(r"local(\[.*\])?", master) is not None
 
 
 def named_dir(spark: SparkSession, *parts: str) -> str:

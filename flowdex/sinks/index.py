@@ -9,23 +9,24 @@ micro-batch does not duplicate documents there.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowdex.operators.documents import prepare_documents
 from flowdex.sinks.files import write_batch
 
 CONNECTOR_FORMAT = "org.elasticsearch.spark.sql"
 
 
+FIELD_LIMIT = 1000  # the index's own default limit of fields
+
+
 def index_options(nodes: str, port: int | str, index: str, mapping: str,
                   id_col: str | None = None) -> dict[str, str]:
-    """Connector settings: nodes, port, the ``index/mapping`` resource, JSON input.
-
-    Documents go to the connector as JSON text (``es.input.json``), so the flat
-    map becomes the document body; ``id_col`` names the document id field.
-    """
-    opts = {"es.nodes": nodes, "es.port": str(port), "es.resource": f"{index}/{mapping}",
-            "es.input.json": "true"}
+    """Connector settings: nodes, port, the ``index/mapping`` resource; ``id_col`` names the document id field."""
+    opts = {"es.nodes": nodes, "es.port": str(port), "es.resource": f"{index}/{mapping}"}
     if id_col:
         opts["es.mapping.id"] = id_col
     return opts
@@ -35,18 +36,35 @@ def index_path(root: str, index: str, mapping: str) -> str:
     return f"{root.rstrip('/')}/{index}/{mapping}"
 
 
-def connector_documents(docs: DataFrame, doc_col: str = "doc", id_col: str | None = None) -> DataFrame:
-    """One JSON object per document (the flat map), the id as a field of the same name."""
+def with_documents(messages: DataFrame, doc_col: str = "doc", value_col: str = "value") -> DataFrame:
+    """``messages`` with their document: what leaves an analyzer as text is prepared here, other columns stay."""
+    if doc_col in messages.columns:
+        return messages
+    keep = [c for c in messages.columns if c != value_col]
+    return prepare_documents(messages, value_col, keep).withColumnRenamed("doc", doc_col)
+
+
+def connector_documents(docs: DataFrame, doc_col: str = "doc", id_col: str | None = None,
+                        fields: Sequence[str] | None = None) -> DataFrame:
+    """Flat documents as the connector's DataFrame source takes them: one text column per field.
+
+    ``fields`` default to the keys found in the batch (one aggregate; more than ``FIELD_LIMIT`` are refused, as the
+    index would).  A field that a document lacks is NULL, which the connector leaves out.
+    """
+    if fields is None:
+        found = docs.select(F.explode(F.map_keys(doc_col)).alias("k")).distinct().orderBy("k").limit(FIELD_LIMIT + 1)
+        fields = [r["k"] for r in found.collect()]
+    if len(fields) > FIELD_LIMIT:
+        raise ValueError(f"documents with more than {FIELD_LIMIT} fields")
     doc = F.col(doc_col)
-    if id_col:
-        doc = F.map_concat(doc, F.create_map(F.lit(id_col), F.col(id_col).cast("string")))
-    return docs.select(F.to_json(doc).alias("value"))
+    cols = [F.try_element_at(doc, F.lit(f)).alias(f) for f in fields if f != id_col]
+    return docs.select(*([F.col(id_col).cast("string").alias(id_col)] if id_col else []), *cols)
 
 
 def write_index(docs: DataFrame, target: str, batch_id: int = 0, doc_col: str = "doc",
                 id_col: str | None = None, fmt: str = "parquet",
                 options: dict[str, str] | None = None) -> None:
-    """Write one batch of documents.
+    """Write one batch of documents, or of messages that are made into documents first.
 
     ``fmt`` = ``parquet``/``json``: ``target`` is the index directory; the
     batch's folder ``batch_id=<id>`` is replaced.  Columns: the id column
@@ -54,6 +72,7 @@ def write_index(docs: DataFrame, target: str, batch_id: int = 0, doc_col: str =
     ``fmt`` = the connector format: ``target`` is unused, ``options`` (see
     :func:`index_options`) address the cluster.
     """
+    docs = with_documents(docs, doc_col)
     if fmt == CONNECTOR_FORMAT:
         (connector_documents(docs, doc_col, id_col).write.format(fmt)
          .options(**(options or {})).mode("append").save())
@@ -64,7 +83,10 @@ def write_index(docs: DataFrame, target: str, batch_id: int = 0, doc_col: str =
 
 def index_sink(target: str, doc_col: str = "doc", id_col: str | None = None, fmt: str = "parquet",
                options: dict[str, str] | None = None):
-    """A ``(DataFrame, batch_id) -> None`` sink for :func:`flowdex.streaming.runner.start_indexing`."""
+    """A ``(DataFrame, batch_id) -> None`` sink for :func:`flowdex.streaming.runner.start_indexing`.
+
+    It takes the output of any analyzer: documents in ``doc_col``, or else text messages in ``value``.
+    """
     def sink(docs: DataFrame, batch_id: int) -> None:
         write_index(docs, target, batch_id, doc_col, id_col, fmt, options)
     return sink

@@ -17,7 +17,13 @@ PRODUCER_COMPRESSION = "gzip"
 def records(df: DataFrame, value_col: str, key_col: str | None = None,
             topic_col: str | None = None, topic: str | None = None) -> DataFrame:
     """``key BINARY`` (nullable), ``value BINARY``, ``topic STRING`` rows for the Kafka sink."""
-    key = encode_utf8(F.col(key_col).cast("string")) if key_col else F.lit(None).cast("binary")
+    types = dict(df.dtypes)
+    if not key_col:
+        key = F.lit(None).cast("binary")
+    elif types[key_col] == "binary":
+        key = F.col(key_col)  # bytes stay as they are: they needn't be text
+    else:
+        key = encode_utf8(F.col(key_col).cast("string"))
     if topic_col:
         topic_expr = F.col(topic_col)
     elif topic:
@@ -25,7 +31,7 @@ def records(df: DataFrame, value_col: str, key_col: str | None = None,
     else:
         raise ValueError("give topic_col or topic")
     value = F.col(value_col)
-    if dict(df.dtypes)[value_col] != "binary":
+    if types[value_col] != "binary":
         value = encode_utf8(value)
     return df.select(key.alias("key"), value.alias("value"), topic_expr.alias("topic"))
 

@@ -34,9 +34,13 @@ def whitelist_regex(pattern: str) -> str:
 def kafka_source_options(bootstrap_servers: str, topics: str | Sequence[str] | None = None,
                          pattern: str | None = None, group: str | None = None,
                          timeout_ms: int | None = None, from_start: bool = True,
-                         min_partitions: int | None = None) -> dict[str, str]:
+                         min_partitions: int | None = None,
+                         max_offsets: int | None = None) -> dict[str, str]:
     """Options for ``readStream.format("kafka")``.
 
+    ``max_offsets`` bounds the records of a micro-batch, so that a backlog is
+    worked off in batches instead of as one.
+
     ``group``/``timeout_ms`` map to the consumer group and poll timeout; the
     per-topic thread count of a receiver has no meaning for Spark's Kafka
     source and is expressed as ``minPartitions`` instead.
@@ -55,6 +59,8 @@ def kafka_source_options(bootstrap_servers: str, topics: str | Sequence[str] | N
         opts["kafkaConsumer.pollTimeoutMs"] = str(int(timeout_ms))
     if min_partitions:
         opts["minPartitions"] = str(int(min_partitions))
+    if max_offsets:
+        opts["maxOffsetsPerTrigger"] = str(int(max_offsets))
     return opts
 
 
@@ -174,41 +180,49 @@ def status_messages(status: DataFrame, is_error: str = "is_error", is_info: str
              .when(F.col(is_info), F.lit(STATUS_INFO))
              .otherwise(F.lit(STATUS_WARNING)))
     return status.select(*keep, F.concat(level, F.lit(STATUS_SEPARATOR),
-                                         F.col(message_col)).alias("message"))
+                                         F.coalesce(F.col(message_col), F.lit(""))).alias("message"))
+
+
+def _reader(spark: SparkSession, streaming: bool, files_per_trigger: int | None):
+    """A stream or batch reader; ``files_per_trigger`` bounds the files of a micro-batch."""
+    if not streaming:
+        return spark.read
+    reader = spark.readStream
+    return reader.option("maxFilesPerTrigger", str(files_per_trigger)) if files_per_trigger else reader
 
 
 def read_text_feed(spark: SparkSession, path: str, streaming: bool = True,
                    files_per_trigger: int | None = None) -> DataFrame:
     """JSON-lines / text files as a feed of messages (one line = one message)."""
-    reader = spark.readStream if streaming else spark.read
-    if streaming and files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(files_per_trigger))
-    return reader.text(path)
+    return _reader(spark, streaming, files_per_trigger).text(path)
 
 
 # --------------------------------------------- feed openers (source -> value stream)
 
 def open_kafka_feed(spark: SparkSession, options: dict[str, str], streaming: bool = True) -> DataFrame:
-    """Kafka records -> text messages (key dropped), with topic/partition/offset kept."""
+    """Kafka records -> text messages (key dropped) with ``record_id``, the id a replay repeats."""
     records = read_kafka(spark, options, streaming)
-    return record_values(records, keep=["topic", "partition", "offset"])
+    return identified_values(records)
+
+
+def identified_values(records: DataFrame) -> DataFrame:
+    """``record_id, value`` of broker records: write an index by ``record_id`` and a replayed batch replaces itself."""
+    return record_values(records.withColumn("record_id", record_id()), keep=["record_id"])
 
 
 def open_shard_feed(spark: SparkSession, shard_paths: Sequence[str], fmt: str = "parquet",
                     schema: str = "value binary", value_col: str = "value",
-                    streaming: bool = True) -> DataFrame:
+                    streaming: bool = True, files_per_trigger: int | None = None) -> DataFrame:
     """One source per shard folder, unioned, bytes decoded as UTF-8 text."""
-    reader = spark.readStream if streaming else spark.read
-    shards = [reader.schema(schema).format(fmt).load(p) for p in shard_paths]
+    shards = [_reader(spark, streaming, files_per_trigger).schema(schema).format(fmt).load(p) for p in shard_paths]
     return record_values(union_shards(shards), value_col)
 
 
 def open_frame_feed(spark: SparkSession, path: str, topic: str = "", fmt: str = "parquet",
                     schema: str = "frames array<binary>", frames_col: str = "frames",
-                    streaming: bool = True) -> DataFrame:
+                    streaming: bool = True, files_per_trigger: int | None = None) -> DataFrame:
     """Multi-frame messages subscribed by topic prefix (frame 0), every frame one message."""
-    reader = spark.readStream if streaming else spark.read
-    messages = reader.schema(schema).format(fmt).load(path)
+    messages = _reader(spark, streaming, files_per_trigger).schema(schema).format(fmt).load(path)
     subscribed = subscribe_prefix(messages.withColumn("__topic", topic_frame(frames_col)), topic, "__topic")
     return flatten_frames(subscribed.drop("__topic"), frames_col)
 
@@ -216,7 +230,6 @@ def open_frame_feed(spark: SparkSession, path: str, topic: str = "", fmt: str =
 def open_interaction_feed(spark: SparkSession, path: str, query: str | None = None,
                           fmt: str = "parquet",
                           schema: str = "is_delete boolean, interaction string",
-                          streaming: bool = True) -> DataFrame:
+                          streaming: bool = True, files_per_trigger: int | None = None) -> DataFrame:
     """Interaction rows -> JSON messages, deletes dropped, ``query`` applied."""
-    reader = spark.readStream if streaming else spark.read
-    return interaction_feed(reader.schema(schema).format(fmt).load(path), query=query)
+    return interaction_feed(_reader(spark, streaming, files_per_trigger).schema(schema).format(fmt).load(path), query=query)

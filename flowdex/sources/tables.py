@@ -13,7 +13,6 @@ DataFrame expressions, so the work grows with the tables:
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,69 +22,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    return spread_small_input(df, cache_key=path) if spread else df
-
-
-# Split-count probes by input path.  The decision only affects how work is spread,
-# never the result, so a stale entry cannot change any answer.
-_SPLITS: dict[tuple[str, int], int] = {}
-
-
-def spread_small_input(df: DataFrame, cache_key: str | None = None) -> DataFrame:
-    """Round-robin a scan that arrives as fewer splits than the cluster has cores.
-
-    A parquet file with one row group is one split however large it is, so the
-    per-row parsing above it would run in a single task.  Inputs with at least
-    as many splits as cores (any large table on a cluster) are left untouched:
-    no extra shuffle at scale.  Filters and column pruning still reach the scan.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        key = (cache_key, cores) if cache_key else None
-        splits = _SPLITS.get(key) if key else None
-        if splits is None:
-            splits = df.rdd.getNumPartitions()
-            if key:
-                _SPLITS[key] = splits
-    except Exception:  # no SparkContext on this client (e.g. Spark Connect): leave as is
-        return df
-    if splits >= cores:
-        return df
-    # Hash on the leading key column: deterministic under task retries without the
-    # local sort a round-robin repartition needs, and the scan still prunes to the
-    # columns the query uses (plus this key).
-    return df.repartition(cores, df.columns[0])
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def shard_sources(spark: SparkSession, sf_dir: str, name: str, columns: list[str],
-                  shards: int, stage_dir: str) -> list[DataFrame]:
+                  shards: int, key: str | None = None) -> list[DataFrame]:
     """``shards`` independent sources that together hold the table once.
 
-    A table stored as at least ``shards`` files is split by file: each shard
-    reads its own files, nothing is copied.  A table with fewer files (a small
-    one) is laid out once as shard folders by a hash of its leading key.
+    A shard is the rows whose hash of ``key`` (default: the first column) falls
+    to it: nothing is copied, no file list is made, partition columns are columns
+    like others, and a null key has its shard too.
     """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    full = spark.read.parquet(path).select(*columns)
-    schema = full.schema
-    files = sorted(full.inputFiles())
-    if len(files) >= shards:
-        return [spark.read.schema(schema).parquet(*files[i::shards]).select(*columns)
-                for i in range(shards)]
-    (full.withColumn("__shard", F.pmod(F.xxhash64(columns[0]), F.lit(shards)))
-     .write.partitionBy("__shard").parquet(stage_dir))
-    return [_read_or_empty(spark, schema, f"{stage_dir}/__shard={i}") for i in range(shards)]
-
-
-def _read_or_empty(spark: SparkSession, schema, path: str) -> DataFrame:
-    """A shard folder; a shard that received no rows has none and is empty."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    full = table(spark, sf_dir, name).select(*columns)
+    slot = F.pmod(F.xxhash64(key or columns[0]), F.lit(shards))
+    return [full.where(slot == i) for i in range(shards)]
 
 
 # The two log files of the reference's report query.

@@ -5,7 +5,14 @@ batches ``wK .. wK+K-1``.  Layout under ``state_dir`` (shared checkpoint FS):
 
 * ``delta/slot=<w % 2>/b=<id>``  ``histo_valu, n``: counts of batch ``id`` only;
 * ``snapshot/slot=<w % 2>``      support over batches ``0 .. wK+K-1``, written by
-  the last batch of window ``w``.
+  the last batch of window ``w``;
+* ``meta/slot=<id % 2>``         one row: the field, ``K`` and the last batch, written
+  last by every batch.
+
+The layout follows from ``K`` and the batch ids, so a state is only continued
+with the field and ``K`` it was written with, by its last batch again or by the
+one after it.  Anything else (another setting, a new checkpoint on an old state,
+a missing or older state) is refused instead of counted wrongly.
 
 Batch ``b`` writes its delta (work proportional to the batch, not to the
 state), then reads the snapshot of the previous window plus the deltas of its
@@ -34,6 +41,7 @@ from flowdex.functions.documents import HISTO_SUPP, HISTO_VALU, doc_to_json, his
 from flowdex.operators.histogram import field_support, with_documents
 
 STATE_SCHEMA = f"{HISTO_VALU} string, n bigint"
+META_SCHEMA = "field string, compact_every int, batch_id bigint"
 DEFAULT_COMPACT_EVERY = 10
 
 
@@ -46,6 +54,7 @@ class HistogramState:
         self.field = field
         self.compact_every = compact_every
         self.on_missing = on_missing
+        self._held: DataFrame | None = None
 
     # ------------------------------------------------------------ layout
     def window(self, batch_id: int) -> int:
@@ -79,20 +88,47 @@ class HistogramState:
         parts.append(spark.read.schema(STATE_SCHEMA).parquet(*deltas))
         return parts
 
+    def _meta(self, spark: SparkSession):
+        """The metadata row of the last batch, or None where no state was ever written."""
+        try:
+            rows = spark.read.schema(META_SCHEMA).parquet(f"{self.state_dir}/meta")
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        return rows.orderBy(F.desc("batch_id")).select("field", "compact_every", "batch_id").first()
+
+    def _check(self, spark: SparkSession, batch_id: int) -> None:
+        meta = self._meta(spark)
+        if meta is None:
+            if batch_id:
+                raise ValueError(f"no histogram state in {self.state_dir}, but batch {batch_id} needs the ones before it")
+            return
+        if (meta["field"], meta["compact_every"]) != (self.field, self.compact_every):
+            raise ValueError(f"the state in {self.state_dir} is of field {meta['field']!r} with compact_every="
+                             f"{meta['compact_every']}, not {self.field!r} with {self.compact_every}")
+        if batch_id not in (meta["batch_id"], meta["batch_id"] + 1):
+            raise ValueError(f"the state in {self.state_dir} ends with batch {meta['batch_id']}; batch {batch_id} doesn't "
+                             "follow it (a new checkpoint on an old state, or a lost one)")
+
     def load(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         """Full state after ``batch_id`` (None before the first batch or if it was never run)."""
-        if batch_id < 0:
+        meta = self._meta(spark) if batch_id >= 0 else None
+        if meta is None or meta["batch_id"] < batch_id:
             return None  # only the latest batches are readable: older slots get reused
-        try:
-            parts = self._parts(spark, batch_id)
-        except AnalysisException:
-            return None
-        return _sum_parts(parts)
+        return _sum_parts(self._parts(spark, batch_id))
 
     # ------------------------------------------------------------ writing
     def advance(self, docs: DataFrame, batch_id: int) -> DataFrame:
         """Record this batch; return the support (over batches <= ``batch_id``) of its values."""
         spark = docs.sparkSession
+        self._check(spark, batch_id)
+        out = self._advance(spark, docs, batch_id)
+        (spark.createDataFrame([(self.field, self.compact_every, batch_id)], META_SCHEMA).coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.state_dir}/meta/slot={batch_id % 2}"))
+        return out
+
+    def _advance(self, spark: SparkSession, docs: DataFrame, batch_id: int) -> DataFrame:
         if self.is_window_start(batch_id):
             # Empty the slot: the deltas it holds (two windows back) are in a snapshot.
             (spark.createDataFrame([], STATE_SCHEMA).write.mode("overwrite")
@@ -101,7 +137,7 @@ class HistogramState:
         parts = self._parts(spark, batch_id)
         if self.is_snapshot_batch(batch_id):
             target = self.snapshot_path(self.window(batch_id))
-            _sum_parts(parts).write.mode("overwrite").parquet(target)
+            _sum_parts(parts).sortWithinPartitions(HISTO_VALU).write.mode("overwrite").parquet(target)
             return self._read(spark, target)
         present = self._read(spark, self.delta_path(batch_id)).select(HISTO_VALU)
         union = reduce(lambda a, b: a.unionByName(b), parts)
@@ -110,7 +146,10 @@ class HistogramState:
     def enrich_batch(self, batch: DataFrame, batch_id: int, value_col: str = "value",
                      keep: Sequence[str] = ()) -> DataFrame:
         """One micro-batch -> enriched documents (``doc``, ``histo_valu``, ``histo_supp``, JSON ``value``)."""
-        docs = with_documents(batch, self.field, value_col, self.on_missing)
+        self.release()
+        # Parsed once: the documents are counted, then joined.  Released after the sink wrote them, or by the next batch.
+        docs = with_documents(batch, self.field, value_col, self.on_missing).persist()
+        self._held = docs
         support = self.advance(docs, batch_id).withColumnRenamed("n", HISTO_SUPP)
         joined = docs.join(support, HISTO_VALU, "left")
         tagged = F.when(F.col(HISTO_VALU).isNotNull(),
@@ -119,6 +158,12 @@ class HistogramState:
         return joined.select(*keep, tagged.alias("doc"), HISTO_VALU, HISTO_SUPP,
                              doc_to_json(tagged).alias("value"))
 
+    def release(self) -> None:
+        """Give up the documents kept for the last batch."""
+        if self._held is not None:
+            self._held.unpersist()
+            self._held = None
+
 
 def _sum_parts(parts: list[DataFrame]) -> DataFrame:
     union = reduce(lambda a, b: a.unionByName(b), parts)

@@ -1,10 +1,10 @@
-"""Replay a table as a feed: one arrival per value of its batch column.
+"""Replay a table as a feed: one arrival per value of its batch column, one running query.
 
-The table is staged once, partitioned by the batch column.  Each batch value
-is then appended to the feed folder (a parallel write of that partition only)
-and the streaming query is resumed from its checkpoint with an available-now
-trigger, so every arrival becomes exactly one micro-batch.  The driver only
-orders the batch values (one per micro-batch); rows never pass through it.
+The table is staged once, partitioned by the batch column.  Each batch value is
+then added to the feed folder as one file, which appears in one rename, so the
+running query sees an arrival whole and makes it exactly one micro-batch.  This
+is a harness for tests and registered queries: a real feed's files come as they
+come.  The driver only orders the batch values; rows never pass through it.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def stage(df: DataFrame, batch_col: str, folder: str) -> tuple[DataFrame, list]:
@@ -24,9 +25,15 @@ def stage(df: DataFrame, batch_col: str, folder: str) -> tuple[DataFrame, list]:
 
 
 def replay(staged: DataFrame, batch_col: str, values: Sequence, feed_dir: str,
-           columns: Sequence[str], fmt: str, resume: Callable[[], None]) -> None:
-    """Append each batch to ``feed_dir`` in order and let ``resume`` consume it."""
-    for value in values:
-        arrival = staged.where(F.col(batch_col) == F.lit(value)).select(*columns)
-        arrival.write.mode("append").format(fmt).save(feed_dir)
-        resume()
+           columns: Sequence[str], fmt: str, start: Callable[[], StreamingQuery]) -> None:
+    """Add each batch to ``feed_dir`` in order and let the query that ``start`` gives consume it before the next."""
+    query = None
+    try:
+        for value in values:
+            arrival = staged.where(F.col(batch_col) == F.lit(value)).select(*columns)
+            arrival.coalesce(1).write.mode("append").format(fmt).save(feed_dir)
+            query = query or start()  # the folder exists from the first arrival on
+            query.processAllAvailable()
+    finally:
+        if query:
+            query.stop()

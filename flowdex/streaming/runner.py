@@ -2,8 +2,7 @@
 
 Sorting, limits and the non-time windows the analyzers need are not allowed on
 a streaming DataFrame, so the analyzer runs inside ``foreachBatch`` on each
-micro-batch.  The batch is persisted while the analyzer scans it twice
-(counting and joining) and released after the sink wrote it.
+micro-batch.
 """
 
 from __future__ import annotations
@@ -33,11 +32,17 @@ def trigger_of(batch_seconds: float | None = None, available_now: bool = False,
     if batch_seconds is None and spark is not None:
         configured = spark.conf.get(BATCH_DURATION_CONF, None)
         batch_seconds = float(configured) if configured else None
-    return {"processingTime": f"{batch_seconds or 5} seconds"}
+    return {"processingTime": f"{5 if batch_seconds is None else batch_seconds} seconds"}
 
 
-def run_micro_batch(batch: DataFrame, batch_id: int, analyzer: Analyzer | None, sink: Sink,
-                    persist: bool = True) -> None:
+def run_micro_batch(batch: DataFrame, batch_id: int, analyzer: Analyzer | None, sink: Sink) -> None:
+    """Analyze one micro-batch and write it.
+
+    The batch is persisted only for an analyzer that says it scans it more than
+    once (``rereads_batch``; a plain function is taken to): a batch that is read
+    once isn't copied to the executors' disks.
+    """
+    persist = analyzer is not None and getattr(analyzer, "rereads_batch", True)
     if persist:
         batch.persist()
     try:
@@ -47,6 +52,9 @@ def run_micro_batch(batch: DataFrame, batch_id: int, analyzer: Analyzer | None,
     finally:
         if persist:
             batch.unpersist()
+        release = getattr(analyzer, "release", None)
+        if release:
+            release()
 
 
 def start_indexing(source: DataFrame, analyzer: Analyzer | None, sink: Sink, checkpoint: str,

@@ -103,8 +103,9 @@ def test_field_values_on_null_member(spark):
 def test_bind_view_rewrites_only_table_references():
     from flowdex.operators.sqlreport import DEFAULT_STATEMENT, bind_view
     bound = bind_view(DEFAULT_STATEMENT, "logstash")
-    assert "FROM {logstash} WHERE" in bound and bound.count("{logstash}") == 1
-    assert bind_view("SELECT 'logstash' AS s FROM logstash", "logstash") == "SELECT 'logstash' AS s FROM {logstash}"
+    assert "FROM {logstash} AS logstash WHERE" in bound and bound.count("{logstash}") == 1
+    assert bind_view("SELECT 'logstash' AS s FROM logstash", "logstash") == (
+        "SELECT 'logstash' AS s FROM {logstash} AS logstash")
     assert bind_view("SELECT logstash_x FROM t", "logstash") is None
     assert bind_view('SELECT "a" FROM logstash', "logstash") is None
 

