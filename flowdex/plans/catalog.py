@@ -336,7 +336,8 @@ def _raw_mail(spark, sf_dir):
 def _mail_page(spark, sf_dir, take, drop, bucket_rows):
     # The box's message numbers are the documents' ids: the page's place is found without building any mail.
     keys = tables.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("msg_no"))
-    mails = mail.mail_page(_raw_mail(spark, sf_dir), take=take, drop=drop, keys=keys, bucket_rows=bucket_rows)
+    mails = mail.mail_page(_raw_mail(spark, sf_dir), take=take, drop=drop, folder=None, keys=keys,
+                           bucket_rows=bucket_rows)
     email = mail.flatten_mail(mails)
     return email.select("msg_no", "folder", F.col("from").alias("sender"), "subject",
                         F.md5(F.col("content")[0]["content"]).alias("body_md5"))

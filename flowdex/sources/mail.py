@@ -26,12 +26,13 @@ try:
 except (ImportError, AttributeError, ValueError):  # older cloudpickle: rely on imports
     pass
 
-# The two MIME types an email part can have, and the texts used
-# for a missing / empty sender list.
+# The two MIME types an email part can have, the texts used for a
+# missing / empty sender list, and the folder that is read by default.
 TEXT_PLAIN = "TEXT/PLAIN"
 TEXT_HTML = "TEXT/HTML"
 SENDER_NULL = "Null"
 SENDER_EMPTY = "Empty"
+DEFAULT_FOLDER = "inbox"
 
 RAW_MAIL_SCHEMA = "msg_no bigint, folder string, raw binary"
 EMAIL_SCHEMA = ("msg_no bigint, folder string, `from` string, subject string, "
@@ -51,9 +52,9 @@ def render_sender(from_col: Column | str) -> Column:
 
 
 def mail_page(mails: DataFrame, take: int | None = None, drop: int = 0,
-              folder: str | None = None, order_col: str = "msg_no",
+              folder: str | None = DEFAULT_FOLDER, order_col: str = "msg_no",
               keys: DataFrame | None = None, bucket_rows: int = paging.BUCKET_ROWS) -> DataFrame:
-    """``drop`` then ``take`` messages in mailbox order, optionally of one folder.
+    """``drop`` then ``take`` messages of a folder in mailbox order (of all folders with ``folder=None``).
 
     ``keys``: a cheaper table with the message numbers of the box (see :func:`paging.page`).
     """

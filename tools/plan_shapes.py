@@ -16,8 +16,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from flowdex.session import build_session  # noqa: E402
 
-STREAMING = {"histogram_stream", "feed_to_index", "log_report_stream", "mail_stream", "shard_union",
-             "index_write"}
+STREAMING = {"histogram_stream", "feed_to_index", "feed_to_index_plain", "log_report_stream", "report_to_index",
+             "mail_stream", "index_write"}
 KEEP = re.compile(r"(PushedFilters: \[[^\]]*\]|ReadSchema: \S+)")
 
 
