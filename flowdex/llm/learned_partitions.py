@@ -29,14 +29,14 @@ MIN_SAMPLE, MAX_SAMPLE = 4096, 32_768
 GRAPH = 10                # neighbours of a vector in the graph
 SLACK = 1.1               # a part holds at most this many times its even share of the sample
 RECALL = 0.95             # share of the sample's neighbours that the probed parts must hold
-TILE_ROWS, TILE_QUERIES = 512, 512
+TILE_ROWS, TILE_QUERIES = 4096, 512
 
 
 def parts_for(rows: int) -> int:
-    """The power of two nearest to an eighth of the square root of the table's rows; 1 part for a small table."""
+    """The power of two nearest to a 16th of the square root of the table's rows; 1 part for a small table."""
     if rows < SMALL_TABLE:
         return 1
-    return min(MAX_PARTS, 1 << max(1, round(math.log2(math.sqrt(rows) / 8))))
+    return min(MAX_PARTS, 1 << max(1, round(math.log2(math.sqrt(rows) / 16))))
 
 
 def usable(vector: Column) -> Column:
