@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +38,37 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     Call it on a saved table of narrow rows: the count is a metadata read there.
     """
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def values(column, rows: int = 256):
+    """The Python values of an Arrow column, made a few rows at a time: a task holds few texts as objects."""
+    for start in range(0, len(column), rows):
+        yield from column.slice(start, rows).to_pylist()
+
+
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(docs: DataFrame, rows: int = 1000) -> DataFrame:
+    """``docs``, after setting its session to Arrow batches of at most ``rows`` rows.
+
+    A batch of whole texts is held by the JVM and by its Python worker at once; Spark's default of 10,000 rows suits
+    narrow rows.
+    """
+    conf = docs.sparkSession.conf
+    if not 0 < int(conf.get(ARROW_ROWS, "10000")) <= rows:
+        conf.set(ARROW_ROWS, str(rows))
+    return docs
+
+
+class Hashes(dict):
+    """64-bit hashes of words, kept for the next time; ``bounded`` restarts it when it has grown too large."""
+
+    def __missing__(self, word):
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+    def bounded(self, most: int) -> "Hashes":
+        if len(self) > most:
+            self.clear()
+        return self

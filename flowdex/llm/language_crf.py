@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowdex.llm.common import table
+from flowdex.llm.common import table, text_batches, values
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -30,8 +30,8 @@ BUCKETS = 1 << BUCKET_BITS
 LEXICON_COUNT = 3         # sample count from which a word enters the lexicon
 EPOCHS, BATCH, RATE, DECAY = 2, 256, 0.3, 1e-5
 SPLICED = 0.3             # share of learning chains joined from two languages, for transitions between languages
-WORD_CACHE = 400_000      # words whose scores a task keeps; the cache restarts beyond it
-GROUP_WORDS = 200_000     # words scored at a time
+WORD_CACHE = 150_000      # words whose scores a task keeps; the cache restarts beyond it
+GROUP_WORDS = 60_000      # words scored at a time
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -286,7 +286,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return fit(sample["text"].tolist(), sample["lang"].tolist())
 
 
-def _groups(texts: list):
+def _groups(texts):
     """Lists of words of the texts, in groups of about ``GROUP_WORDS`` words."""
     group, size = [], 0
     for text in texts:
@@ -311,7 +311,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         label = Labeller(model)
         for batch in batches:
             names, scores = [], []
-            for group in _groups(batch.column(2).to_pylist()):
+            for group in _groups(values(batch.column(2))):
                 if not model.langs:
                     names += [UNDETERMINED] * len(group)
                     scores += [0.0] * len(group)
@@ -329,7 +329,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 [batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=["id", "held_out", "lang_pred", "score"])
 
-    src = docs.select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held_out"),
+    src = text_batches(docs).select(F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held_out"),
                       F.col(text_col).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
     return (src.mapInArrow(run, f"id {kind}, held_out boolean, lang_pred string, score double")
@@ -343,7 +343,7 @@ def label_words(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
         label = Labeller(model)
         for batch in batches:
             out = []
-            for group in _groups(batch.column(1).to_pylist()):
+            for group in _groups(values(batch.column(1))):
                 for words, prob in zip(group, label(group)):
                     best = prob.argmax(axis=1) if len(prob) else []
                     out.append([{"word": w, "lang": model.langs[k], "probability": float(p[k])}
@@ -351,7 +351,7 @@ def label_words(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
             kind = pa.list_(pa.struct([("word", pa.string()), ("lang", pa.string()), ("probability", pa.float64())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], names=["id", "words"])
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    src = text_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
     return (src.mapInArrow(run, f"id {kind}, words array<struct<word:string,lang:string,probability:double>>")
             .withColumnRenamed("id", id_col))
@@ -369,14 +369,14 @@ def identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text
         label = Labeller(model)
         for batch in batches:
             keep = []
-            for group in _groups(batch.column(batch.schema.get_field_index(text_col)).to_pylist()):
+            for group in _groups(values(batch.column(batch.schema.get_field_index(text_col)))):
                 if not model.langs:
                     keep += [False] * len(group)
                     continue
                 keep += [len(p) > 0 and bool(p.mean(axis=0, dtype=np.float64).max() >= least) for p in label(group)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return text_batches(docs).mapInArrow(run, docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

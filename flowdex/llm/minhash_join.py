@@ -22,15 +22,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowdex.llm.common import saved, small, table
+from flowdex.llm.common import Hashes, saved, small, table, text_batches, values
 from flowdex.llm.graph import connected_components
 
 WORD = re.compile(r"[^\W_]+")
 SIZE = 5                  # words in a shingle
 THRESHOLD = 0.8           # Jaccard similarity from which two texts are linked
 RECALL = 0.998            # wanted chance that a pair exactly at the threshold shares a band
-TILE_SHINGLES = 400_000   # shingles that one side of a verification tile holds, about
-WORD_CACHE = 400_000      # words whose hash a task keeps; the cache restarts beyond it
+TILE_SHINGLES = 200_000   # shingles that one side of a verification tile holds, about
+WORD_CACHE = 150_000      # words whose hash a task keeps; the cache restarts beyond it
 
 
 def bands_for(threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = 160) -> tuple[int, int]:
@@ -57,22 +57,13 @@ class Shingler:
     """Text -> sorted distinct 64-bit shingle hashes."""
 
     def __init__(self, size: int = SIZE):
-        self.size, self.words = size, {}
+        self.size, self.words = size, Hashes()
 
     def __call__(self, text: str | None) -> np.ndarray:
         found = WORD.findall((text or "").lower())
         if not found:
             return np.empty(0, np.uint64)
-        cache = self.words
-        try:
-            h = np.fromiter(map(cache.__getitem__, found), np.uint64, len(found))
-        except KeyError:
-            if len(cache) > WORD_CACHE:
-                cache.clear()
-            for w in found:
-                if w not in cache:
-                    cache[w] = xxhash.xxh3_64_intdigest(w)
-            h = np.fromiter(map(cache.__getitem__, found), np.uint64, len(found))
+        h = np.fromiter(map(self.words.bounded(WORD_CACHE).__getitem__, found), np.uint64, len(found))
         n = min(self.size, len(h))
         out = np.full(len(h) - n + 1, n, np.uint64)
         for i in range(n):
@@ -105,7 +96,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             keys, sizes, hashes = [], [], []
-            for text in texts.to_pylist():
+            for text in values(texts):
                 s = shingler(text)
                 keys.append(set_key(s))
                 sizes.append(len(s))
@@ -117,14 +108,14 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int)
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))],
                 names=["id", "key", "n", "bands"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    src = text_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(run, "id long, key binary, n long, bands array<long>")
 
 
 def _neighbourhoods(sets: DataFrame) -> DataFrame:
     """``(key, hood)`` of the sets that share a band with another set."""
     banded = saved(sets.select("key", F.explode("bands").alias("bucket")), "bands")
-    low = banded.groupBy("bucket").agg(F.min("key").alias("low"), F.count("*").alias("c")).filter("c > 1")
+    low = saved(banded.groupBy("bucket").agg(F.min("key").alias("low"), F.count("*").alias("c")).filter("c > 1"), "low")
     edges = banded.join(low, "bucket").filter("key <> low").select(F.col("key").alias("u"), F.col("low").alias("v"))
     return connected_components(edges).select(F.col("node").alias("key"), F.col("component").alias("hood"))
 
@@ -150,7 +141,7 @@ def _tile_links(threshold: float):
         place2[right] = np.arange(len(right))
         is_left, is_right = np.zeros(m, bool), np.zeros(m, bool)
         is_left[left], is_right[right] = True, True
-        width = max(256, min(8192, 4_000_000 // m))
+        width = max(256, min(8192, 2_000_000 // m))
         for start in range(0, int(code[-1]) + 1, width):
             a, b = np.searchsorted(code, [start, start + width])
             c, who = code[a:b] - start, member[a:b]
@@ -197,7 +188,7 @@ def _verified(docs, id_col, text_col, members, threshold) -> DataFrame:
     def run(batches):
         shingler, sent = Shingler(), set()
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            texts = values(batch.column(batch.schema.get_field_index("text")))
             keys = batch.column(batch.schema.get_field_index("key")).to_pylist()
             sets = [shingler(t) for t in texts]
             # An id may repeat: its other texts don't have this key, and equal rows are sent once by each task.
@@ -215,7 +206,7 @@ def _verified(docs, id_col, text_col, members, threshold) -> DataFrame:
                 names=["key", "hood", "n", "copies", "blocks", "shingles"])
             yield out.filter(same)
 
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    src = text_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = (src.join(members, "id").mapInArrow(
         run, "key binary, hood binary, n long, copies long, blocks int, shingles array<long>")
         .withColumn("side", F.expr("cast(pmod(xxhash64(key), blocks) as int)"))
@@ -272,7 +263,8 @@ def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     gone = classes.filter("n_links > 0")
     drop = saved(gone.filter(~F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias("drop_id"))
                  .distinct(), "dropped")
-    return docs.join(small(drop), F.col(id_col) == F.col("drop_id"), "left_anti")
+    drop = small(drop)
+    return docs.join(drop, docs[id_col] == drop["drop_id"], "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

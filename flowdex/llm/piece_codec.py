@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowdex.llm.common import table
+from flowdex.llm.common import table, text_batches, values
 from flowdex.llm.piece_model import PieceModel
 
 MODEL = "piece_bpe_32k.model"
@@ -52,7 +52,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
         codec = _model(model)
         for batch in batches:
             ids, starts, ends, offsets = [], [], [], [0]
-            for text in batch.column(1).to_pylist():
+            for text in values(batch.column(1)):
                 got, places = codec.encode(text or "")
                 last = len((text or "").encode())
                 ids.append(np.concatenate([[codec.begin], got, [codec.end]]))
@@ -64,7 +64,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
                      for x, t in ((ids, pa.int32()), (starts, pa.int32()), (ends, pa.int32()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["id", "ids", "starts", "ends"])
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    src = text_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
     return (src.mapInArrow(run, f"id {kind}, ids array<int>, starts array<int>, ends array<int>")
             .withColumnRenamed("id", id_col))
@@ -94,7 +94,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod
         codec = _model(model)
         for batch in batches:
             rows = []
-            for text in batch.column(1).to_pylist():
+            for text in values(batch.column(1)):
                 got, places = codec.encode(text or "")
                 ids = np.concatenate([[codec.begin], got, [codec.end]])
                 back = codec.decode(ids.tolist())
@@ -106,7 +106,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod
                 [batch.column(0), pa.array(cols[0], pa.int64()), *(pa.array(c, pa.string()) for c in cols[1:])],
                 names=["id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    src = text_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
     return (src.mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, "
                                 "spans_sha256 string").withColumnRenamed("id", id_col))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowdex.llm.common import saved, table
+from flowdex.llm.common import saved, table, text_batches, values
 
 SHRINK = 0.2      # weight of the pooled covariance in a class covariance
 DIAGONAL = 0.1    # weight of the pooled diagonal
@@ -72,13 +72,13 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches):
         for batch in batches:
-            rows = [features(t) for t in batch.column(1).to_pylist()]
+            rows = [features(t) for t in values(batch.column(1))]
             flat = np.array(rows, np.float64).ravel()
             offsets = pa.array(np.arange(len(rows) + 1) * len(FEATURES), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(flat, pa.float64()))], names=["id", "x"])
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    src = text_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = src.schema["id"].dataType.simpleString()
     return src.mapInArrow(run, f"id {kind}, x array<double>")
 

@@ -50,3 +50,31 @@ def test_run_is_the_chain(spark):
     for parts in used.values():
         assert sum(r.length for r in parts) <= best_fit_packing.CAPACITY
         assert len({last[r.doc_id].source for r in parts}) == len(parts)
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, row string, drop_id long, secrets string, shared int"
+
+
+def test_stages_on_odd_rows(spark):
+    prose = "the king and the queen of the house were in the garden with the old dog "
+    texts = [(1, None), (2, ""), (3, "12 !"), (4, prose * 3), (4, prose * 3), (5, prose * 3), (6, "w" * 200_000),
+             (7, prose * 8000), (8, prose + 'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" ' + prose), (None, prose * 2),
+             (9, prose.replace("dog", "cat"))]
+    rows = [(i, t, "en" if k % 2 else None, "src0" if k % 3 else None, None if t is None else len(t), "r", 4, "s", k)
+            for k, (i, t) in enumerate(texts)]
+    start = spark.createDataFrame(rows, ODD)
+    ids = lambda df: sorted(r.doc_id for r in df.collect() if r.doc_id is not None)
+    docs = cp.saved(cp.language(spark, start, DIR), "t")
+    assert docs.columns == start.columns and ids(docs) == [4, 4, 5, 6, 7, 8, 9]
+    docs = cp.saved(cp.exact(spark, docs, DIR), "t")
+    assert docs.columns == start.columns and ids(docs) == [4, 6, 7, 8, 9]
+    docs = cp.saved(cp.near(spark, docs, DIR), "t")
+    # Repetitions of a sentence have the same shingles, so 7 goes with 4, as does the row without an id.
+    assert docs.columns == start.columns and ids(docs) == [4, 6, 8, 9]
+    docs = cp.saved(cp.secrets(spark, docs, DIR), "t")
+    assert docs.columns == start.columns and ids(docs) == [4, 6, 8, 9]
+    assert "24be" not in "".join(r.text for r in docs.collect())
+    packed = cp.packing(spark, docs, DIR)
+    assert sorted({r.doc_id for r in packed.collect() if r.doc_id is not None}) == [4, 6, 8, 9]
+    for _, stage in cp.STAGES:
+        assert stage(spark, start.limit(0), DIR).collect() == []
