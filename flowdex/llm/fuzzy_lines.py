@@ -12,28 +12,29 @@
 
 from __future__ import annotations
 
-import re
-from itertools import combinations
+from itertools import chain, combinations, groupby
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowdex.llm.common import BROADCAST_ROWS, saved, small, table
+from flowdex.llm.common import BROADCAST_ROWS, Hashes, saved, small, table, text_batches, values
 from flowdex.llm.graph import connected_components
 
-WORD = re.compile(r"[^\W_]+")
-DIGITS = str.maketrans("123456789", "000000000")
+# Bytes of lower-case UTF-8: ASCII marks and white space other than line feeds become spaces, digits 0.
+NORMAL = bytes(10 if b == 10 else 48 if 48 <= b <= 57 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 BITS = 3                       # SimHash distance up to which lines are compared
 BLOCKS = (13, 13, 13, 13, 12)  # bits of the five blocks
 SIMILARITY = 0.9               # edit similarity from which two lines are one
 SAMPLE = 64                    # one SimHash in so many tells which buckets are hot
 HOT = 16                       # ... if a bucket has at least so many of them
 TILE = 1024                    # members of one side of a tile, about
-WORD_CACHE = 400_000
+WORD_CACHE = 150_000
+GROUP_WORDS = 60_000           # words hashed at a time
+# The bits of a byte as the bytes of a number.
+COUNTERS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
 
 
 def edit_similar(a: str, b: str, least: float = SIMILARITY) -> bool:
@@ -71,35 +72,37 @@ def edit_similar(a: str, b: str, least: float = SIMILARITY) -> bool:
     return distance <= most
 
 
-def normal_line(line: str) -> str:
-    return " ".join(WORD.findall(line.lower())).translate(DIGITS)
+def normal_lines(text: str) -> list[list[bytes]]:
+    """The words of each line of a text: lower case, digits as 0, split at ASCII marks and white space."""
+    return [line.split() for line in text.lower().encode().translate(NORMAL).split(b"\n")]
 
 
-def line_key(normal: str) -> bytes:
-    return xxhash.xxh3_128_digest(normal)
+def line_key(words: list[bytes]) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(words))
 
 
 class SimHasher:
     def __init__(self):
-        self.cache: dict[str, int] = {}
-
-    def __call__(self, lines: list[list[str]]) -> np.ndarray:
-        """SimHashes of lines given as non-empty lists of words."""
-        cache = self.cache
-        words = [w for line in lines for w in line]
-        try:
-            h = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            if len(cache) > WORD_CACHE:
-                cache.clear()
-            for w in words:
-                if w not in cache:
-                    cache[w] = xxhash.xxh3_64_intdigest(w)
-            h = np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
-        sizes = np.array([len(line) for line in lines])
-        starts = np.cumsum(sizes) - sizes
-        ones = np.add.reduceat(np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1), starts, axis=0, dtype=np.int32)
-        return np.packbits(2 * ones > sizes[:, None], axis=1).view(np.int64).ravel()
+        self.cache = Hashes()
+
+    def __call__(self, lines: list[list[bytes]]) -> np.ndarray:
+        """SimHashes of lines given as non-empty lists of words.
+
+        Each distinct word of a line counts once: else the most frequent words would make long lines alike.
+        """
+        lines = list(map(set, lines))
+        words = list(chain.from_iterable(lines))
+        h = np.fromiter(map(self.cache.bounded(WORD_CACHE).__getitem__, words), np.uint64, len(words))
+        sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+        # Eight one-byte counters are added as one number, so a longer line is counted in slices of 255 words.
+        slices = -(-sizes // 255)
+        first = np.cumsum(slices) - slices
+        inner = np.arange(slices.sum()) - np.repeat(first, slices)
+        starts = np.repeat(np.cumsum(sizes) - sizes, slices) + 255 * inner
+        ones = np.add.reduceat(COUNTERS[h.view(np.uint8).reshape(-1, 8)], starts, axis=0).view(np.uint8)
+        if len(ones) > len(lines):
+            ones = np.add.reduceat(ones, first, axis=0, dtype=np.int32)
+        return np.packbits(ones > (sizes // 2)[:, None], axis=1).view(np.int64).ravel()
 
 
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -108,31 +111,32 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
         hasher = SimHasher()
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            at = 0
-            while at < len(texts):
+            rows = zip(batch.column(0).to_pylist(), values(batch.column(1)))
+            while True:
                 doc, line, key, worded, has = [], [], [], [], []
                 words = 0
-                while at < len(texts) and words < 200_000:
-                    parts = texts[at].lower().translate(DIGITS).split("\n") if texts[at] is not None else None
-                    if parts is None:
-                        doc.append(ids[at])
+                for i, text in rows:
+                    if text is None:
+                        doc.append(i)
                         line.append(-1)
                         key.append(None)
                         has.append(False)
-                    else:
-                        doc += [ids[at]] * len(parts)
-                        line += range(len(parts))
-                        for p in parts:
-                            found = WORD.findall(p)
-                            has.append(bool(found))
-                            if found:
-                                key.append(line_key(" ".join(found)))
-                                worded.append(found)
-                                words += len(found)
-                            else:
-                                key.append(None)
-                    at += 1
+                        continue
+                    parts = normal_lines(text)
+                    doc += [i] * len(parts)
+                    line += range(len(parts))
+                    for found in parts:
+                        has.append(bool(found))
+                        if found:
+                            key.append(line_key(found))
+                            worded.append(found)
+                            words += len(found)
+                        else:
+                            key.append(None)
+                    if words >= GROUP_WORDS:
+                        break
+                if not doc:
+                    break
                 sim = np.zeros(len(doc), np.int64)
                 has = np.array(has, bool)
                 if worded:
@@ -141,7 +145,7 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     [pa.array(doc, pa.int64()), pa.array(line, pa.int32()), pa.array(key, pa.binary()),
                      pa.array(sim, pa.int64(), mask=~has)], names=["doc", "line", "key", "sim"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    src = text_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return src.mapInArrow(run, "doc long, line int, key binary, sim long")
 
 
@@ -158,7 +162,7 @@ def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return root
 
 
-def _close(bucket: np.ndarray, sim: np.ndarray, side: np.ndarray, cross: np.ndarray):
+def _close(bucket: np.ndarray, sim: np.ndarray, side: np.ndarray | None = None, cross: np.ndarray | None = None):
     """Pairs of one bucket within ``BITS``; rows are sorted by bucket.  A cross tile pairs its two sides alone."""
     left, right = [], []
     at, d = np.arange(len(bucket) - 1), 1
@@ -168,7 +172,8 @@ def _close(bucket: np.ndarray, sim: np.ndarray, side: np.ndarray, cross: np.ndar
         if not len(at):
             break
         near = at[np.bitwise_count((sim[at] ^ sim[at + d]).view(np.uint64)) <= BITS]
-        near = near[~cross[near] | (side[near] != side[near + d])]
+        if side is not None:
+            near = near[~cross[near] | (side[near] != side[near + d])]
         left.append(near)
         right.append(near + d)
         d += 1
@@ -191,34 +196,38 @@ def _close_sims(sims: DataFrame) -> DataFrame:
            .groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") >= HOT)
            .select("bucket", F.ceil(F.col("n") * SAMPLE / TILE).cast("int").alias("blocks")))
     hot = saved(hot, "hot_buckets")
-    rows = (rows.join(small(hot), "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-            .withColumn("side", F.pmod(F.xxhash64("sim", F.lit(1)), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select(F.when(F.col("blocks") == 1, F.col("bucket")).otherwise(
-                F.xxhash64("bucket", F.least("side", "other"), F.greatest("side", "other"))).alias("bucket"), "sim",
-                "side", (F.col("side") != F.col("other")).alias("off"),
-                F.greatest("side", "other").alias("high")))
+    plain, tiles = rows, None
+    if hot.count():
+        plain = rows.join(small(hot), "bucket", "left_anti")
+        tiles = (rows.join(small(hot), "bucket")
+                 .withColumn("side", F.pmod(F.xxhash64("sim", F.lit(1)), F.col("blocks")).cast("int"))
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                 .select(F.xxhash64("bucket", F.least("side", "other"), F.greatest("side", "other")).alias("bucket"),
+                         "sim", "side", (F.col("side") != F.col("other")).alias("cross"),
+                         F.least("side", "other").alias("low")))
+        # A tile of two blocks pairs rows of different sides only.
+        low, high = F.col("low"), F.col("side")
+        tiles = tiles.select("bucket", "sim", F.when(high == low, 0).otherwise(1).alias("side"), "cross")
 
     def run(batches):
         held = []
 
-        def flush(b, s, side, high):
+        def flush(b, s, side=None, cross=None):
             order = np.lexsort((s, b))
-            b, s, side, high = b[order], s[order], side[order], high[order]
+            b, s = b[order], s[order]
             same = np.zeros(len(b), bool)
             same[1:] |= b[1:] == b[:-1]
             same[:-1] |= b[1:] == b[:-1]
-            b, s, side, high = b[same], s[same], side[same], high[same]
+            b, s = b[same], s[same]
             if not len(b):
                 return None
-            # A tile of two blocks pairs rows of different sides only; its rows agree on ``high`` but not on ``side``.
-            i, j = _close(b, s, side, high != -1)
+            i, j = _close(b, s) if side is None else _close(b, s, side[order][same], cross[order][same])
             root = _roots(len(b), i, j)
             link = np.flatnonzero(s[root] != s)
             return pa.RecordBatch.from_arrays([pa.array(s[link]), pa.array(s[root[link]])], names=["u", "v"])
 
         for batch in batches:
-            got = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+            got = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             if held:
                 got = [np.concatenate([a, b]) for a, b in zip(held, got)]
             # The last bucket may go on in the next batch.
@@ -233,16 +242,20 @@ def _close_sims(sims: DataFrame) -> DataFrame:
             if out is not None and out.num_rows:
                 yield out
 
-    rows = rows.select("bucket", "sim", "side", F.when(F.col("off"), F.col("high")).otherwise(-1).alias("high"))
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "u long, v long")
+    def found(df):
+        return df.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "u long, v long")
 
+    plain = found(plain.select("bucket", "sim"))
+    return plain if tiles is None else plain.unionByName(found(tiles))
 
-def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Links of one tile of a connected set of SimHashes: a spanning forest of its verified pairs."""
-    pdf = pdf.drop_duplicates("key").sort_values("sim", kind="stable").reset_index(drop=True)
-    sim, text = pdf["sim"].to_numpy(np.int64), pdf["text"].tolist()
-    side, cross = pdf["side"].to_numpy(), bool(pdf["i"].iloc[0] != pdf["j"].iloc[0])
-    root = list(range(len(pdf)))
+
+def _verified(members: list[tuple], cross: bool) -> list[tuple[bytes, bytes]]:
+    """A spanning forest of the verified pairs of one tile's ``(key, sim, text, side)``."""
+    members = sorted({m[0]: m for m in members}.values(), key=lambda m: m[1])
+    n = len(members)
+    bits = [m[1] & (1 << 64) - 1 for m in members]
+    wide = np.array(bits, np.uint64) if n > 64 else None
+    root = list(range(n))
 
     def find(x):
         while root[x] != x:
@@ -251,17 +264,40 @@ def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
         return x
 
     edges = []
-    for a in range(len(pdf) - 1):
-        near = np.flatnonzero(np.bitwise_count((sim[a + 1:] ^ sim[a]).view(np.uint64)) <= BITS) + a + 1
-        if cross:
-            near = near[side[near] != side[a]]
-        for b in near.tolist():
+    for a in range(n - 1):
+        if wide is None:
+            near = [b for b in range(a + 1, n) if (bits[a] ^ bits[b]).bit_count() <= BITS]
+        else:
+            near = (np.flatnonzero(np.bitwise_count(wide[a + 1:] ^ wide[a]) <= BITS) + a + 1).tolist()
+        for b in near:
+            if cross and members[a][3] == members[b][3]:
+                continue
             x, y = find(a), find(b)
-            if x != y and edit_similar(text[a], text[b]):
+            if x != y and edit_similar(members[a][2], members[b][2]):
                 root[y] = x
-                edges.append((a, b))
-    keys = pdf["key"].tolist()
-    return pd.DataFrame({"u": [keys[a] for a, _ in edges], "v": [keys[b] for _, b in edges]}, dtype=object)
+                edges.append((members[a][0], members[b][0]))
+    return edges
+
+
+def _verify(batches):
+    """Links of sorted tiles: rows ``set, i, j, key, sim, text, side``; a tile may go on in the next batch."""
+    tile, held = None, []
+    for batch in batches:
+        edges = []
+        rows = zip(*(c.to_pylist() for c in batch.columns))
+        for at, group in groupby(rows, key=lambda r: r[:3]):
+            if at != tile:
+                if held:
+                    edges += _verified(held, tile[1] != tile[2])
+                tile, held = at, []
+            held += [r[3:] for r in group]
+        yield _edges(edges)
+    if held:
+        yield _edges(_verified(held, tile[1] != tile[2]))
+
+
+def _edges(edges: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.binary()) for k in (0, 1)], names=["u", "v"])
 
 
 def line_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -290,26 +326,27 @@ def line_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         sent = set()
         for batch in batches:
             out = []
-            for text, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parts = (text or "").split("\n")
+            for text, rows in zip(values(batch.column(0)), values(batch.column(1))):
+                parts = normal_lines(text or "")
                 for r in rows:
-                    normal = normal_line(parts[r["line"]]) if r["line"] < len(parts) else ""
-                    if r["key"] not in sent and line_key(normal) == r["key"]:  # an id may repeat with other texts
+                    words = parts[r["line"]] if r["line"] < len(parts) else []
+                    if r["key"] not in sent and line_key(words) == r["key"]:  # an id may repeat with other texts
                         sent.add(r["key"])
-                        out.append((r["key"], r["sim"], r["set"], r["blocks"], normal))
+                        out.append((r["key"], r["sim"], r["set"], r["blocks"], b" ".join(words).decode()))
             cols = list(zip(*out)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.string()))],
                 names=["key", "sim", "set", "blocks", "text"])
 
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    src = text_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     tiles = (src.join(wanted, F.col("id").eqNullSafe(F.col("doc"))).select("text", "wanted")
              .mapInArrow(texts, "key binary, sim long, set long, blocks int, text string")
              .withColumn("side", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("key", "sim", "set", "text", "side", F.least("side", "other").alias("i"),
-                     F.greatest("side", "other").alias("j")))
-    links = tiles.groupBy("set", "i", "j").applyInPandas(_verify, "u binary, v binary")
+             .select("set", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
+                     "key", "sim", "text", "side"))
+    links = (tiles.repartition("set", "i", "j").sortWithinPartitions("set", "i", "j")
+             .mapInArrow(_verify, "u binary, v binary"))
     classes = connected_components(links).select(F.col("node").alias("key"), "component")
     firsts = saved(classes.join(keys, "key"), "classes")
     best = firsts.groupBy("component").agg(F.min("first").alias("keep"))

@@ -28,9 +28,9 @@ def test_edit_similarity(a, b, least):
 
 def brute(rows):
     """All pairs of distinct normalised lines; the first line of each connected group stays."""
-    lines = [(d, n, fl.normal_line(x)) for d, t in rows if t is not None for n, x in enumerate(t.split("\n"))]
+    lines = [(d, n, b" ".join(x).decode()) for d, t in rows if t is not None for n, x in enumerate(fl.normal_lines(t))]
     keys = sorted({k for *_, k in lines if k})
-    sims = dict(zip(keys, fl.SimHasher()([k.split() for k in keys]).tolist())) if keys else {}
+    sims = dict(zip(keys, fl.SimHasher()([k.encode().split() for k in keys]).tolist())) if keys else {}
     root = {k: k for k in keys}
 
     def find(k):
