@@ -8,8 +8,8 @@ One algorithm for every depth:
 3. rank = offset + ``row_number`` within the bucket.  A page computes it only for the buckets it touches: a range
    filter on the key, which reaches the parquet reader.
 
-A bucket holds about ``BUCKET_ROWS`` rows whatever the size of the table, so no task gets more.  The key is a number or
-a time and must be unique for the page to be unique (as a message number is); rows without a key are in no page.
+A bucket holds about ``BUCKET_ROWS`` rows, so no task ranks more; a table of more than ``BUCKET_LIMIT`` times as many
+rows has larger buckets, whose sort may spill.  The key is a number or a time and must be unique for the page to be unique (as a message number is); rows without a key are in no page.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_ROWS = 200_000     # rows ranked by one task, about
-BUCKET_LIMIT = 100_000    # most cut points
+BUCKET_LIMIT = 4096       # most buckets: their boundaries are literals of one expression
 
 
 def cut_points(keys: DataFrame, order_col: str, bucket_rows: int = BUCKET_ROWS) -> list:
@@ -60,6 +60,9 @@ def _bucket_offsets(keys: DataFrame, order_col: str, cuts: list) -> tuple[list[i
 
 def _ranked(df: DataFrame, order_col: str, cuts: list, offsets: list[int], rank_col: str) -> DataFrame:
     kind = df.schema[order_col].dataType
+    if not cuts:
+        one = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(order_col))
+        return df.where(F.col(order_col).isNotNull()).withColumn(rank_col, (one + offsets[0]).cast("long"))
     # One row per bucket, bounded by BUCKET_LIMIT.
     table = F.broadcast(df.sparkSession.createDataFrame(list(enumerate(offsets)), "__bucket int, __offset bigint"))
     within = F.row_number().over(Window.partitionBy("__bucket").orderBy(order_col))
