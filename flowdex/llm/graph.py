@@ -1,7 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
-Each step is a grouped minimum (combined on the map side) and a join on the node, which Spark may split where a node
-has very many edges; nothing is collected, and the edge table is rewritten to the shared folder after each round.
+Each step is a grouped minimum (combined on the map side) and a join on the node.  The minima are written before they
+are joined: a join that shared the aggregate's shuffle would keep all edges of a node in one task, while two plain
+shuffles may be split where a node has very many.  Nothing is collected.
 """
 
 from __future__ import annotations
@@ -31,10 +32,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     for _ in range(max_rounds):
         both = edges.union(edges.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        large = saved(large, "large")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = saved(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
+        large = saved(both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(),
+                      "large")
+        low = saved(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         parts = large.join(low, "u")
         edges = saved(parts.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                       .union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")

@@ -29,7 +29,7 @@ WORD = re.compile(r"[^\W_]+")
 SIZE = 5                  # words in a shingle
 THRESHOLD = 0.8           # Jaccard similarity from which two texts are linked
 RECALL = 0.998            # wanted chance that a pair exactly at the threshold shares a band
-TILE_SHINGLES = 200_000   # shingles that one side of a verification tile holds, about
+TILE_SHINGLES = 60_000    # shingles that one side of a verification tile holds, about
 WORD_CACHE = 150_000      # words whose hash a task keeps; the cache restarts beyond it
 
 
