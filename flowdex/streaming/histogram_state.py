@@ -124,15 +124,18 @@ class HistogramState:
         spark = docs.sparkSession
         self._check(spark, batch_id)
         out = self._advance(spark, docs, batch_id)
-        (spark.createDataFrame([(self.field, self.compact_every, batch_id)], META_SCHEMA).coalesce(1)
+        # A row made by the JVM: createDataFrame would start a Python worker for it.
+        (spark.range(1, numPartitions=1).select(
+            F.lit(self.field).alias("field"), F.lit(self.compact_every).cast("int").alias("compact_every"),
+            F.lit(batch_id).cast("bigint").alias("batch_id"))
          .write.mode("overwrite").parquet(f"{self.state_dir}/meta/slot={batch_id % 2}"))
         return out
 
     def _advance(self, spark: SparkSession, docs: DataFrame, batch_id: int) -> DataFrame:
         if self.is_window_start(batch_id):
             # Empty the slot: the deltas it holds (two windows back) are in a snapshot.
-            (spark.createDataFrame([], STATE_SCHEMA).write.mode("overwrite")
-             .parquet(self.delta_slot(self.window(batch_id))))
+            (spark.range(0, numPartitions=1).select(F.lit("").alias(HISTO_VALU), F.col("id").alias("n"))
+             .write.mode("overwrite").parquet(self.delta_slot(self.window(batch_id))))
         field_support(docs).write.mode("overwrite").parquet(self.delta_path(batch_id))
         parts = self._parts(spark, batch_id)
         if self.is_snapshot_batch(batch_id):
