@@ -32,12 +32,12 @@ def shape(line: str) -> str:
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as entry
+    from flowdex.plans import catalog
     spark = build_session("local[8]", shuffle_partitions=16)
     spark.sparkContext.setLogLevel("ERROR")
-    names = sys.argv[2:] or sorted(n for n in entry.queries() if n not in STREAMING)
+    names = sys.argv[2:] or sorted(n for n in catalog.QUERIES if n not in STREAMING)
     for name in names:
-        df = entry.queries()[name](spark, sf_dir)
+        df = catalog.QUERIES[name](spark, sf_dir)
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             df.explain()
