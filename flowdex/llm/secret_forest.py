@@ -3,8 +3,10 @@
 Everything is DataFrame functions and Spark's own random forest; no Python runs on the executors.
 
 * A candidate is a run of eight or more key characters that holds a digit and twelve characters, or that stands behind a
-  credential word and an assignment sign.
-* Its features are length, character shares and transitions, dictionary coverage, the path and neighbouring words.
+  credential word and an assignment sign.  Every run of a word counts: minified JSON, query strings and CSV rows are one
+  word with many.
+* Its features are length, character shares and transitions, dictionary coverage, what stands beside the run in its word,
+  the path and neighbouring words.
 * The forest learns from labelled findings: ``(label 0/1)`` beside the features.  ``rule_labels`` labels findings by
   format where a table of audited ones is not at hand: it decides the clear cases and leaves the rest unlabelled.
 """
@@ -33,6 +35,7 @@ DICTIONARY = ("and the for with from that this your have not are was will can al
               "token true false null none local host server client data config setting begin end public private "
               "abc xyz qwerty letmein welcome hello world").split()
 KEY_CHARS = "A-Za-z0-9+/_.@-"
+NEAR = rf"(?i)(?:{CREDENTIAL})\S*\s*[:=]+$"  # words that end with a credential word and an assignment sign
 
 NUMBERS = ("length", "digits", "uppers", "hex", "distinct", "turns", "runs", "covered", "dots", "at_sign", "only_digits",
            "known_prefix", "quoted", "assigned", "credential_near", "credential_inside", "test_path", "next_word")
@@ -83,13 +86,43 @@ def _share(col: Column, pattern: str) -> Column:
     return (F.length(col) - F.length(F.regexp_replace(col, pattern, ""))) / F.greatest(F.length(col), F.lit(1))
 
 
-def _value(word: Column) -> Column:
-    """The last run of key characters of a word."""
-    return F.regexp_extract(word, rf"([{KEY_CHARS}]{{8,}}={{0,2}})[^{KEY_CHARS}]*$", 1)
+def _runs(rows: DataFrame) -> DataFrame:
+    """``rows`` once per run of eight or more key characters in ``word``, which goes.
+
+    New columns: ``run`` (its number among the runs and gaps of the word), ``found``, ``lead`` (the run and the gap
+    before it) and ``trail`` (the gap behind it).  Up to two ``=`` behind a run belong to it unless they assign the next.
+    """
+    cols = [c for c in rows.columns if c != "word"]
+    pieces = F.regexp_extract_all("word", F.lit(f"[{KEY_CHARS}]+|[^{KEY_CHARS}]+"), F.lit(0))
+    rows = rows.select(*cols, pieces.alias("pieces"))
+
+    def piece(at: Column) -> Column:
+        return F.coalesce(F.get("pieces", at), F.lit(""))
+
+    runs = F.filter(F.transform("pieces", lambda p, i: F.struct(
+        i.alias("run"), p.alias("piece"), F.concat(piece(i - 2), piece(i - 1)).alias("lead"), piece(i + 1).alias("trail"),
+        F.get("pieces", i + 2).isNotNull().alias("more"))),
+        lambda x: (F.length(x["piece"]) >= 8) & x["piece"].rlike(f"^[{KEY_CHARS}]"))
+    rows = rows.select(*cols, F.explode(runs).alias("x")).select(*cols, "x.*")
+    assigns = F.col("more") & F.col("trail").rlike(r"^={1,2}>?[\\\"'`(\[{<]*$")
+    padding = F.when(assigns, "").otherwise(F.regexp_extract("trail", "^={1,2}", 0))
+    return rows.select(*cols, "run", F.concat("piece", padding).alias("found"), "lead", "trail")
+
+
+def _assigned() -> Column:
+    """Whether an assignment sign stands before the run in its word."""
+    return F.col("lead").rlike(rf"[:=][^{KEY_CHARS}]*$")
+
+
+def _credential_assigned() -> Column:
+    """Whether a credential word is assigned the run, in its word or by the words before."""
+    return (F.col("lead").rlike(rf"(?i)(?:{CREDENTIAL})[\w.-]*[^{KEY_CHARS}]*[:=][^{KEY_CHARS}]*$")
+            | (F.col("before").rlike(NEAR) & ~F.col("lead").rlike(f"[{KEY_CHARS}]")))
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: Column | None = None) -> DataFrame:
-    """One row per candidate: ``id, place`` (word number), ``found``, ``before`` (three words), ``word, after, path``.
+    """One row per candidate: ``id, place`` (word number), ``run`` (place in the word), ``found``, ``lead`` and ``trail``
+    (beside it in the word), ``before`` (three words), ``after``, ``path``.
 
     Null and empty texts have none; equal candidates at several places are several rows; repeated rows repeat theirs.
     """
@@ -107,12 +140,14 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         at = F.col("place") + offset
         return F.when(at >= 0, F.coalesce(F.get("words", at), F.lit(""))).otherwise("")
 
-    rows = rows.select("id", "place", "word", "path", _value(F.col("word")).alias("found"),
-                       F.concat_ws(" ", word(-3), word(-2), word(-1)).alias("before"), word(1).alias("after"))
     inside = F.col("word").rlike(rf"(?i)(?:{CREDENTIAL})[\w-]*[\"']?[:=]")
-    near = F.col("before").rlike(rf"(?i)(?:{CREDENTIAL})\S*\s*[:=]+$")
+    rows = _runs(rows.select("id", "place", "word", "path", F.concat_ws(" ", word(-3), word(-2), word(-1)).alias("before"),
+                             word(1).alias("after"), inside.alias("inside")))
+    near = F.col("before").rlike(NEAR)
     digit = F.col("found").rlike("[0-9]") & (F.length("found") >= 12)
-    return rows.filter((F.length("found") >= 8) & (digit | inside | near))
+    # A credential word that is assigned to is a name, not a value.
+    name = (F.col("found").rlike(f"(?i)(?:{CREDENTIAL})") & F.col("trail").rlike(r"^[\\\"'`\])]*[:=]") & ~_assigned())
+    return rows.filter(digit | near | (F.col("inside") & ~name)).drop("inside")
 
 
 def with_features(found: DataFrame) -> DataFrame:
@@ -135,10 +170,11 @@ def with_features(found: DataFrame) -> DataFrame:
         "at_sign": c.contains("@"),
         "only_digits": c.rlike("^[0-9.-]+$"),
         "known_prefix": c.rlike("^(?:AKIA|ASIA|ghp_|gho_|github_pat_|xox[abp]-|sk_live_|AIza|eyJ)"),
-        "quoted": F.col("word").rlike("[\"'`]"),
-        "assigned": F.col("before").rlike(r"[:=]+$") | F.col("word").rlike(r"^[\w-]+[:=]"),
+        "quoted": F.col("lead").rlike("[\"'`]$") | F.col("trail").rlike("^={0,2}[\"'`]"),
+        "assigned": _assigned() | (F.col("before").rlike(r"[:=]+$") & ~F.col("lead").rlike(f"[{KEY_CHARS}]")),
         "credential_near": F.col("before").rlike(f"(?i)(?:{CREDENTIAL})"),
-        "credential_inside": F.col("word").rlike(f"(?i)(?:{CREDENTIAL})"),
+        "credential_inside": (F.col("lead").rlike(rf"(?i)(?:{CREDENTIAL})[\w.-]*[^{KEY_CHARS}]*[:=][^{KEY_CHARS}]*$")
+                              | c.rlike(f"(?i)(?:{CREDENTIAL})")),
         "test_path": F.col("path").rlike(f"(?i)(?:{TEST_PATH})"),
         "next_word": F.col("after").rlike("^[A-Za-z]"),
     }
@@ -149,8 +185,7 @@ def rule_labels(found: DataFrame) -> DataFrame:
     """``found`` with ``label``: 1 for a long random value in a credential assignment or an issued-key format, 0 for
     addresses, numbers, versions and dictionary words, null where the format doesn't tell."""
     random = (F.length("found") >= 20) & F.col("found").rlike("[0-9]") & F.col("found").rlike("[A-Za-z]")
-    yes = (random & (F.col("before").rlike(rf"(?i)(?:{CREDENTIAL})\S*\s*[:=]+$")
-                     | F.col("word").rlike(rf"(?i)(?:{CREDENTIAL})[\w-]*[\"']?[:=]"))
+    yes = (random & _credential_assigned()
            & ~F.col("found").rlike("(?i)example|changeme|your|xxxx")) | F.col("found").rlike(
         "^(?:AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36}|xox[abp]-[0-9A-Za-z-]{20,})$")
     no = F.col("found").rlike(r"^[0-9.()+-]+$|^[^@]+@[^@]+\.[A-Za-z]+\.?$|^v?[0-9]+(?:\.[0-9]+)+$|(?i:example|changeme|xxxx)")
@@ -194,7 +229,7 @@ def examples(spark: SparkSession) -> DataFrame:
     """``EXAMPLES`` as labelled findings with their features."""
     rows = [(label, -1 - i, i, before, word, after, "") for i, (label, before, word, after) in enumerate(EXAMPLES)]
     found = spark.createDataFrame(rows, "label int, id long, place int, before string, word string, after string, path string")
-    return with_features(found.withColumn("found", _value(F.col("word"))))
+    return with_features(_runs(found))
 
 
 def training_fold(id_col: Column) -> Column:
@@ -203,7 +238,7 @@ def training_fold(id_col: Column) -> Column:
 
 def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: Column | None = None,
              labelled: DataFrame | None = None) -> DataFrame:
-    """Every candidate of ``docs``: id, ``place``, ``found``, ``probability``, ``is_secret``.
+    """Every candidate of ``docs``: id, ``place``, ``run``, ``found``, ``probability``, ``is_secret``.
 
     ``labelled``: audited findings (rows of ``with_features`` with ``label``).  Without it the forest learns from
     ``EXAMPLES`` and from the rule-labelled candidates of ``docs`` whose id has a crc32 not divisible by 5.
@@ -212,14 +247,18 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     if labelled is None:
         labelled = rule_labels(found).filter(training_fold(F.col("id")))
         labelled = labelled.unionByName(examples(docs.sparkSession), allowMissingColumns=True)
-    return judged(found, learn(labelled)).select(F.col("id").alias(id_col), "place", "found", "probability", "is_secret")
+    return judged(found, learn(labelled)).select(
+        F.col("id").alias(id_col), "place", "run", "found", "probability", "is_secret")
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars",
              path: Column | None = None) -> DataFrame:
     """``docs`` with every secret in the text replaced by ``MASK``; all rows and columns stay, ``chars_col`` follows."""
     secrets = (findings(docs, id_col, text_col, path).filter("is_secret")
-               .groupBy(F.col(id_col).alias("secret_id")).agg(F.sort_array(F.collect_set("found"), False).alias("secrets")))
+               .groupBy(F.col(id_col).alias("secret_id"))
+               # Longest first: a secret may be a part of another one.
+               .agg(F.sort_array(F.collect_set(F.struct(F.length("found").alias("n"), "found")), False).alias("s"))
+               .select("secret_id", F.col("s.found").alias("secrets")))
     secrets = saved(secrets.filter("secret_id is not null"), "secrets")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = rows.join(small(secrets, 20_000), F.col(f"row.{id_col}") == F.col("secret_id"), "left")
