@@ -2,7 +2,8 @@
 
 DataFrame functions only.
 
-1. One scan counts in how many texts each template word occurs (combined on the map side): the corpus IDF.
+1. One scan counts in how many texts each template word occurs (combined on the map side); a second one, once the units
+   of 2. are known, does so for every other word that a unit holds: the corpus IDF.
 2. A line can only reach the cosine ``LEAST`` to a template if it holds one of the template's heaviest words; lines with
    none of these *cue* words are left where they lie, which loses nothing.  Of files named like a licence, the whole text
    is one unit more.  Each unit is a sparse vector (one row per word) that is joined with the template vectors.
@@ -67,15 +68,24 @@ def _tokens(col: Column) -> Column:
     return F.regexp_extract_all(F.lower(col), F.lit(TOKEN), F.lit(0))
 
 
-def inverse_frequencies(docs: DataFrame, templates, text_col: str = "text") -> tuple[dict[str, float], float]:
-    """(IDF of each template word, IDF of a word that no text has), ``ln((n + 1) / (df + 1))`` over all rows."""
+def inverse_frequencies(docs: DataFrame, templates, text_col: str = "text") -> tuple[dict[str, float], int]:
+    """(IDF of each template word, number of rows n): ``ln((n + 1) / (df + 1))`` over all rows."""
     words = sorted({w for t in _terms(templates) for w in t})
     seen = docs.select(F.array_intersect(_tokens(text_or_empty(F.col(text_col))), F.array(*map(F.lit, words))).alias("w"))
     # At most one row per template word, and the number of texts, come to the driver.
     counts = {r["w"]: r["n"] for r in seen.select(F.explode("w").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
               .collect()}
     n = docs.count()
-    return {w: math.log((n + 1) / (counts.get(w, 0) + 1)) for w in words}, math.log(n + 1)
+    return {w: math.log((n + 1) / (counts.get(w, 0) + 1)) for w in words}, n
+
+
+def unit_frequencies(docs: DataFrame, words: DataFrame, n: int, text_col: str = "text") -> DataFrame:
+    """``(word, idf)`` of each distinct ``word`` of ``words``, over all ``n`` rows; nothing comes to the driver."""
+    wanted = saved(words.select("word").distinct(), "unit_vocabulary")
+    texts = docs.select(F.explode(F.array_distinct(_tokens(text_or_empty(F.col(text_col))))).alias("word"))
+    # Counted before they are joined, combined on the map side: a common word is then one row of the join.
+    seen = texts.groupBy("word").agg(F.count("*").alias("df")).join(small(wanted), "word")
+    return saved(seen.select("word", F.log(F.lit(float(n + 1)) / (F.col("df") + 1)).alias("idf")), "unit_idf")
 
 
 def template_vectors(idf: dict[str, float], templates) -> list[tuple[int, str, str, float]]:
@@ -119,7 +129,7 @@ def scan(docs: DataFrame, path: Column, id_col: str = "doc_id", text_col: str =
     none of their own.  No rows give no rows.
     """
     spark = docs.sparkSession
-    idf, unknown = inverse_frequencies(docs, templates, text_col)
+    idf, n = inverse_frequencies(docs, templates, text_col)
     vectors = template_vectors(idf, templates)
     if not vectors:
         vectors = [(-1, "", "", 0.0)]
@@ -139,9 +149,9 @@ def scan(docs: DataFrame, path: Column, id_col: str = "doc_id", text_col: str =
              .withColumn("size", F.size("tokens")).withColumn("unit", F.xxhash64("tokens")))
     key = ["id", "path", "line", "unit"]  # an id may repeat, with the same line or another
     units = saved(units.dropDuplicates(key), "units")
-    idf_table = F.broadcast(spark.createDataFrame(sorted(idf.items()), "word string, idf double"))  # template words only
-    words = (units.select(*key, F.explode("tokens").alias("word")).groupBy(*key, "word").agg(F.count("*").alias("tf"))
-             .join(idf_table, "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown))))
+    words = saved(units.select(*key, F.explode("tokens").alias("word")).groupBy(*key, "word")
+                  .agg(F.count("*").alias("tf")), "unit_counts")
+    words = words.join(small(unit_frequencies(docs, words, n, text_col)), "word").withColumn("w", F.col("tf") * F.col("idf"))
     words = saved(words.select(*key, "word", "w"), "unit_words")
     length = words.groupBy(*key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
     template = F.broadcast(spark.createDataFrame(vectors, "template int, license string, word string, weight double"))

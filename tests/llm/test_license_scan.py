@@ -84,3 +84,22 @@ def test_repeated_rows_and_empty_table(spark):
     got = ls.scan(docs, F.col("path")).collect()
     assert len(got) == 4 and [r.origin for r in got if r.doc_id == 1] == ["own", "own"]
     assert ls.scan(docs.limit(0), F.col("path")).collect() == []
+
+
+def test_ordinary_words_weigh_little(spark):
+    said = ["Licensed under the MIT License that was", "it was licensed under the ISC License and that is it"]
+    rows = [(i, f"p{i}/x", said[i] if i < 2 else f"it was said that this and the other is word{i}") for i in range(400)]
+    token = lambda t: re.findall(ls.TOKEN, t.lower())
+    df = Counter(w for *_, t in rows for w in set(token(t)))
+
+    def vector(text):
+        v = {w: c * math.log(401 / (df[w] + 1)) for w, c in Counter(token(text)).items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / size for w, x in v.items()}
+
+    got = {r.doc_id: r for r in ls.scan(frame(spark, rows), F.col("path")).collect()}
+    for i, template in ((0, "Licensed under the MIT License"), (1, "Licensed under the ISC License")):
+        a, b = vector(said[i]), vector(template)
+        assert got[i].license == template.split()[3] and got[i].origin == "own"
+        assert abs(got[i].score - sum(x * b.get(w, 0) for w, x in a.items())) < 2e-6 and got[i].score > 0.9
+    assert all(got[i].origin == "none" for i in range(2, 400))
