@@ -357,9 +357,10 @@ def label_words(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
             .withColumnRenamed("id", id_col))
 
 
-def identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
+def identified(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text",
                lang_col: str = "lang") -> DataFrame:
-    """``docs`` without rows whose language can't be told (``und``, or a score under ``least``), columns as they were.
+    """``docs`` without rows whose language can't be told (``und``: null, no letter, or nothing learned), columns as they
+    were.  A text in several languages has a low score for each and stays; ``least`` asks for a score all the same.
 
     Predictions carry each row along, so repeated ids don't matter.
     """

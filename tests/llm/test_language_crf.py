@@ -46,6 +46,21 @@ def test_mixed_text_is_labelled_word_by_word(spark):
     assert [w.lang for w in out[1]] == ["en"] * 5 + ["fr"] * 5 and out[2] == out[3] == []
 
 
+def test_texts_in_several_languages_stay(spark):
+    texts = {"en": "the house of the king and the queen ", "fr": "le roi et la reine dans une maison ",
+             "de": "der hund und die katze sind nicht im haus "}
+    langs = sorted(texts)
+    train = [(i, texts[langs[i % 3]] * 5, langs[i % 3]) for i in range(90)]
+    mixed = [(1000, texts["en"] * 8 + texts["fr"] * 8), (1001, texts["fr"] * 8 + texts["de"] * 8),
+             (1002, "".join(texts[x] * 8 for x in langs)), (1003, "".join(texts[x] for x in langs) * 20)]
+    rows = train + [(i, t, None) for i, t in mixed] + [(1004, None, None), (1005, "12 !", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    scores = {r.doc_id: r.score for r in lc.predict(docs, lc.learn(docs)).collect()}
+    assert min(scores[1002], scores[1003]) < 0.5
+    kept = {r.doc_id for r in lc.identified(docs).collect()}
+    assert kept == set(range(90)) | {i for i, _ in mixed}
+
+
 def test_edges(spark):
     rows = [(1, None, "en"), (2, "", "en"), (3, "123 ...", None), (4, "the cat " * 40_000, None), (5, "the cat", "en"),
             (5, "the cat", "en"), (None, "the", "en"), (6, "le chat", "fr"), (7, "le chat noir", "fr"), (8, "the dog", "en")]
