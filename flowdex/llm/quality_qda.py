@@ -43,11 +43,10 @@ def features(text: str | None) -> list[float]:
     counts = np.bincount(np.frombuffer(text.encode("utf-8", "ignore"), np.uint8), minlength=256)
     upper, lower = int(counts[65:91].sum()), int(counts[97:123].sum())
     digits = int(counts[48:58].sum())
-    ends = int(counts[[33, 44, 46, 63]].sum())
     marks = int(counts[33:48].sum() + counts[58:65].sum() + counts[91:97].sum() + counts[123:127].sum())
     symbols = int(counts[[35, 36, 37, 38, 42, 43, 60, 61, 62, 64, 94, 126]].sum())
     lines = [x for x in text.split("\n") if x.strip()]
-    runs = _RUN.findall(text) if marks > ends or counts[33] else []
+    runs = _RUN.findall(text)
     return [
         math.log1p(n),
         math.log1p(chars / n),

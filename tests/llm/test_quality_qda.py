@@ -40,6 +40,14 @@ def test_edges(spark):
     assert qq.score(docs.limit(0), both).collect() == []
 
 
+def test_runs_of_marks_count_in_every_text():
+    at = qq.FEATURES.index("mark_runs")
+    for run in ("...", "???", ".,", "\u2026\u2026", "\u3002\u201d", "--", "!!"):
+        text = f"one two{run} three four{run}"
+        assert np.isclose(qq.features(text)[at], np.sqrt(2 / 4)) and qq.features(text + " a-b")[at] == np.sqrt(2 / 5)
+    assert qq.features("one, two. three? four")[at] == 0
+
+
 def test_cholesky_form_equals_the_density():
     rng = np.random.default_rng(0)
     d = 3
