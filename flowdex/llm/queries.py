@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from flowdex.llm import (best_fit_packing, exact_dedup, fuzzy_lines, language_crf, learned_partitions, license_scan,
-                         merkle_manifest, minhash_join, piece_codec, quality_qda, secret_forest)
+from flowdex.llm import (best_fit_packing, embedding_whitening, exact_dedup, fuzzy_lines, language_crf,
+                         learned_partitions, license_scan, merkle_manifest, minhash_join, piece_codec, quality_qda, secret_forest)
 
 QUERIES = {
     "op1_learned_partitions": learned_partitions.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_best_fit_packing": best_fit_packing.query,
     "op9_ngram_jaccard_join": minhash_join.query,
     "op10_secret_forest": secret_forest.query,
+    "op12_embedding_whitening": embedding_whitening.query,
     "op13_merkle_manifest": merkle_manifest.query,
 }
 ORACLE_SQL = {
