@@ -128,9 +128,9 @@ def whiten(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
     """Rows ``id, component, n, deviation, whitened, explained, identity_error`` for each usable row and component.
 
     ``weight``: every distinct vector counts once ("one") or as often as it occurs ("count"); ``n`` is the total weight.
-    Null, empty and non-finite vectors (and entries of ``LARGEST`` or more) give no rows; neither do vectors of another length than the commonest (of equally
-    common ones the largest).  Repeated rows repeat theirs, null ids keep theirs.  Fewer than ``components`` dimensions
-    give as many components.  A component without variance (at most ``FLAT`` of the largest) is whitened to 0.0 and takes
+    Null, empty and non-finite vectors (and entries of ``LARGEST`` or more) give no rows; neither do vectors of another
+    length than the commonest (of equally common ones the largest).  Repeated rows repeat theirs, null ids keep theirs.
+    Fewer than ``components`` dimensions give as many components.  A component without variance (at most ``FLAT`` of the largest) is whitened to 0.0 and takes
     no part in ``identity_error``.  No usable rows give no rows; other columns are not read.  ``deviation`` is exact; it
     is null where it is beyond 64 bits.
     """
