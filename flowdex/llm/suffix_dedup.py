@@ -38,6 +38,7 @@ from flowdex.session import work_dir
 LEAST = 50               # bytes of a string
 GRAM = 18                # bytes of an anchor
 BATCH = 4 << 20          # bytes of text in a batch, about; a longer document is a batch of its own
+BUCKET = 16              # batches in a bucket of their table, about
 PIECE = 1 << 18          # bytes hashed at a time
 HASHES = 1 << 20         # anchor hashes compared by one task, about
 ENTRIES = 100_000        # slices sorted by one task, about
@@ -182,12 +183,13 @@ def packed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return src.mapInArrow(run, BATCH_SCHEMA)
 
 
-def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
-    """``df`` as a table in the shared folder whose rows lie by ``key``, so that joins on it leave them in place."""
+def bucketed(df: DataFrame, name: str, key: str, least: int) -> DataFrame:
+    """``df`` as a table in the shared folder whose rows lie by ``key`` in at least so many buckets, so that joins on it
+    leave them in place."""
     spark = df.sparkSession
     # Fewer buckets than a shuffle would have partitions, and the planner would shuffle this side too.
-    buckets = max(int(spark.conf.get(k, "1")) for k in (
-        "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"))
+    buckets = max(least, *(int(spark.conf.get(k, "1")) for k in (
+        "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")))
     held = f"flowdex_{name}_{uuid.uuid4().hex}"
     (df.write.bucketBy(buckets, key).option("path", work_dir(spark, "llm", name)).option("compression", "none")
      .format("parquet").saveAsTable(held))
@@ -247,6 +249,46 @@ def shared_anchors(batches: DataFrame, buckets: int, hot: int) -> DataFrame:
             .applyInArrow(compare, "batch long, bucket int, keep binary, hot binary, size int, kept long"))
 
 
+WIDEST = 8 * -(-(2 * LEAST - GRAM) // 8)   # bytes of the longest slice, in whole words
+
+
+def equal_slices(data: np.ndarray, start: np.ndarray, size: np.ndarray, off: np.ndarray):
+    """Slices of equal content -> (one of each class, all in order of class, where classes begin in that order).
+
+    ``data`` goes on for ``WIDEST`` bytes behind the last slice.  A hash proposes, a comparison decides.
+    """
+    n, columns = len(start), np.arange(WIDEST)
+    odd = _mix(np.arange(1, WIDEST // 8 + 1, dtype=np.uint64)) | np.uint64(1)
+    key = np.empty(n, np.uint64)
+    pieces = [slice(a, a + 16384) for a in range(0, n, 16384)]
+    for part in pieces:
+        rows = data[start[part, None] + columns]
+        rows[columns >= (size[part] + LEAST - 1)[:, None]] = 0
+        words = rows.view(np.uint64)
+        key[part] = (_mix(words * odd) + _mix(words ^ odd)).sum(axis=1, dtype=np.uint64) \
+            + _mix((size[part] * 64 + off[part]).astype(np.uint64))
+    order = np.argsort(key, kind="stable")
+    heads = _heads(key[order])
+    cls = np.empty(n, np.int64)
+    cls[order] = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, n)))
+    first = order[heads]
+    odd_ones = []
+    for part in pieces:
+        rep = first[cls[part]]
+        other = np.flatnonzero(rep != np.arange(n)[part])  # a class's first slice equals itself
+        mine, rep = np.arange(n)[part][other], rep[other]
+        same = (size[mine] == size[rep]) & (off[mine] == off[rep])
+        same &= ((data[start[mine, None] + columns] == data[start[rep, None] + columns])
+                 | (columns >= (size[mine] + LEAST - 1)[:, None])).all(axis=1)
+        odd_ones.append(mine[~same])
+    odd_ones = np.concatenate(odd_ones) if odd_ones else np.empty(0, np.int64)
+    if len(odd_ones):
+        cls[odd_ones] = len(first) + np.arange(len(odd_ones))
+        first = np.append(first, odd_ones)
+        order = np.argsort(cls, kind="stable")
+    return first, order, _heads(cls[order])
+
+
 class Entries:
     """The slices of a batch that may repeat, and their classes of equal content."""
 
@@ -268,36 +310,8 @@ class Entries:
         self.size = np.concatenate([size[plain], np.ones(len(alone), np.int64)])
         self.off = np.concatenate([(at - start)[plain], np.zeros(len(alone), np.int64)])
         self.doc = t.ids[np.concatenate([doc[plain], np.repeat(doc[single], size[single])])]
-        self._classify()
-
-    def _classify(self):
-        widest = 8 * -(-(2 * LEAST - GRAM) // 8)
-        self.data = np.concatenate([self.texts.buf, np.zeros(widest, np.uint8)])
-        n = len(self.start)
-        key = np.empty(n, np.uint64)
-        odd = _mix(np.arange(1, widest // 8 + 1, dtype=np.uint64)) | np.uint64(1)
-        columns = np.arange(widest)
-        for a in range(0, n, 16384):
-            part = slice(a, a + 16384)
-            rows = self.data[self.start[part, None] + columns]
-            rows[columns >= (self.size[part] + LEAST - 1)[:, None]] = 0
-            words = rows.view(np.uint64)
-            key[part] = _mix((words * odd).sum(axis=1, dtype=np.uint64) ^ _mix(words ^ odd).sum(axis=1, dtype=np.uint64)) \
-                + (self.size[part] * 64 + self.off[part]).astype(np.uint64)
-        _, first, self.cls = np.unique(key, return_index=True, return_inverse=True)
-        # Equal hashes are taken for equal content only after a comparison.
-        for a in range(0, n, 16384):
-            part = slice(a, a + 16384)
-            rep = first[self.cls[part]]
-            same = (self.size[part] == self.size[rep]) & (self.off[part] == self.off[rep])
-            rows, reps = self.data[self.start[part, None] + columns], self.data[self.start[rep, None] + columns]
-            same &= ((rows == reps) | (columns >= (self.size[part] + LEAST - 1)[:, None])).all(axis=1)
-            for k in np.flatnonzero(~same) + a:
-                self.cls[k] = len(first)
-                first = np.append(first, k)
-        self.first = first
-        self.order = np.argsort(self.cls, kind="stable")
-        self.heads = _heads(self.cls[self.order]) if n else np.empty(0, np.int64)
+        self.data = np.concatenate([t.buf, np.zeros(WIDEST, np.uint8)])
+        self.first, self.order, self.heads = equal_slices(self.data, self.start, self.size, self.off)
 
     def token(self) -> np.ndarray:
         """The eight bytes at the anchor of each class, as a number that sorts as they do."""
@@ -347,23 +361,26 @@ def suffixes(joined: DataFrame, splitters: np.ndarray) -> DataFrame:
 def multikey_sort(words: np.ndarray, start: np.ndarray, group: np.ndarray, low: np.ndarray, high: np.ndarray):
     """Strings that begin at ``start`` -> (those whose equals hold two documents, the smallest document of each).
 
-    Strings of a group are sorted by one word after the other; after each word, groups of strings that are equal so far
-    go on only if they hold two documents.
+    Strings of a group are sorted by one word after the other.  A group that is down to one string is done, and after each
+    word only groups that still hold two documents go on.
     """
-    live, smallest = np.arange(len(start)), None
-    for w in WORDS:
-        word = words[start[live] + w]
-        order = np.lexsort((word, group))
-        live, group, word = live[order], group[order], word[order]
-        heads = _heads(group, word)
+    live, out = np.arange(len(start)), [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    for w in (None, *WORDS):
+        keys = (group,) if w is None else (words[start[live] + w], group)
+        order = np.lexsort(keys)
+        live, keys = live[order], [k[order] for k in keys]
+        heads = _heads(*keys)
         counts = np.diff(np.append(heads, len(live)))
         smallest = np.minimum.reduceat(low[live], heads)
-        go = smallest < np.maximum.reduceat(high[live], heads)
-        live, group, smallest = (x[np.repeat(go, counts)] for x in (live, np.repeat(np.arange(len(heads)), counts),
-                                                                    np.repeat(smallest, counts)))
+        two = smallest < np.maximum.reduceat(high[live], heads)
+        done = two & (counts == 1) if w != WORDS[-1] else two
+        every = np.repeat(done, counts)
+        out.append((live[every], np.repeat(smallest, counts)[every]))
+        go = np.repeat(two & ~done, counts)
+        live, group = live[go], np.repeat(np.arange(len(heads)), counts)[go]
         if not len(live):
             break
-    return live, smallest
+    return tuple(map(np.concatenate, zip(*out)))
 
 
 def _compare(group: pa.Table) -> pa.Table:
@@ -374,28 +391,39 @@ def _compare(group: pa.Table) -> pa.Table:
     size, off = size.astype(np.int64), off.astype(np.int64)
     row = np.repeat(np.arange(len(ns)), ns)
     begin = np.cumsum(size + LEAST - 1) - (size + LEAST - 1)
-    words = _words(np.concatenate([data, np.zeros(8, np.uint8)]))
-    at = begin + off
+    data = np.concatenate([data, np.zeros(WIDEST, np.uint8)])
+    # Slices that batches share are sorted once.
+    first, members, places = equal_slices(data, begin, size, off)
+    least, most = np.minimum.reduceat(low[members], places), np.maximum.reduceat(high[members], places)
+    words = _words(data)
+    at = (begin + off)[first]
     keys = [words[at + w] for w in (*range(0, GRAM - 7, 8), GRAM - 8)]
     order = np.lexsort(keys[::-1])
     heads = _heads(*(k[order] for k in keys))
     counts = np.diff(np.append(heads, len(order)))
-    go = np.minimum.reduceat(low[order], heads) < np.maximum.reduceat(high[order], heads)
+    go = np.minimum.reduceat(least[order], heads) < np.maximum.reduceat(most[order], heads)
     order, number = order[np.repeat(go, counts)], np.repeat(np.cumsum(go) - 1, counts)[np.repeat(go, counts)]
     # Pieces of whole groups, of about WINDOWS strings.
-    load = np.cumsum(size[order])
-    piece = (load - size[order]) // WINDOWS
+    strings = size[first[order]]
+    piece = (np.cumsum(strings) - strings) // WINDOWS
     piece = piece[np.searchsorted(number, number, "left")] if len(number) else piece
     edges = np.append(_heads(piece), len(order)) if len(order) else [0]
     found = [[np.empty(0, np.int64)] for _ in range(3)]
+    ends = np.append(places, len(members))
     for a, b in zip(edges[:-1], edges[1:]):
-        mine = order[a:b]
-        entry = np.repeat(mine, size[mine])
-        inner = np.arange(len(entry)) - np.repeat(np.cumsum(size[mine]) - size[mine], size[mine])
-        same = np.repeat(number[a:b], size[mine]) * 64 + off[entry] - inner
-        live, smallest = multikey_sort(words, begin[entry] + inner, same, low[entry], high[entry])
-        hit = smallest < high[entry[live]] if len(live) else np.empty(0, bool)
-        for out, x in zip(found, (entry[live], inner[live], smallest) if len(live) else ()):
+        mine, n = order[a:b], strings[a:b]
+        kind = np.repeat(mine, n)
+        inner = np.arange(len(kind)) - np.repeat(np.cumsum(n) - n, n)
+        same = np.repeat(number[a:b], n) * 64 + off[first[kind]] - inner
+        live, smallest = multikey_sort(words, begin[first[kind]] + inner, same, least[kind], most[kind])
+        # Every slice of the class that has a later document gets the string's smallest one.
+        kind, inner = kind[live], inner[live]
+        counts = ends[kind + 1] - ends[kind]
+        step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        entry = members[np.repeat(ends[kind], counts) + step]
+        inner, smallest = np.repeat(inner, counts), np.repeat(smallest, counts)
+        hit = smallest < high[entry]
+        for out, x in zip(found, (entry, inner, smallest)):
             out.append(x[hit])
     entry, inner, smallest = map(np.concatenate, found)
     order = np.lexsort((inner, entry))
@@ -419,8 +447,8 @@ def _compare(group: pa.Table) -> pa.Table:
 def covered(e: Entries, marks: list[dict]) -> np.ndarray:
     """Which bytes of a batch are removed."""
     n = len(e.texts.buf)
-    change = np.zeros(n + 1, np.int64)
     ends = np.append(e.heads, len(e.order))
+    begins, stops = [], []
     for m in marks:
         cls, first, last, smallest, _ = _unpack(m["marks"], m["n"], MARK)
         cls = cls.astype(np.int64)
@@ -429,8 +457,9 @@ def covered(e: Entries, marks: list[dict]) -> np.ndarray:
         entry = e.order[np.repeat(ends[cls], counts) + inner]
         later = e.doc[entry] > np.repeat(smallest, counts)
         start = e.start[entry[later]]
-        change += np.bincount(start + np.repeat(first, counts)[later], minlength=n + 1)
-        change -= np.bincount(start + np.repeat(last, counts)[later] + LEAST, minlength=n + 1)
+        begins.append(start + np.repeat(first, counts)[later])
+        stops.append(start + np.repeat(last, counts)[later] + LEAST)
+    change = np.bincount(np.concatenate(begins), minlength=n + 1) - np.bincount(np.concatenate(stops), minlength=n + 1)
     return np.cumsum(change[:-1]) > 0
 
 
@@ -472,12 +501,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     stay whole and make nobody else's bytes repeated.  Repeats within a document stay.  No rows give no rows; other
     columns aren't read; ids are whole numbers.
     """
-    batches = bucketed(packed(docs, id_col, text_col), "batches", "batch")
-    total = batches.agg(F.sum("bytes").alias("bytes"), F.count("*").alias("n")).first()
-    hash_buckets = max(1, -(-(total["bytes"] or 0) // (16 * HASHES)))
+    total = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`").cast("string")))).first()[0] or 0
+    batches = bucketed(packed(docs, id_col, text_col), "batches", "batch", total // (BUCKET * BATCH))
+    hash_buckets = max(1, -(-total // (16 * HASHES)))
     bits = saved(shared_anchors(batches, hash_buckets, hot), "bits")
     kept = bits.agg(F.sum("kept")).first()[0] or 0
-    splitters = _splitters(batches, total["n"], max(1, -(-kept // ENTRIES)))
+    splitters = _splitters(batches, batches.count(), max(1, -(-kept // ENTRIES)))
     mine = bits.filter("kept > 0 or size > 0").groupBy("batch").agg(
         F.collect_list(F.struct("bucket", "keep", "hot", "size")).alias("bits"))
     joined = batches.join(mine.hint("shuffle_hash"), "batch")
