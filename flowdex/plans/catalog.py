@@ -17,9 +17,9 @@ from flowdex.functions.documents import HISTO_SUPP, HISTO_VALU, doc_size, mapify
 from flowdex.functions.text import decode_utf8, render_email_content
 from flowdex.operators import histogram, paging, sqlreport
 from flowdex.operators.documents import doc_fields, prepare_documents
-from flowdex.session import configure
+from flowdex.session import configure, work_dir
 from flowdex.sinks import kafka as kafka_sink
-from flowdex.sources import feeds, mail, tables
+from flowdex.sources import feeds, mail, mailbox, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -399,5 +399,26 @@ def mail_flatten(spark, sf_dir):
     return mail_parts(mail.flatten_mail(_raw_mail(spark, sf_dir)))
 
 
+@register("mbox_mail", f"""
+select row_number() over (order by doc_id) as msg_no, subject, sender, md5(rtrim(text, chr(10) || chr(13))) as body_md5 from (
+  select doc_id, text, {MAIL_HEADERS} from documents)""")
+def mbox_mail(spark, sf_dir):
+    """S15 + S18: mbox files read in ranges, numbered in file order, parsed."""
+    box = f"{work_dir(spark, 'mbox')}/inbox"
+    mailbox.write_mbox(_raw_mail(spark, sf_dir).repartitionByRange("msg_no").sortWithinPartitions("msg_no"), box)
+    emails = mail.flatten_mail(mailbox.number_mails(mailbox.read_mbox(spark, box), folder="box"))
+    body = F.rtrim(F.col("content")[0]["content"], F.lit("\n\r"))
+    return emails.select("msg_no", "subject", F.col("from").alias("sender"), F.md5(body).alias("body_md5"))
+
+
+@register("mail_page_by_folder", f"""
+select doc_id as msg_no, {MAIL_HEADERS}, md5(text) as body_md5 from documents order by source, doc_id limit 40 offset 90""")
+def mail_page_by_folder(spark, sf_dir):
+    """S16 in another order: by folder (a text with heavy ties), then number."""
+    mails = paging.page_by(_raw_mail(spark, sf_dir), ["folder", "msg_no"], drop=90, take=40)
+    return mail.flatten_mail(mails).select("msg_no", "folder", F.col("from").alias("sender"), "subject",
+                                           F.md5(F.col("content")[0]["content"]).alias("body_md5"))
+
+
 # Streaming forms register themselves into the same tables.
 from flowdex.plans import streams  # noqa: E402,F401

@@ -18,9 +18,10 @@ from flowdex.plans.catalog import L, RUNNING, MAIL_PARTS, mail_parts, register
 from flowdex.session import work_dir
 from flowdex.sinks.files import batch_sink, write_batch
 from flowdex.sinks.index import index_path, index_sink, write_index
-from flowdex.sources import feeds, mail, tables
+from flowdex.sources import feeds, mail, mailbox, tables
 from flowdex.streaming import replay
-from flowdex.streaming.runner import start_indexing, trigger_of
+from flowdex.streaming.quarantine import quarantine
+from flowdex.streaming.runner import run_micro_batch, start_indexing, trigger_of
 
 SHARDS = 4
 
@@ -148,3 +149,65 @@ def mail_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
              .trigger(availableNow=True).start(out))
     query.awaitTermination()
     return spark.read.parquet(out)
+
+
+def _quarantined(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A drop with ordinary bad mail streamed into two sinks, ``good`` and ``rejects`` under the folder that is returned."""
+    base = work_dir(spark, name)
+    tables.odd_mail(tables.table(spark, sf_dir, "documents"), tables.table(spark, sf_dir, "pages")).write.parquet(f"{base}/drop")
+    sink = quarantine(batch_sink(f"{base}/good"), batch_sink(f"{base}/rejects"))
+    query = (mail.check_mail(mail.read_mail_drop(spark, f"{base}/drop")).writeStream
+             .foreachBatch(lambda df, batch_id: run_micro_batch(df, batch_id, None, sink))
+             .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return base
+
+
+@register("mail_rejects", f"""
+select doc_id as msg_no, source as folder, case doc_id % 20 when 3 then '{mail.NULL_MESSAGE}' else '{mail.BROKEN_MULTIPART}' end as error,
+       case doc_id % 20 when 8 then octet_length(encode('From: a@feed.example' || chr(13) || chr(10)
+         || 'Content-Type: multipart/mixed; boundary=gone' || chr(13) || chr(10) || chr(13) || chr(10) || 'no part ' || doc_id)) end as n_bytes
+from documents where doc_id % 20 in (3, 8)""")
+def mail_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that can't be read, with the reason and their bytes, beside a stream that goes on."""
+    rejects = spark.read.parquet(f"{_quarantined(spark, sf_dir, 'mail_rejects')}/rejects")
+    return rejects.select("msg_no", "folder", "error", F.octet_length("raw").cast("bigint").alias("n_bytes"))
+
+
+@register("mail_accepted", f"""
+with d as (select *, doc_id % 20 as kind from documents)
+select doc_id as msg_no,
+       case kind when 13 then 'Jörg <jorg@feed.example>' when 1 then 'Jörg <jörg@feed.example>' when 18 then 'a@feed.example'
+            else case when doc_id % 3 = 0 then 'Feed ' || source || ' <' || source || '@feed.example>'
+                      else source || '@feed.example' end end as sender,
+       case kind when 13 then 'Größe ' || doc_id when 1 then 'Größe ' || doc_id when 18 then '=?utf-8?B?abcde?= ' || doc_id
+            else case when doc_id % 4 = 0 then 'Größe ' || doc_id else 'document ' || doc_id end end as subject,
+       md5(case when kind in (1, 13, 18) then 'body ' || doc_id else text end) as body_md5
+from d where kind not in (3, 8)""")
+def mail_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X9 + S17/S18: what goes on of the same stream, 8-bit and undecodable headers included."""
+    good = spark.read.parquet(f"{_quarantined(spark, sf_dir, 'mail_accepted')}/good")
+    return good.select("msg_no", F.col("from").alias("sender"), "subject", F.md5(F.col("content")[0]["content"]).alias("body_md5"))
+
+
+POLL = 2000
+
+
+@register("mail_polls", f"""
+select p as poll, least({POLL}, n - p * {POLL})::bigint as messages
+from (select n, unnest(range((n + {POLL - 1}) // {POLL})) p from (select count(*) n from documents))""")
+def mail_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drop polled by messages, whatever files they came in; every message in one poll."""
+    base = work_dir(spark, "mail_polls")
+    raw = tables.raw_mail(tables.table(spark, sf_dir, "documents"), tables.table(spark, sf_dir, "pages"))
+    raw.write.parquet(f"{base}/drop")
+    polls = mailbox.read_mail_polls(spark, f"{base}/drop", f"{base}/progress", per_poll=POLL, per_partition=250)
+    sink = batch_sink(f"{base}/out")
+    query = (polls.writeStream.foreachBatch(lambda df, batch_id: sink(df.select("msg_no"), batch_id))
+             .option("checkpointLocation", f"{base}/checkpoint").trigger(processingTime="0 seconds").start())
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return (spark.read.parquet(f"{base}/out").groupBy(F.col("batch_id").cast("bigint").alias("poll"))
+            .agg(F.countDistinct("msg_no").alias("messages")))

@@ -8,6 +8,7 @@ in ``mapInPandas`` with the standard library's ``email`` parser.
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator
 
@@ -38,6 +39,12 @@ RAW_MAIL_SCHEMA = "msg_no bigint, folder string, raw binary"
 EMAIL_SCHEMA = ("msg_no bigint, folder string, `from` string, subject string, "
                 "content array<struct<content: string, msgType: string>>")
 
+# What is said of messages that can't be read whole.
+NULL_MESSAGE = "null message"
+EMPTY_MESSAGE = "empty message"
+BROKEN_MULTIPART = "multipart without parts"
+ERROR_CHARS = 500
+
 # Poll constants of the reference's receiver: 10 messages every 2 seconds.
 POLL_BATCH = 10
 POLL_INTERVAL = "2 seconds"
@@ -81,32 +88,89 @@ def _text_of(part) -> str:
     charset = part.get_content_charset() or "utf-8"
     try:
         return payload.decode(charset, errors="replace")
-    except LookupError:
+    except (LookupError, ValueError):  # unknown charset, or a codec that isn't one for mail
         return payload.decode("utf-8", errors="replace")
 
 
-def _header(value) -> str:
-    """Header text with folded lines joined and encoded words decoded."""
-    from email.header import decode_header, make_header
+ENCODED_WORD = re.compile(r"=\?([^?\s]*)\?([bBqQ])\?([^?]*)\?=")
 
-    text = " ".join(str(value).split())
-    try:
-        return str(make_header(decode_header(text)))
-    except (LookupError, ValueError):  # unknown charset or broken encoding: the text as it came
-        return text
+
+def _raw_headers(msg, name: str) -> list[str]:
+    """Values of a header from its bytes (UTF-8, else Latin-1), folded lines joined; encoded words are left as they are."""
+    out = []
+    for key, value in msg.raw_items():
+        if key.lower() == name:
+            data = str(value).encode("utf-8", "surrogateescape")
+            try:
+                text = data.decode("utf-8")
+            except UnicodeDecodeError:
+                text = data.decode("latin-1")
+            out.append(" ".join(text.split()))
+    return out
+
+
+def _word_bytes(way: str, payload: str) -> bytes:
+    import binascii
+
+    if way in "bB":
+        return binascii.a2b_base64(payload + "=" * (-len(payload) % 4))
+    return binascii.a2b_qp(payload.encode("utf-8"), header=True)
+
+
+def _header(text: str) -> str:
+    """Header text with its encoded words decoded; a word that can't be decoded stays as it came."""
+    out, at, held, charset = [], 0, b"", None
+
+    def flush():
+        nonlocal held, charset
+        if charset is not None:
+            out.append(held.decode(charset, errors="replace"))
+        held, charset = b"", None
+
+    for m in ENCODED_WORD.finditer(text):
+        between = text[at:m.start()]
+        try:
+            name = m[1].partition("*")[0].lower()
+            data = _word_bytes(m[2], m[3])
+            data.decode(name, errors="replace")
+        except (LookupError, ValueError):
+            flush()
+            out.append(between + m[0])
+        else:
+            if charset is None or between.strip():
+                flush()
+                out.append(between)
+            elif charset != name:  # white space between encoded words isn't text
+                flush()
+            held, charset = held + data, name
+        at = m.end()
+    flush()
+    return "".join(out) + text[at:]
+
+
+NAME_SPECIALS = re.compile(r'[][\\()<>@,:;".]')
+
+
+def _address(name: str, addr: str) -> str:
+    """Display name and address as the mail API prints them, whatever characters they hold."""
+    if not name:
+        return addr
+    quote = '"' if NAME_SPECIALS.search(name) else ""
+    escaped = name.replace("\\", "\\\\").replace('"', '\\"')
+    return f"{quote}{escaped}{quote} <{addr}>"
 
 
 def _parse_one(raw: bytes | None):
     import email
-    from email.utils import formataddr, getaddresses
+    from email.utils import getaddresses
 
     msg = email.message_from_bytes(bytes(raw or b""))
-    senders = msg.get_all("From")
-    if senders is None:
+    senders = _raw_headers(msg, "from")
+    if not senders:
         sender = SENDER_NULL
     else:
-        # Whole addresses, display name included, as the mail API prints them.
-        addrs = [formataddr((name, addr)) if name else addr for name, addr in getaddresses(map(str, senders)) if addr]
+        # Whole addresses, display name included.
+        addrs = [_address(name, addr) for name, addr in getaddresses(senders) if addr]
         sender = ",".join(addrs) if addrs else SENDER_EMPTY
     parts = []
     if msg.is_multipart():
@@ -118,25 +182,56 @@ def _parse_one(raw: bytes | None):
     else:
         kind = TEXT_HTML if _part_type(msg) == TEXT_HTML else TEXT_PLAIN
         parts.append({"content": _text_of(msg), "msgType": kind})
-    subject = msg.get("Subject")
-    return sender, None if subject is None else _header(subject), parts
+    subject = _raw_headers(msg, "subject")
+    broken = BROKEN_MULTIPART if msg.get_content_maintype() == "multipart" and not msg.is_multipart() else None
+    return sender, _header(subject[0]) if subject else None, parts, broken
+
+
+def _checked(raw: bytes | None):
+    """A parsed message and what is wrong with it: nothing that a message holds stops the task."""
+    try:
+        sender, subject, parts, broken = _parse_one(raw)
+    except Exception as e:  # the standard parser's own failures; their kind depends on the message
+        return None, None, [], f"{type(e).__name__}: {e}"[:ERROR_CHARS]
+    if raw is None:
+        broken = NULL_MESSAGE
+    elif not raw:
+        broken = EMPTY_MESSAGE
+    # Text that no reader could decode again (lone surrogates of a charset) isn't passed on.
+    clean = [None if x is None else x.encode("utf-8", "replace").decode("utf-8") for x in (sender, subject)]
+    parts = [{**p, "content": p["content"].encode("utf-8", "replace").decode("utf-8")} for p in parts]
+    return clean[0], clean[1], parts, broken
 
 
 def _flatten_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        parsed = [_parse_one(r) for r in pdf["raw"]]
+        parsed = [_checked(None if r is None else bytes(r)) for r in pdf["raw"]]
         yield pd.DataFrame({
             "msg_no": pdf["msg_no"],
             "folder": pdf["folder"],
             "from": [p[0] for p in parsed],
             "subject": [p[1] for p in parsed],
             "content": [p[2] for p in parsed],
+            "error": [p[3] for p in parsed],
+            "raw": pdf["raw"],
         })
 
 
+def check_mail(raw: DataFrame) -> DataFrame:
+    """Raw messages ``(msg_no, folder, raw)`` -> ``Email`` rows with ``error`` and ``raw`` (works on streams).
+
+    ``error`` is null for a message that was read whole; else it says why not: a null or empty message, a multipart
+    message without parts, or the parser's own failure.  No message stops the job.
+    """
+    return raw.select("msg_no", "folder", "raw").mapInPandas(_flatten_batches, EMAIL_SCHEMA + ", error string, raw binary")
+
+
 def flatten_mail(raw: DataFrame) -> DataFrame:
-    """Raw messages ``(msg_no, folder, raw)`` -> ``Email`` rows (works on streams)."""
-    return raw.select("msg_no", "folder", "raw").mapInPandas(_flatten_batches, EMAIL_SCHEMA)
+    """Raw messages ``(msg_no, folder, raw)`` -> ``Email`` rows (works on streams).
+
+    What can't be read of a message is missing from its row (see :func:`check_mail` for the reasons).
+    """
+    return check_mail(raw).drop("error", "raw")
 
 
 def explode_content(emails: DataFrame) -> DataFrame:

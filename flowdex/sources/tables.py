@@ -170,3 +170,25 @@ def raw_mail(documents: DataFrame, pages: DataFrame) -> DataFrame:
     return joined.select(
         doc.alias("msg_no"), F.col("source").alias("folder"),
         F.when(F.col("page_id").isNotNull(), multipart).otherwise(F.concat(encode_utf8(headers), plain)).alias("raw"))
+
+
+def odd_mail(documents: DataFrame, pages: DataFrame) -> DataFrame:
+    """:func:`raw_mail` with a quarter of the messages as ordinary bad mail, by id.
+
+    Of twenty: one is null, one a multipart without its parts, one has 8-bit headers in UTF-8, one in Latin-1, and one an
+    encoded word and a charset that can't be decoded.  The first two can't be read; the others can.
+    """
+    mails = raw_mail(documents, pages)
+    kind = F.col("msg_no") % 20
+    number = F.col("msg_no").cast("string")
+    body = _bytes("\r\nMIME-Version: 1.0\r\nContent-Type: text/plain; charset=idna\r\n\r\nbody ", number)
+
+    def with_headers(sender: str, subject: str, charset: str):
+        return F.concat(F.encode(F.concat(F.lit(f"From: {sender}\r\nSubject: {subject} "), number), charset), body)
+
+    hollow = _bytes("From: a@feed.example\r\nContent-Type: multipart/mixed; boundary=gone\r\n\r\nno part ", number)
+    raw = (F.when(kind == 3, F.lit(None).cast("binary")).when(kind == 8, hollow)
+           .when(kind == 13, with_headers("Jörg <jorg@feed.example>", "Größe", "UTF-8"))
+           .when(kind == 1, with_headers("Jörg <jörg@feed.example>", "Größe", "ISO-8859-1"))
+           .when(kind == 18, with_headers("a@feed.example", "=?utf-8?B?abcde?=", "UTF-8")).otherwise(F.col("raw")))
+    return mails.select("msg_no", "folder", raw.alias("raw"))

@@ -8,7 +8,8 @@ import pytest
 from flowdex.plans import catalog
 from tests.conftest import SF_SMALL
 
-STREAMS = {"feed_to_index", "feed_to_index_plain", "histogram_stream", "log_report_stream", "mail_stream", "report_to_index"}
+STREAMS = {"feed_to_index", "feed_to_index_plain", "histogram_stream", "log_report_stream", "mail_accepted", "mail_polls", "mail_rejects",
+           "mail_stream", "report_to_index"}
 BATCH = sorted(set(catalog.QUERIES) - STREAMS)
 
 
