@@ -4,13 +4,17 @@ Each word gets a score for every language from hashed affix and character n-gram
 transitions tie neighbouring words; forward-backward gives every word its probability of each language, so mixed text is
 labelled word by word.  A text's language is the one with the largest mean probability.
 
-Learning takes a bounded sample of labelled rows (``SAMPLE_PER_LANG`` texts of at most ``SAMPLE_CHARS`` characters each,
-chosen by a hash of the id) and runs on the driver; prediction reads every whole text where it lies, without a shuffle.
+Learning takes a bounded sample of labelled rows, chosen by a hash: ``SAMPLE_PER_LANG`` texts of each label, fewer where
+there are so many labels that ``SAMPLE_ROWS`` is reached, and of each text, however long, up to ``SAMPLE_CHAINS`` chains
+spread over it.  Every label is learned.  Learning runs on the driver; prediction reads every whole text where it lies,
+without a shuffle.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +23,12 @@ from pyspark.sql import functions as F
 
 from flowdex.llm.common import table, text_batches, values
 
-WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
 SAMPLE_PER_LANG = 400     # labelled texts per language that learning reads, at most about
-SAMPLE_CHARS = 20_000     # longer texts aren't sampled
-MAX_LANGS = 64            # the most frequent labels that are learned
+SAMPLE_ROWS = 40_000      # labelled texts that learning reads in all, at most about
+SAMPLE_CHAINS = 32        # chains of one text that learning reads
+LEARN_CHAINS = 12_000     # chains that learning passes over, about: each language the same number
+LONGEST = 24              # letters of a word; a longer run of letters is several words
 CHAIN = 64                # words of a chain; a longer text is several chains
 BUCKET_BITS = 15          # hashed features
 BUCKETS = 1 << BUCKET_BITS
@@ -34,10 +39,30 @@ WORD_CACHE = 150_000      # words whose scores a task keeps; the cache restarts
 GROUP_WORDS = 60_000      # words scored at a time
 
 
+def _letters() -> str:
+    """A character class of letters: what Python takes for alphanumeric without digits and other numbers."""
+    ranges: list[list[int]] = []
+    for c in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(c)) in ("No", "Nl"):
+            if ranges and ranges[-1][1] == c - 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
+    return r"[^\W\d_" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges) + "]"
+
+
+WORD = re.compile(_letters() + "{1,%d}" % LONGEST)
+
+
+def words_of(text: str | None) -> list[str]:
+    """Lower-case words: runs of letters, those of more than ``LONGEST`` cut into several."""
+    return WORD.findall(text.lower()) if text else []
+
+
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets ``(words, features)`` and which of them count: n-grams of one to three characters of the word between
-    marks, and its prefix and suffix of four characters.  Of a word over 24 characters, both ends are read."""
-    marked = [f"^{w}$".ljust(26, "\0") if len(w) <= 24 else f"^{w[:12]}{w[-12:]}$" for w in words]
+    marks, and its prefix and suffix of four characters."""
+    marked = [f"^{w}$".ljust(26, "\0") for w in words]
     codes = np.frombuffer("".join(marked).encode("utf-32-le"), "<u4").reshape(len(words), 26).astype(np.uint64)
     length = (codes > 0).sum(axis=1)
     k1, k2, k3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -152,7 +177,7 @@ def fit(texts: list[str], labels: list[str], seed: int = 7) -> Model:
     rng = np.random.default_rng(seed)
     chains, counts = [], {}
     for text, label in zip(texts, labels):
-        words = WORD.findall(text.lower())
+        words = words_of(text)
         k = langs.index(label)
         for w in words:
             counts.setdefault(w, np.zeros(len(langs), np.float32))[k] += 1
@@ -166,10 +191,16 @@ def fit(texts: list[str], labels: list[str], seed: int = 7) -> Model:
     model = Model(langs, lexicon)
     if len(langs) < 2 or not chains:
         return model
-    by_lang = [[c for c in chains if c[1] == k] for k in range(len(langs))]
-    most = max(map(len, by_lang))
-    # Every language gives the same number of chains, by repetition, so none wins by frequency alone.
-    balanced = [group[i % len(group)] for group in by_lang if group for i in range(min(most, 3000))]
+    by_lang: list[list] = [[] for _ in langs]
+    for c in chains:
+        by_lang[c[1]].append(c)
+    # Every language gives the same number of chains, drawn at random and repeated, so none wins by frequency alone.
+    most = min(max(map(len, by_lang)), max(60, LEARN_CHAINS // len(langs)))
+    balanced = []
+    for group in by_lang:
+        if group:
+            drawn = rng.permutation(len(group))[:most]
+            balanced += [group[drawn[i % len(drawn)]] for i in range(most)]
     sequences = []
     for words, k in balanced:
         tags = [k] * len(words)
@@ -268,21 +299,39 @@ def held_out(id_col: Column) -> Column:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """A model from the rows that aren't held out and have a label and a text; see the module text for the bound."""
+    """A model from the rows that aren't held out and have a label and a text; see the module text for the bounds."""
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
                         F.col(lang_col).cast("string").alias("lang"))
-            .filter(F.col("lang").isNotNull() & ~held_out(F.col("id"))
-                    & F.col("text").isNotNull() & (F.length("text") <= SAMPLE_CHARS)))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()}
+            .filter(F.col("lang").isNotNull() & ~held_out(F.col("id")) & F.col("text").isNotNull()))
+    # One row per label comes to the driver.
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Model([], {})
+    each = max(1, min(SAMPLE_PER_LANG, SAMPLE_ROWS // len(counts)))
     draw = F.pmod(F.xxhash64("id", "text"), F.lit(1_000_003)) / 1_000_003
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(SAMPLE_PER_LANG / n)).otherwise(share)
-    sample = (rows.filter(draw < share).limit(2 * SAMPLE_PER_LANG * len(counts))
-              .select("id", "text", "lang").toPandas().sort_values(["id", "text"], kind="stable"))
+    # Rare labels are read whole; a frequent one's share is that of its rows.
+    frequent = {lang: each / n for lang, n in counts.items() if n > each}
+    share = F.lit(1.0)
+    if frequent:
+        shares = F.create_map(*[F.lit(x) for kv in frequent.items() for x in kv])
+        share = F.coalesce(F.try_element_at(shares, F.col("lang")), F.lit(1.0))
+
+    def chains(batches):
+        for batch in batches:
+            texts = []
+            for text in values(batch.column(1)):
+                words = words_of(text)
+                n = -(-len(words) // CHAIN)
+                if n > SAMPLE_CHAINS:  # chains spread evenly over the text
+                    at = [k * n // SAMPLE_CHAINS * CHAIN for k in range(SAMPLE_CHAINS)]
+                    words = [w for a in at for w in words[a:a + CHAIN]]
+                texts.append(" ".join(words))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), batch.column(2)],
+                                             names=["draw", "text", "lang"])
+
+    sample = (text_batches(rows.filter(draw < share)).select(F.xxhash64("id", "text").alias("draw"), "text", "lang")
+              .mapInArrow(chains, "draw long, text string, lang string").limit(2 * each * len(counts) + 1000)
+              .toPandas().sort_values(["draw", "text"], kind="stable"))
     return fit(sample["text"].tolist(), sample["lang"].tolist())
 
 
@@ -290,7 +339,7 @@ def _groups(texts):
     """Lists of words of the texts, in groups of about ``GROUP_WORDS`` words."""
     group, size = [], 0
     for text in texts:
-        words = WORD.findall(text.lower()) if text else []
+        words = words_of(text)
         group.append(words)
         size += len(words)
         if size >= GROUP_WORDS:
@@ -359,8 +408,10 @@ def label_words(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
 def identified(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text",
                lang_col: str = "lang") -> DataFrame:
-    """``docs`` without rows whose language can't be told (``und``: null, no letter, or nothing learned), columns as they
-    were.  A text in several languages has a low score for each and stays; ``least`` asks for a score all the same.
+    """``docs`` without rows whose language can't be told (null, or without a letter), columns as they were.
+
+    A text in several languages has a low score for each and stays; ``least`` asks for a score all the same.  Where no
+    row is labelled nothing can be judged: every text with a letter stays.
 
     Predictions carry each row along, so repeated ids don't matter.
     """
@@ -372,7 +423,7 @@ def identified(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text
             keep = []
             for group in _groups(values(batch.column(batch.schema.get_field_index(text_col)))):
                 if not model.langs:
-                    keep += [False] * len(group)
+                    keep += [len(words) > 0 for words in group]
                     continue
                 keep += [len(p) > 0 and bool(p.mean(axis=0, dtype=np.float64).max() >= least) for p in label(group)]
             yield batch.filter(pa.array(keep, pa.bool_()))

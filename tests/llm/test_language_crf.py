@@ -72,4 +72,44 @@ def test_edges(spark):
     assert kept.columns == docs.columns and not {1, 2, 3} & {r.doc_id for r in kept.collect()}
     empty = docs.limit(0)
     assert lc.predict(empty, lc.learn(empty)).collect() == []
+    unlabelled = docs.drop("lang").selectExpr("*", "cast(null as string) as lang").select(docs.columns)
+    assert sorted(str(r.doc_id) for r in lc.identified(unlabelled).collect()) == sorted("4 5 5 None 6 7 8".split())
     assert {r.lang_pred for r in lc.predict(docs, lc.learn(empty)).collect()} == {"und"}
+
+
+EN, FR = "the house of the king and the queen is not far from here ", "le roi et la reine sont dans une maison pas loin "
+
+
+def test_languages_of_long_texts_alone(spark):
+    rows = [(i, (EN if i % 2 else FR) * 480, "en" if i % 2 else "fr") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(rows[0][1]) > 20_000
+    model = lc.learn(docs)
+    assert model.langs == ["en", "fr"] and len(lc.identified(docs).collect()) == 40
+    assert all(r.lang_pred == ("en" if r.doc_id % 2 else "fr") for r in lc.predict(docs, model).collect())
+    short = [(100 + i, EN, "en") for i in range(40)]
+    mixed = spark.createDataFrame(short + [r for r in rows if r[2] == "fr"], "doc_id long, text string, lang string")
+    assert lc.learn(mixed).langs == ["en", "fr"]
+
+
+def test_every_label_is_learned(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(70):
+        words = ["".join(rng.choice(list(letters), 6)) for _ in range(12)]
+        rows += [(k * 10 + i, " ".join(rng.choice(words, 40)), f"l{k:02d}") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lc.learn(docs)
+    assert len(model.langs) == 70
+    got = lc.predict(docs, model).collect()
+    truth = {r[0]: r[2] for r in rows}
+    assert {r.lang_pred for r in got} == set(model.langs)
+    assert np.mean([r.lang_pred == truth[r.doc_id] for r in got if r.held_out]) > 0.9
+
+
+def test_letters_and_long_words():
+    assert lc.words_of("\u00b2 \u00bd \u2460 \u2167 12 _ !") == [] and lc.words_of("x\u00b2y Stra\u00dfe \u4e00") == ["x", "y", "stra\u00dfe", "\u4e00"]
+    run = "\u0e01\u0e02\u0e04" * 30
+    assert "".join(lc.words_of(run)) == run and max(map(len, lc.words_of(run))) <= lc.LONGEST
+    assert lc.words_of(None) == lc.words_of("") == []
