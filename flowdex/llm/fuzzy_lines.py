@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowdex.llm.common import BROADCAST_ROWS, Hashes, saved, small, table, text_batches, values
 from flowdex.llm.graph import connected_components
@@ -304,8 +305,13 @@ def line_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``(doc, line, kept)`` of every line of ``docs`` (a null text: the one line -1, kept).
 
     Lines are split at line feeds.  Lines without a word are kept; of the lines of a group the first by document and
-    number is kept.  Rows that repeat an id share their decisions line by line.  Null ids come after all others.
+    number is kept.  Rows that repeat an id share their decisions on equal lines.  Null ids come after all others.
     """
+    return _judged(docs, id_col, text_col).select("doc", "line", "kept")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``line_groups`` with each line's ``key`` (null without a word)."""
     lines = saved(line_table(docs, id_col, text_col), "lines")
     worded = lines.filter("key is not null")
     keys = saved(worded.groupBy("key", "sim").agg(F.min(F.struct(F.col("doc").isNull().alias("last"), "doc", "line"))
@@ -357,8 +363,8 @@ def line_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                                                       F.col("keep.line").alias("keep_line")), "kept")
     found = worded.join(small(known), "key", "left")
     kept = F.col("keep_line").isNull() | (F.col("doc").eqNullSafe(F.col("keep_doc")) & (F.col("line") == F.col("keep_line")))
-    return (found.select("doc", "line", kept.alias("kept"))
-            .unionByName(lines.filter("key is null").select("doc", "line", F.lit(True).alias("kept"))))
+    return (found.select("doc", "line", kept.alias("kept"), "key")
+            .unionByName(lines.filter("key is null").select("doc", "line", F.lit(True).alias("kept"), "key")))
 
 
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -374,15 +380,30 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the dropped lines removed from the text; all rows and columns stay (a null text stays null)."""
-    drops = decisions(docs, id_col, text_col).filter(F.size("dropped") > 0).select(
-        F.col(id_col).alias("drop_id"), "dropped")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows = rows.join(saved(drops, "drops"), F.col(f"row.{id_col}").eqNullSafe(F.col("drop_id")), "left")
-    text = F.col(f"row.{text_col}")
-    lines = F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains("dropped", i))
-    new = F.when(F.col("dropped").isNull(), text).otherwise(F.array_join(lines, "\n"))
-    return rows.select(*[new.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
+    """``docs`` with the dropped lines removed from the text; all rows and columns stay (a null text stays null).
+
+    A line goes by its document, number and words: rows that repeat an id with other texts lose only lines of their own.
+    """
+    drops = _judged(docs, id_col, text_col).filter("not kept").select("doc", "line", "key").distinct()
+    drops = saved(drops.groupBy(F.col("doc").alias("drop_id")).agg(F.collect_list(F.struct("line", "key")).alias("dropped")),
+                  "drops")
+
+    def run(batches):
+        for batch in batches:
+            texts = []
+            for text, gone in zip(values(batch.column(1)), values(batch.column(2))):
+                if text is not None and gone:
+                    gone = {(g["line"], g["key"]) for g in gone}
+                    keys = [line_key(w) if w else None for w in normal_lines(text)]
+                    text = "\n".join(x for i, x in enumerate(text.split("\n")) if (i, keys[i]) not in gone)
+                texts.append(text)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["row", "new"])
+
+    rows = text_batches(docs).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    joined = rows.join(drops, F.col(f"row.`{id_col}`").cast("long").eqNullSafe(F.col("drop_id")), "left")
+    out = joined.select("row", F.col(f"row.`{text_col}`").cast("string").alias("text"), "dropped").mapInArrow(
+        run, T.StructType([rows.schema["row"], T.StructField("new", T.StringType())]))
+    return out.select(*[F.col("new").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -207,15 +207,14 @@ n as (select count(*) n from d),
 df as (select word, count(*) c from (
          select unnest(list_distinct(regexp_extract_all(lower(t), '{TOKEN}'))) word from d) group by word),
 idf as (select w.word, ln((n.n + 1) / (coalesce(df.c, 0) + 1)) idf
-        from (select distinct word from tpl) w cross join n left join df using (word)),
+        from (select word from df union select word from tpl) w cross join n left join df using (word)),
 tw as (select template, license, word, tf * idf w from tpl join idf using (word) where idf > 0),
 tv as (select template, license, word, w / sqrt(sum(w * w) over (partition by template)) w from tw),
 ls as (select doc_id, path, dir, string_split(t, chr(10)) ls from d),
 us as (select doc_id, path, dir, unnest(range(len(ls))) line, unnest(ls) u from ls),
 uw as (select doc_id, line, word, count(*) tf from (
          select doc_id, line, unnest(regexp_extract_all(lower(u), '{TOKEN}')) word from us) group by all),
-ww as (select doc_id, line, word, tf * coalesce(idf.idf, ln(n.n + 1)) w, tf
-       from uw cross join n left join idf using (word)),
+ww as (select doc_id, line, word, tf * idf.idf w, tf from uw join idf using (word)),
 len as (select doc_id, line, sqrt(sum(w * w)) len, sum(tf) size from ww group by all),
 cos as (select doc_id, line, template, license, round(sum(ww.w * tv.w) / any_value(len.len), 6) score, any_value(size) size
         from ww join tv using (word) join len using (doc_id, line) group by all),

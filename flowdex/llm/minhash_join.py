@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowdex.llm.common import Hashes, saved, small, table, text_batches, values
 from flowdex.llm.graph import connected_components
@@ -216,16 +217,9 @@ def _verified(docs, id_col, text_col, members, threshold) -> DataFrame:
     return sets.groupBy("hood", "i", "j").applyInPandas(_tile_links(threshold), "key binary, links long, low binary")
 
 
-def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-                    recall: float = RECALL) -> DataFrame:
-    """One row per row of ``docs``: id, ``class_id``, ``n_links``.
-
-    ``n_links`` counts the other rows whose shingle set has Jaccard similarity ``threshold`` or more with this row's
-    (copies with an equal set included); rows connected by links share a ``class_id``, the smallest id among them.
-    Null, empty and wordless texts have no shingles: each is its own class without links.  Repeated rows are copies of
-    each other; null ids never name a class unless all its rows have none.  No rows give no rows; other columns are not
-    read.  Ids are whole numbers.  A pair right at the threshold is missed with a chance of at most ``1 - recall``.
-    """
+def _classified(docs: DataFrame, id_col: str, text_col: str, threshold: float, recall: float):
+    """``sketched(id, key, n, bands)`` of all rows, and ``known(key, class_id, n_links, keep_key)`` of the sets that have
+    copies or links; ``keep_key`` is the set of the class's smallest id."""
     bands, rows = bands_for(threshold, recall)
     sketched = saved(sketches(docs, id_col, text_col, bands, rows), "sketches")
     # Wordless rows leave first: their common key would gather them all.
@@ -238,14 +232,31 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = saved(_verified(docs, id_col, text_col, members, threshold), "links")
     classes = connected_components(links.select(F.col("key").alias("u"), F.col("low").alias("v")))
     classes = classes.select(F.col("node").alias("key"), "component")
-    named = sets.join(classes, "key").groupBy("component").agg(F.min("id").alias("class_id"))
+    named = sets.join(classes, "key").groupBy("component").agg(
+        F.min("id").alias("class_id"), F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key"))["key"].alias("keep_key"))
     counted = links.groupBy("key").agg(F.sum("links").alias("links"))
-    linked = saved(classes.join(named, "component").join(counted, "key").select("key", "class_id", "links"), "classes")
+    linked = saved(classes.join(named, "component").join(counted, "key").select("key", "class_id", "links", "keep_key"),
+                   "classes")
     # Only sets with copies or links need a lookup; the rest answer for themselves.
     known = (sets.join(linked, "key", "left").filter("copies > 1 or links is not null")
              .select("key", F.coalesce("class_id", "id").alias("class_id"),
-                     (F.coalesce("links", F.lit(0).cast("long")) + F.col("copies") - 1).alias("n_links")))
-    known = saved(known, "known")
+                     (F.coalesce("links", F.lit(0).cast("long")) + F.col("copies") - 1).alias("n_links"),
+                     F.coalesce("keep_key", "key").alias("keep_key")))
+    return sketched, saved(known, "known")
+
+
+def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+                    recall: float = RECALL) -> DataFrame:
+    """One row per row of ``docs``: id, ``class_id``, ``n_links``.
+
+    ``n_links`` counts the other rows whose shingle set has Jaccard similarity ``threshold`` or more with this row's
+    (copies with an equal set included); rows connected by links share a ``class_id``, the smallest id among them.
+    Null, empty and wordless texts have no shingles: each is its own class without links.  Repeated rows are copies of
+    each other; null ids never name a class unless all its rows have none.  No rows give no rows; other columns are not
+    read.  Ids are whole numbers.  A pair right at the threshold is missed with a chance of at most ``1 - recall``.
+    """
+    sketched, known = _classified(docs, id_col, text_col, threshold, recall)
+    worded, known = sketched.filter("n > 0"), known.drop("keep_key")
     found = worded.select("id", "key").join(small(known), "key", "left").select(
         F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
@@ -254,17 +265,49 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return found.unionByName(alone)
 
 
-def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def _with_keys(docs: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` with ``__key``, the key of each row's shingle set; all columns as they were."""
+
+    def run(batches):
+        shingler = Shingler()
+        for batch in batches:
+            at = batch.schema.get_field_index("__text")
+            keys = [set_key(shingler(t)) for t in values(batch.column(at))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary())], names=["row", "__key"])
+
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = text_batches(docs).select(row, F.col(f"`{text_col}`").cast("string").alias("__text"))
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"], T.StructField("__key", T.BinaryType())]))
+
+
+def one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+                  recall: float = RECALL) -> DataFrame:
     """``docs`` with the document of the smallest id of each class, all columns as they were.
 
-    Rows that repeat that id stay with it (exact dedup removes such rows); rows without an id stay.
+    A row goes by its id and its text: rows that repeat an id with another text are judged by that text.  Rows that repeat
+    id and shingle set of the one that stays, stay with it (exact dedup removes such rows).  A row without an id goes if a
+    row with an id has its shingle set; sets that only rows without an id have aren't compared with others.
     """
-    classes = similar_classes(docs, id_col, text_col, **options)
-    gone = classes.filter("n_links > 0")
-    drop = saved(gone.filter(~F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias("drop_id"))
-                 .distinct(), "dropped")
-    drop = small(drop)
-    return docs.join(drop, docs[id_col] == drop["drop_id"], "left_anti")
+    sketched, known = _classified(docs, id_col, text_col, threshold, recall)
+    stays = F.col("id").eqNullSafe(F.col("class_id")) & (F.col("key") == F.col("keep_key"))
+    gone = saved(sketched.filter("n > 0").select("id", "key").join(small(known), "key").filter(~stays)
+                 .select("id", "key").distinct(), "dropped")
+    # Ids that stand for several texts, and missing ones: their rows are told apart by the key, which is made again.
+    several = (sketched.select("id", "key").join(gone.select("id").distinct(), "id", "left_semi").groupBy("id")
+               .agg(F.min("key").alias("a"), F.max("key").alias("b")).filter("a <> b").select("id"))
+    several = saved(several, "several_texts")
+    plain = gone.filter("id is not null").join(small(several), "id", "left_anti").select(
+        F.col("id").alias("drop_id"), F.lit(False).alias("several"))
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    marks = saved(plain.distinct().unionByName(several.select(F.col("id").alias("drop_id"), F.lit(True).alias("several"))),
+                  "marks")
+    marked = marked.join(small(marks), F.col(f"row.`{id_col}`").cast("long") == F.col("drop_id"), "left")
+    unclear = F.col("several") | (F.col(f"row.`{id_col}`").isNull() & F.lit(gone.filter("id is null").count() > 0))
+    unclear = F.coalesce(unclear, F.lit(False))
+    clear = marked.filter(~unclear & F.col("several").isNull()).select("row.*")
+    rest = _with_keys(marked.filter(unclear).select("row.*"), text_col)
+    hit = F.col(f"row.`{id_col}`").cast("long").eqNullSafe(F.col("id")) & (F.col("__key") == F.col("key"))
+    return clear.unionByName(rest.join(small(gone), hit, "left_anti").select("row.*"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

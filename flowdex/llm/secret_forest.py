@@ -246,23 +246,31 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     found = saved(with_features(candidates(docs, id_col, text_col, path)), "candidates")
     if labelled is None:
         labelled = rule_labels(found).filter(training_fold(F.col("id")))
-        labelled = labelled.unionByName(examples(docs.sparkSession), allowMissingColumns=True)
+        known = examples(docs.sparkSession).withColumn("id", F.col("id").cast(found.schema["id"].dataType))
+        labelled = labelled.unionByName(known, allowMissingColumns=True)
     return judged(found, learn(labelled)).select(
         F.col("id").alias(id_col), "place", "run", "found", "probability", "is_secret")
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars",
              path: Column | None = None) -> DataFrame:
-    """``docs`` with every secret in the text replaced by ``MASK``; all rows and columns stay, ``chars_col`` follows."""
-    secrets = (findings(docs, id_col, text_col, path).filter("is_secret")
-               .groupBy(F.col(id_col).alias("secret_id"))
+    """``docs`` with every secret in the text replaced by ``MASK``; all rows and columns stay, ``chars_col`` follows.
+
+    Secrets are masked in the rows of their id; rows without an id are told apart by their text.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    known = lambda c: F.coalesce(F.col(f"{c}`{id_col}`").cast("string"),
+                                 F.concat(F.lit("text:"), F.sha2(text_or_empty(F.col(f"{c}`{text_col}`")), 256)))
+    path = F.lit("") if path is None else path
+    named = docs.select(known("").alias("id"), F.col(f"`{text_col}`").alias("text"), path.alias("path"))
+    secrets = (findings(named, "id", "text", F.col("path")).filter("is_secret")
+               .groupBy(F.col("id").alias("secret_id"))
                # Longest first: a secret may be a part of another one.
                .agg(F.sort_array(F.collect_set(F.struct(F.length("found").alias("n"), "found")), False).alias("s"))
                .select("secret_id", F.col("s.found").alias("secrets")))
-    secrets = saved(secrets.filter("secret_id is not null"), "secrets")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows = rows.join(small(secrets, 20_000), F.col(f"row.{id_col}") == F.col("secret_id"), "left")
-    clean = F.aggregate("secrets", F.col(f"row.{text_col}"), lambda text, x: F.replace(text, x, F.lit(MASK)))
+    secrets = saved(secrets, "secrets")
+    rows = rows.join(small(secrets, 20_000), known("row.") == F.col("secret_id"), "left")
+    clean = F.aggregate("secrets", F.col(f"row.`{text_col}`"), lambda text, x: F.replace(text, x, F.lit(MASK)))
     new = F.when(F.col("secrets").isNull(), F.col(f"row.{text_col}")).otherwise(clean)
     cols = [F.col(f"row.`{c}`") for c in docs.columns]
     for i, c in enumerate(docs.columns):

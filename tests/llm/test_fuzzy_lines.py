@@ -93,3 +93,13 @@ def test_near_lines_hot_buckets_and_edges(spark, monkeypatch, tile):
 
 def test_empty_table(spark):
     assert fl.decisions(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_other_texts_of_one_id_keep_their_lines(spark):
+    a, b = "the first line of these words", "quite another line that nobody repeats"
+    rows = [(1, a), (2, a), (2, b), (None, a + "\n" + b), (None, "a line of its own"), (3, None)]
+    docs = spark.createDataFrame([(i, t, "clash", 1) for i, t in rows], "doc_id long, text string, line string, new int")
+    out = fl.without_repeats(docs)
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(1, a), (2, ""), (2, b), (None, ""), (None, "a line of its own"), (3, None)], key=str)

@@ -2,6 +2,7 @@ import math
 import re
 from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
 from flowdex.llm import license_scan as ls
@@ -19,11 +20,10 @@ def brute(rows):
     token = lambda t: re.findall(ls.TOKEN, (t or "").lower())
     df = Counter(w for *_, t in rows for w in set(token(t)))
     n = len(rows)
-    idf = lambda w, known: math.log((n + 1) / ((df[w] if known else 0) + 1))
-    known = {w for _, t in ls.TEMPLATES for w in token(t)}
+    idf = lambda w: math.log((n + 1) / (df[w] + 1))
 
     def vector(words):
-        v = {w: c * idf(w, w in known) for w, c in Counter(words).items()}
+        v = {w: c * idf(w) for w, c in Counter(words).items()}
         size = math.sqrt(sum(x * x for x in v.values()))
         return {w: x / size for w, x in v.items()} if size else {}
 
@@ -103,3 +103,20 @@ def test_ordinary_words_weigh_little(spark):
         assert got[i].license == template.split()[3] and got[i].origin == "own"
         assert abs(got[i].score - sum(x * b.get(w, 0) for w, x in a.items())) < 2e-6 and got[i].score > 0.9
     assert all(got[i].origin == "none" for i in range(2, 400))
+    want = brute([(i, p, t) for i, p, t in rows])
+    assert [(r[0], r[1], r[2], r[4]) for r in sorted(got.values())] == [(w[0], w[1], w[2], w[4]) for w in want]
+    assert all(w[3] is None or abs(got[w[0]].score - w[3]) < 2e-6 for w in want)
+
+
+def test_oracle_follows_the_corpus(spark):
+    """A table on which the words of a statement are common: the SQL and the operator agree."""
+    said = ["Licensed under the MIT License that was", "it was licensed under the ISC License and that is it"]
+    rows = [(i, said[i] if i < 2 else f"it was said that this and the other is word{i}", "en", f"s{i % 7}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = ls.scan(docs, F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))).collect()
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = con.execute(ls.ORACLE).fetchall()
+    key = lambda r: (r[0], r[1], r[2], None if r[3] is None else round(r[3], 5), r[4])
+    assert sorted(map(key, map(tuple, got)), key=str) == sorted(map(key, want), key=str)
+    assert sum(r.origin == "own" for r in got) == 2

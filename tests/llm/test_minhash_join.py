@@ -66,3 +66,20 @@ def test_empty_table(spark):
 def test_bands_reach_the_recall(threshold):
     bands, rows = mj.bands_for(threshold, 0.99)
     assert 1 - (1 - threshold ** rows) ** bands >= 0.99
+
+
+def test_unrelated_texts_of_one_id_stay(spark):
+    words = [f"w{i}" for i in range(200)]
+    a, c = " ".join(words[:100]), " ".join(words[100:])
+    near = a + " tail"
+    rows = [(1, a), (2, near), (2, c), (3, c + " end"), (None, near), (None, "nothing like it at all here"), (4, "own words of a row"),
+            (5, None), (5, ""), (1, c + " of one")]
+    docs = spark.createDataFrame([(i, t, "clash", 1) for i, t in rows], "doc_id long, text string, row string, id int")
+    got = mj.one_per_class(docs)
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    # Classes: {1 a, 2 near, none near} and {1 c of one, 2 c, 3 c end}.
+    want = [(1, a), (1, c + " of one"), (None, rows[5][1]), (4, rows[6][1]), (5, None), (5, "")]
+    assert kept == sorted(want, key=str)
+    two = spark.createDataFrame([(1, a), (2, near), (2, c)], "doc_id long, text string")
+    assert sorted(tuple(r) for r in mj.one_per_class(two).collect()) == [(1, a), (2, c)]
