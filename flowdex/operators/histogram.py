@@ -18,6 +18,7 @@ Plan shape (aggregate -> window -> join):
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from flowdex.functions.documents import (HISTO_SUPP, HISTO_VALU, doc_to_json, field_value,
                                          histogram_tags, mapify, merge_docs)
+from flowdex.operators.topk import top_k_per_group
 from flowdex.session import ensure_map_policy
 
 
@@ -101,3 +103,54 @@ def render(enriched: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def top_k(support: DataFrame, k: int) -> DataFrame:
     """The ``k`` most frequent values (ties by value).  Extension: announced, never built, upstream."""
     return support.orderBy(F.col("n").desc(), F.col(HISTO_VALU).asc()).limit(k)
+
+
+def running_top_k(running: DataFrame, k: int, batch_col: str = "batch") -> DataFrame:
+    """``batch, rank, histo_valu, n``: the ``k`` most frequent values after every batch (ties by value).
+
+    ``running``: :func:`running_support`, a row for each batch in which a value occurs.  A value that a batch lacks keeps
+    its support and may keep its rank.  Only the ``k`` best values of each batch are candidates: support never falls, so a
+    value outside them is behind ``k`` others from then on.  A candidate is valid from its batch up to its next row; batches
+    are cut into about ``sqrt(batches)`` blocks, the best ``k`` of all earlier blocks open a block, and intervals are
+    followed within blocks alone: ``k * batches ** 1.5`` rows, however many values there are.
+    """
+    if k <= 0:
+        return running.limit(0).select(batch_col, F.lit(0).alias("rank"), HISTO_VALU, "n")
+    order = [F.col("n").desc(), F.col(HISTO_VALU).asc()]
+    # One row per batch is numbered.
+    batches = running.select(batch_col).distinct().withColumn(
+        "idx", F.row_number().over(Window.orderBy(batch_col)).cast("long") - 1)
+    total = batches.count()
+    if not total:
+        return running.limit(0).select(batch_col, F.lit(0).alias("rank"), HISTO_VALU, "n")
+    size = max(1, math.isqrt(total))
+    last = (total - 1) // size
+    best = top_k_per_group(running, [batch_col], order, k, salt_cols=[HISTO_VALU]).join(batches, batch_col)
+    best = best.select("idx", F.floor(F.col("idx") / size).alias("block"), HISTO_VALU, "n")
+
+    def leaders(rows: DataFrame) -> DataFrame:
+        rows = rows.groupBy("block", HISTO_VALU).agg(F.max("n").alias("n"))
+        return top_k_per_group(rows, ["block"], order, k, salt_cols=[HISTO_VALU])
+
+    later = leaders(best).where(F.col("block") < last).select(
+        F.explode(F.sequence(F.col("block") + 1, F.lit(last).cast("long"))).alias("block"), HISTO_VALU, "n")
+    opening = leaders(later).select((F.col("block") * size).alias("idx"), "block", HISTO_VALU, "n")
+    rows = best.unionByName(opening).groupBy("block", HISTO_VALU, "idx").agg(F.max("n").alias("n"))
+    end = F.least((F.col("block") + 1) * size, F.lit(total).cast("long"))
+    until = F.coalesce(F.lead("idx").over(Window.partitionBy("block", HISTO_VALU).orderBy("idx")), end)
+    valid = rows.withColumn("until", until).select(
+        HISTO_VALU, "n", F.explode(F.sequence(F.col("idx"), F.col("until") - 1)).alias("idx"))
+    ranked = top_k_per_group(valid, ["idx"], order, k, salt_cols=[HISTO_VALU], rank_col="rank")
+    return ranked.join(batches, "idx").select(batch_col, "rank", HISTO_VALU, "n")
+
+
+def top_k_step(previous: DataFrame | None, support: DataFrame, k: int) -> DataFrame:
+    """``rank, histo_valu, n`` after a batch, from those before it and the support of the batch's values.
+
+    At most ``k`` rows of ``previous`` and the ``k`` best of ``support`` are ranked.
+    """
+    rows = support.select(HISTO_VALU, "n").orderBy(F.col("n").desc(), F.col(HISTO_VALU).asc()).limit(k)
+    if previous is not None:
+        rows = rows.unionByName(previous.select(HISTO_VALU, "n")).groupBy(HISTO_VALU).agg(F.max("n").alias("n"))
+    ranked = rows.withColumn("rank", F.row_number().over(Window.orderBy(F.col("n").desc(), F.col(HISTO_VALU).asc())))
+    return ranked.where(F.col("rank") <= k).select("rank", HISTO_VALU, "n")

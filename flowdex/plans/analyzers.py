@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
-from flowdex.operators import sqlreport
+from flowdex.operators import histogram, sqlreport
 
 Analyzer = Callable[[DataFrame, int], DataFrame | None]  # None: nothing to emit
 
@@ -71,3 +71,29 @@ class HistogramAnalyzer:
 
     def release(self) -> None:
         self.state.release()
+
+
+class TopKAnalyzer:
+    """The ``k`` most frequent values of ``field`` after every micro-batch, over all batches so far.
+
+    Values that a batch lacks keep their place.  The last batch's ``k`` rows are kept beside the histogram's state, in two
+    slots that alternate, so the latest batch can be run again.
+    """
+
+    rereads_batch = False
+
+    def __init__(self, field: str, state_dir: str, k: int, compact_every: int | None = None, on_missing: str = "skip"):
+        from flowdex.streaming.histogram_state import DEFAULT_COMPACT_EVERY, HistogramState
+        self.field, self.k = field, k
+        self.state = HistogramState(state_dir, field, compact_every or DEFAULT_COMPACT_EVERY, on_missing)
+
+    def _slot(self, batch_id: int) -> str:
+        return f"{self.state.state_dir}/top/slot={batch_id % 2}"
+
+    def __call__(self, batch: DataFrame, batch_id: int = 0) -> DataFrame:
+        spark = batch.sparkSession
+        schema = "rank int, histo_valu string, n bigint"
+        previous = spark.read.schema(schema).parquet(self._slot(batch_id - 1)) if batch_id else None
+        support = self.state.advance(histogram.with_documents(batch, self.field, on_missing=self.state.on_missing), batch_id)
+        histogram.top_k_step(previous, support, self.k).write.mode("overwrite").parquet(self._slot(batch_id))
+        return sqlreport.render_rows(spark.read.schema(schema).parquet(self._slot(batch_id)))

@@ -217,6 +217,19 @@ def histogram_topk(spark, sf_dir):
     return histogram.top_k(support, 3)
 
 
+@register("histogram_topk_by_batch", L + """
+, b as (select distinct batch from L),
+c as (select batch, cast(user_id as varchar) v, count(*) n from L group by all),
+s as (select b.batch, v, sum(n)::bigint n from b join c on c.batch <= b.batch group by all)
+select batch, row_number() over (partition by batch order by n desc, v) as rank, v as histo_valu, n from s
+qualify rank <= 10""")
+def histogram_topk_by_batch(spark, sf_dir):
+    """T3 (extension): the 10 most frequent values after every batch, values absent from it included."""
+    docs = histogram.with_documents(_log(spark, sf_dir, host="user_id"), "host")
+    running = histogram.running_support(histogram.field_support_by_batch(docs))
+    return histogram.running_top_k(running, 10)
+
+
 # ------------------------------------------------------------------------ feeds
 
 @register("record_values", """

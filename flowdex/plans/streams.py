@@ -17,7 +17,7 @@ from flowdex.plans.analyzers import HistogramAnalyzer, SqlAnalyzer
 from flowdex.plans.catalog import L, RUNNING, MAIL_PARTS, mail_parts, register
 from flowdex.session import work_dir
 from flowdex.sinks.files import batch_sink, write_batch
-from flowdex.sinks.index import index_path, index_sink, write_index
+from flowdex.sinks.index import index_path, index_sink, read_index, write_index
 from flowdex.sources import feeds, mail, mailbox, tables
 from flowdex.streaming import replay
 from flowdex.streaming.quarantine import quarantine
@@ -39,8 +39,9 @@ def index_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 -> K2/K3: documents written to the index directory and read back."""
     target = index_path(work_dir(spark, "index"), "logs", "message")
     docs = prepare_documents(tables.log_messages(tables.table(spark, sf_dir, "events")), keep=["event_id"])
+    write_index(docs.limit(1), target, batch_id=0, id_col="event_id")  # an attempt that the next one replaces
     write_index(docs, target, batch_id=0, id_col="event_id")
-    return doc_fields(spark.read.parquet(target), ["host", "path", "lineno"], keep=["event_id"])
+    return doc_fields(read_index(spark, target), ["host", "path", "lineno"], keep=["event_id"])
 
 
 def _replayed_stream(spark, msgs: DataFrame, columns, fmt: str, source_of, analyzer, sink, base: str):
@@ -83,7 +84,7 @@ def feed_to_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     analyzer = HistogramAnalyzer("host", f"{base}/state")
     source = lambda d: feeds.read_text_feed(spark, d)
     _replayed_stream(spark, msgs, ["value"], "text", source, analyzer, index_sink(target), base)
-    docs = doc_fields(spark.read.parquet(target), ["event_id", HISTO_VALU, HISTO_SUPP])
+    docs = doc_fields(read_index(spark, target), ["event_id", HISTO_VALU, HISTO_SUPP])
     return docs.select(F.col("event_id").cast("bigint"), HISTO_VALU, F.col(HISTO_SUPP).cast("bigint"))
 
 
@@ -117,7 +118,7 @@ def feed_to_index_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = tables.log_messages(tables.table(spark, sf_dir, "events"), with_id_in_text=True)
     source = lambda d: feeds.read_text_feed(spark, d)
     _replayed_stream(spark, msgs, ["value"], "text", source, None, index_sink(target), base)
-    docs = doc_fields(spark.read.parquet(target), ["event_id", "host", "path", "lineno"], keep=["batch_id"])
+    docs = doc_fields(read_index(spark, target), ["event_id", "host", "path", "lineno"], keep=["batch_id"])
     return docs.select(F.col("batch_id").cast("bigint"), F.col("event_id").cast("bigint"), "host", "path", "lineno")
 
 
@@ -133,7 +134,7 @@ def report_to_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = tables.log_messages(tables.table(spark, sf_dir, "events"))
     source = lambda d: feeds.read_text_feed(spark, d)
     _replayed_stream(spark, msgs, ["value"], "text", source, SqlAnalyzer(), index_sink(target), base)
-    docs = doc_fields(spark.read.parquet(target), ["host", "count", "mean"], keep=["batch_id"])
+    docs = doc_fields(read_index(spark, target), ["host", "count", "mean"], keep=["batch_id"])
     return docs.select(F.col("batch_id").cast("bigint"), "host", "count", F.round(F.col("mean").cast("double"), 4).alias("mean"))
 
 

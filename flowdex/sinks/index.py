@@ -2,20 +2,21 @@
 
 Documents are ``map<string,string>`` rows.  With the index connector on the
 classpath they go to the cluster (``format="org.elasticsearch.spark.sql"``);
-otherwise to an index *directory* ``<root>/<index>/<mapping>`` partitioned by
-``batch_id``.  Rewriting a batch overwrites only its own partition, so a replayed
-micro-batch does not duplicate documents there.
+otherwise to an index *directory* ``<root>/<index>/<mapping>`` with a commit log
+(:mod:`flowdex.sinks.commit_log`): a replayed micro-batch replaces its own documents
+in one step, so it duplicates nothing and readers (:func:`read_index`) see the old
+batch or the new one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowdex.operators.documents import prepare_documents
-from flowdex.sinks.files import write_batch
+from flowdex.sinks.commit_log import read_committed, write_committed
 
 CONNECTOR_FORMAT = "org.elasticsearch.spark.sql"
 
@@ -67,8 +68,7 @@ def write_index(docs: DataFrame, target: str, batch_id: int = 0, doc_col: str =
     """Write one batch of documents, or of messages that are made into documents first.
 
     ``fmt`` = ``parquet``/``json``: ``target`` is the index directory; the
-    batch's folder ``batch_id=<id>`` is replaced.  Columns: the id column
-    (when given) and ``doc``.
+    batch is replaced in one step.  Columns: the id column (when given) and ``doc``.
     ``fmt`` = the connector format: ``target`` is unused, ``options`` (see
     :func:`index_options`) address the cluster.
     """
@@ -78,7 +78,12 @@ def write_index(docs: DataFrame, target: str, batch_id: int = 0, doc_col: str =
          .options(**(options or {})).mode("append").save())
         return
     cols = ([F.col(id_col)] if id_col else []) + [F.col(doc_col).alias("doc")]
-    write_batch(docs.select(*cols), target, batch_id, fmt)
+    write_committed(docs.select(*cols), target, batch_id, fmt)
+
+
+def read_index(spark: SparkSession, target: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
+    """The documents of an index directory with their ``batch_id``: of every batch the attempt that counts now."""
+    return read_committed(spark, target, fmt, schema)
 
 
 def index_sink(target: str, doc_col: str = "doc", id_col: str | None = None, fmt: str = "parquet",
