@@ -1,11 +1,12 @@
-"""A directory of micro-batches that readers see batch by batch: attempts and a manifest entry that names the valid one.
+"""A directory of micro-batches that readers see batch by batch: attempts and manifest entries that name the valid one.
 
-``<root>/batch_id=<id>/attempt=<name>/`` holds one attempt at a batch, ``<root>/_manifest/<id>.json`` the name of the one
-that counts.  A writer adds a new attempt, then replaces the entry by one rename: a reader that comes before it gets the old
-attempt whole, one that comes after it the new one, and none sees a batch half replaced or missing.  Attempts that don't
-count any more stay until :func:`vacuum`, so that readers that began earlier can finish.
+``<root>/batch_id=<id>/attempt=<name>/`` holds one attempt at a batch, ``<root>/_manifest/<id>-<version>.json`` the name of
+one that counted from then on.  A writer adds a new attempt, then an entry with the next version, which appears by one
+rename to a name that wasn't there; nothing is replaced.  A reader takes the last version of each batch: one that comes
+before the entry gets the old attempt whole, one that comes after it the new one, and none sees a batch half replaced or
+missing.  Older attempts and entries stay until :func:`vacuum`, so that readers that began earlier can finish.
 
-The rename is atomic on file systems such as HDFS; on an object store it is the put of one small object.
+One writer at a time writes a batch, as a streaming query does; a second one that commits the same version fails.
 """
 
 from __future__ import annotations
@@ -15,38 +16,41 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowdex.sinks.files import batch_path
 
 MANIFEST = "_manifest"
-ENTRY_SCHEMA = "batch_id bigint, attempt string"
+ENTRY_SCHEMA = "batch_id bigint, version bigint, attempt string"
 
 
-def _replace(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file under another name and rename it over ``path``."""
-    jvm = spark._jvm
-    hadoop = jvm.org.apache.hadoop.fs
-    target = hadoop.Path(path)
-    temporary = hadoop.Path(f"{path}.{uuid.uuid4().hex}.new")
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    context = hadoop.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+def _manifest(spark: SparkSession, root: str):
+    """(Hadoop's classes, the manifest's folder, its filesystem)"""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{root.rstrip('/')}/{MANIFEST}")
+    return hadoop, folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _publish(spark: SparkSession, root: str, batch_id: int, attempt: str) -> None:
+    hadoop, folder, files = _manifest(spark, root)
+    old = files.globStatus(hadoop.Path(folder, f"{batch_id}-*.json")) or []
+    version = 1 + max((int(f.getPath().getName()[:-len(".json")].partition("-")[2]) for f in old), default=0)
+    temporary, target = hadoop.Path(folder, f"{attempt}.new"), hadoop.Path(folder, f"{batch_id}-{version}.json")
     out = files.create(temporary, True)
     try:
-        out.write(bytearray(text.encode()))
+        # A row as Spark reads it; ids are numbers and names hexadecimal, so nothing needs escaping.
+        out.write(bytearray(f'{{"batch_id":{batch_id},"version":{version},"attempt":"{attempt}"}}\n'.encode()))
     finally:
         out.close()
-    rename = getattr(hadoop, "Options$Rename")
-    how = spark.sparkContext._gateway.new_array(rename, 1)
-    how[0] = rename.OVERWRITE
-    context.rename(files.makeQualified(temporary), files.makeQualified(target), how)
+    if files.exists(target) or not files.rename(temporary, target):
+        raise RuntimeError(f"batch {batch_id} of {root} was committed by another writer")
 
 
 def write_committed(df: DataFrame, root: str, batch_id: int, fmt: str = "parquet") -> str:
     """Write one attempt at a batch and make it the valid one; returns the attempt's name."""
-    spark, attempt = df.sparkSession, uuid.uuid4().hex
+    attempt = uuid.uuid4().hex
     df.write.format(fmt).save(f"{batch_path(root, batch_id)}/attempt={attempt}")
-    # The entry is a row as Spark reads it; ids are numbers and names hexadecimal, so nothing needs escaping.
-    _replace(spark, f"{root.rstrip('/')}/{MANIFEST}/{int(batch_id)}.json", f'{{"batch_id":{int(batch_id)},"attempt":"{attempt}"}}\n')
+    _publish(df.sparkSession, root, int(batch_id), attempt)
     return attempt
 
 
@@ -58,7 +62,8 @@ def committed(spark: SparkSession, root: str) -> list[tuple[int, str]]:
         if e.getCondition() == "PATH_NOT_FOUND":
             return []
         raise
-    return sorted((r["batch_id"], r["attempt"]) for r in entries.collect())
+    last = entries.groupBy("batch_id").agg(F.max_by("attempt", "version").alias("attempt"))
+    return sorted((r["batch_id"], r["attempt"]) for r in last.collect())
 
 
 def read_committed(spark: SparkSession, root: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
@@ -79,20 +84,22 @@ def read_committed(spark: SparkSession, root: str, fmt: str = "parquet", schema:
 
 
 def vacuum(spark: SparkSession, root: str, older_seconds: float = 24 * 3600) -> list[str]:
-    """Remove attempts that don't count and are older than ``older_seconds``; returns their paths."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    top = hadoop.Path(root)
-    files = top.getFileSystem(spark._jsc.hadoopConfiguration())
-    valid = dict(committed(spark, root))
-    gone, limit = [], (time.time() - older_seconds) * 1000
-    for batch in files.listStatus(top):
+    """Remove attempts that don't count and entries that are superseded, both older than ``older_seconds``; their paths."""
+    hadoop, folder, files = _manifest(spark, root)
+    valid, limit = dict(committed(spark, root)), (time.time() - older_seconds) * 1000
+    old = []
+    for batch in files.listStatus(folder.getParent()):
         name = batch.getPath().getName()
-        if not name.startswith("batch_id="):
-            continue
-        number = int(name.partition("=")[2])
-        for attempt in files.listStatus(batch.getPath()):
-            kept = attempt.getPath().getName() == f"attempt={valid.get(number)}"
-            if not kept and attempt.getModificationTime() <= limit:
-                files.delete(attempt.getPath(), True)
-                gone.append(attempt.getPath().toString())
-    return gone
+        if name.startswith("batch_id="):
+            kept = f"attempt={valid.get(int(name.partition('=')[2]))}"
+            old += [a for a in files.listStatus(batch.getPath()) if a.getPath().getName() != kept]
+    versions: dict[str, list] = {}
+    for entry in files.globStatus(hadoop.Path(folder, "*.json")) or []:
+        number, _, version = entry.getPath().getName()[:-len(".json")].partition("-")
+        versions.setdefault(number, []).append((int(version), entry))
+    for entries in versions.values():
+        old += [e for _, e in sorted(entries, key=lambda e: e[0])[:-1]]
+    gone = [f.getPath() for f in old if f.getModificationTime() <= limit]
+    for path in gone:
+        files.delete(path, True)
+    return [path.toString() for path in gone]

@@ -1,37 +1,28 @@
-"""Running histogram across micro-batches, kept as snapshot + delta tables.
-
-Batches are grouped in windows of ``K = compact_every``: window ``w`` holds
-batches ``wK .. wK+K-1``.  Layout under ``state_dir`` (shared checkpoint FS):
-
-* ``delta/slot=<w % 2>/b=<id>``  ``histo_valu, n``: counts of batch ``id`` only;
-* ``snapshot/slot=<w % 2>``      support over batches ``0 .. wK+K-1``, written by
-  the last batch of window ``w``;
-* ``meta/slot=<id % 2>``         one row: the field, ``K`` and the last batch, written
-  last by every batch.
-
-The layout follows from ``K`` and the batch ids, so a state is only continued
-with the field and ``K`` it was written with, by its last batch again or by the
-one after it.  Anything else (another setting, a new checkpoint on an old state,
-a missing or older state) is refused instead of counted wrongly.
-
-Batch ``b`` writes its delta (work proportional to the batch, not to the
-state), then reads the snapshot of the previous window plus the deltas of its
-own window up to ``b`` (at most ``K``), **semi-joined to the values present in
-the batch**, and sums them: that is the support of each of its values over
-batches ``<= b``.  Only the last batch of a window rewrites the whole state.
-
-Storage stays bounded without any delete call: two snapshot slots and two delta
-slots alternate, a snapshot overwrites the one from two windows back, and the
-first batch of a window overwrites its delta slot, whose deltas were folded into
-a snapshot a whole window earlier.  Every file a batch writes is a pure function
-of the batch and of files no later batch replaces before it commits, so the
-latest batch re-run after an executor or driver failure rewrites the same files.
+"""Running histogram across micro-batches, kept in levelled runs that are partitioned by a hash of the value.
+
+A *run* holds the counts of a range of batches.  Every batch writes a run of its own (level 0); where ``K = compact_every``
+runs of a level are complete, they become one run of the next level.  After ``n`` batches the runs are the digits of ``n``
+to base ``K``: at most ``K - 1`` of each of about ``log_K n`` levels, and each count is rewritten once a level.
+
+* ``level=<i>/slot=<j>/part=<p>``  ``histo_valu, n`` of run ``j`` (modulo ``2 K``) of level ``i``; ``p`` is a hash of the
+  value into ``parts``;
+* ``meta/slot=<id % 2>``  one row: the field, ``K``, the parts and the last batch, written last by every batch.
+
+A batch looks up its values in the partitions they hash to, of every run, and nowhere else: what it reads follows its own
+values, not all values ever seen.  Only the partition numbers of the batch come to the driver (at most ``parts``).
+
+The layout follows from ``K`` and the batch ids, so a state is only continued with the settings it was written with, by
+its last batch again or by the one after it.  Anything else (another setting, a new checkpoint on an old state, a missing
+or older state) is refused instead of counted wrongly.
+
+Storage stays bounded without any delete call: a slot is reused ``2 K`` runs later, when its run has long been merged.
+Every file a batch writes is a pure function of the batch and of files that it doesn't replace, so the latest batch re-run
+after an executor or driver failure rewrites the same files.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -40,53 +31,53 @@ from pyspark.sql import functions as F
 from flowdex.functions.documents import HISTO_SUPP, HISTO_VALU, doc_to_json, histogram_tags, merge_docs
 from flowdex.operators.histogram import field_support, with_documents
 
-STATE_SCHEMA = f"{HISTO_VALU} string, n bigint"
-META_SCHEMA = "field string, compact_every int, batch_id bigint"
+STATE_SCHEMA = f"{HISTO_VALU} string, n bigint, part int"
+META_SCHEMA = "field string, compact_every int, parts int, batch_id bigint"
 DEFAULT_COMPACT_EVERY = 10
+DEFAULT_PARTS = 64
 
 
 class HistogramState:
     def __init__(self, state_dir: str, field: str, compact_every: int = DEFAULT_COMPACT_EVERY,
-                 on_missing: str = "skip"):
-        if compact_every < 1:
-            raise ValueError("compact_every must be >= 1")
+                 on_missing: str = "skip", parts: int = DEFAULT_PARTS):
+        """``parts``: so many that a part of all values ever seen fits a task; fixed for the life of a state."""
+        if compact_every < 1 or parts < 1:
+            raise ValueError("compact_every and parts must be >= 1")
         self.state_dir = state_dir.rstrip("/")
         self.field = field
         self.compact_every = compact_every
+        self.parts = parts
         self.on_missing = on_missing
         self._held: DataFrame | None = None
 
     # ------------------------------------------------------------ layout
-    def window(self, batch_id: int) -> int:
-        return batch_id // self.compact_every
-
-    def delta_slot(self, window: int) -> str:
-        return f"{self.state_dir}/delta/slot={window % 2}"
-
-    def delta_path(self, batch_id: int) -> str:
-        return f"{self.delta_slot(self.window(batch_id))}/b={int(batch_id)}"
-
-    def snapshot_path(self, window: int) -> str:
-        """Support over every batch up to the end of ``window``."""
-        return f"{self.state_dir}/snapshot/slot={window % 2}"
-
-    def is_snapshot_batch(self, batch_id: int) -> bool:
-        return (batch_id + 1) % self.compact_every == 0
-
-    def is_window_start(self, batch_id: int) -> bool:
-        return batch_id % self.compact_every == 0
+    @property
+    def _base(self) -> int:
+        return max(2, self.compact_every)  # with one run a level, two are the least that can be merged
+
+    def run_path(self, level: int, start: int) -> str:
+        """The run of ``level`` that begins with batch ``start``."""
+        return f"{self.state_dir}/level={level}/slot={start // self._base ** level % (2 * self._base)}"
+
+    def runs(self, batches: int) -> list[tuple[int, int]]:
+        """(level, first batch) of the runs that hold the first so many batches, largest first."""
+        level, out, start = 0, [], 0
+        while self._base ** (level + 1) <= batches:
+            level += 1
+        for i in range(level, -1, -1):
+            while start + self._base ** i <= batches:
+                out.append((i, start))
+                start += self._base ** i
+        return out
 
     # ------------------------------------------------------------ reading
-    def _read(self, spark: SparkSession, path: str) -> DataFrame:
-        return spark.read.schema(STATE_SCHEMA).parquet(path)
+    def _read(self, spark: SparkSession, runs: list[tuple[int, int]]) -> DataFrame:
+        reader = spark.read.schema(STATE_SCHEMA).option("basePath", self.state_dir)
+        return reader.parquet(*[self.run_path(*r) for r in runs]).select(HISTO_VALU, "n", "part")
 
-    def _parts(self, spark: SparkSession, batch_id: int) -> list[DataFrame]:
-        """Previous window's snapshot and this window's deltas up to ``batch_id`` (one scan)."""
-        w = self.window(batch_id)
-        parts = [self._read(spark, self.snapshot_path(w - 1))] if w > 0 else []
-        deltas = [self.delta_path(b) for b in range(w * self.compact_every, batch_id + 1)]
-        parts.append(spark.read.schema(STATE_SCHEMA).parquet(*deltas))
-        return parts
+    def lookup(self, spark: SparkSession, batch_id: int, parts: Sequence[int]) -> DataFrame:
+        """All counts up to ``batch_id`` in the given parts (a filter on the partition column)."""
+        return self._read(spark, self.runs(batch_id + 1)).where(F.col("part").isin(list(parts) or [-1]))
 
     def _meta(self, spark: SparkSession):
         """The metadata row of the last batch, or None where no state was ever written."""
@@ -96,7 +87,7 @@ class HistogramState:
             if e.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        return rows.orderBy(F.desc("batch_id")).select("field", "compact_every", "batch_id").first()
+        return rows.orderBy(F.desc("batch_id")).select("field", "compact_every", "parts", "batch_id").first()
 
     def _check(self, spark: SparkSession, batch_id: int) -> None:
         meta = self._meta(spark)
@@ -104,9 +95,10 @@ class HistogramState:
             if batch_id:
                 raise ValueError(f"no histogram state in {self.state_dir}, but batch {batch_id} needs the ones before it")
             return
-        if (meta["field"], meta["compact_every"]) != (self.field, self.compact_every):
+        if (meta["field"], meta["compact_every"], meta["parts"]) != (self.field, self.compact_every, self.parts):
             raise ValueError(f"the state in {self.state_dir} is of field {meta['field']!r} with compact_every="
-                             f"{meta['compact_every']}, not {self.field!r} with {self.compact_every}")
+                             f"{meta['compact_every']} and parts={meta['parts']}, not {self.field!r} with "
+                             f"{self.compact_every} and {self.parts}")
         if batch_id not in (meta["batch_id"], meta["batch_id"] + 1):
             raise ValueError(f"the state in {self.state_dir} ends with batch {meta['batch_id']}; batch {batch_id} doesn't "
                              "follow it (a new checkpoint on an old state, or a lost one)")
@@ -116,7 +108,7 @@ class HistogramState:
         meta = self._meta(spark) if batch_id >= 0 else None
         if meta is None or meta["batch_id"] < batch_id:
             return None  # only the latest batches are readable: older slots get reused
-        return _sum_parts(self._parts(spark, batch_id))
+        return _summed(self._read(spark, self.runs(batch_id + 1)))
 
     # ------------------------------------------------------------ writing
     def advance(self, docs: DataFrame, batch_id: int) -> DataFrame:
@@ -127,24 +119,31 @@ class HistogramState:
         # A row made by the JVM: createDataFrame would start a Python worker for it.
         (spark.range(1, numPartitions=1).select(
             F.lit(self.field).alias("field"), F.lit(self.compact_every).cast("int").alias("compact_every"),
+            F.lit(self.parts).cast("int").alias("parts"),
             F.lit(batch_id).cast("bigint").alias("batch_id"))
          .write.mode("overwrite").parquet(f"{self.state_dir}/meta/slot={batch_id % 2}"))
         return out
 
+    def _write(self, counts: DataFrame, run: tuple[int, int]) -> None:
+        (counts.select(HISTO_VALU, "n", "part").sortWithinPartitions("part", HISTO_VALU)
+         .write.mode("overwrite").partitionBy("part").parquet(self.run_path(*run)))
+
     def _advance(self, spark: SparkSession, docs: DataFrame, batch_id: int) -> DataFrame:
-        if self.is_window_start(batch_id):
-            # Empty the slot: the deltas it holds (two windows back) are in a snapshot.
-            (spark.range(0, numPartitions=1).select(F.lit("").alias(HISTO_VALU), F.col("id").alias("n"))
-             .write.mode("overwrite").parquet(self.delta_slot(self.window(batch_id))))
-        field_support(docs).write.mode("overwrite").parquet(self.delta_path(batch_id))
-        parts = self._parts(spark, batch_id)
-        if self.is_snapshot_batch(batch_id):
-            target = self.snapshot_path(self.window(batch_id))
-            _sum_parts(parts).sortWithinPartitions(HISTO_VALU).write.mode("overwrite").parquet(target)
-            return self._read(spark, target)
-        present = self._read(spark, self.delta_path(batch_id)).select(HISTO_VALU)
-        union = reduce(lambda a, b: a.unionByName(b), parts)
-        return _sum_parts([union.join(present, HISTO_VALU, "left_semi")])
+        part = F.pmod(F.xxhash64(HISTO_VALU), F.lit(self.parts)).cast("int")
+        own = (0, batch_id)
+        self._write(field_support(docs).withColumn("part", part), own)
+        batches, level = batch_id + 1, 0
+        while batches % self._base ** (level + 1) == 0:
+            level += 1
+        if level:
+            # The runs of the lower levels since the last run of this level, and the batch's own, become one.
+            first = batches - self._base ** level
+            runs = [r for r in self.runs(batch_id) if r[1] >= first] + [own]
+            merged = self._read(spark, runs).repartition("part").groupBy("part", HISTO_VALU).agg(F.sum("n").alias("n"))
+            self._write(merged, (level, first))
+        present = self._read(spark, [own])
+        parts = [r["part"] for r in present.select("part").distinct().collect()]
+        return _summed(self.lookup(spark, batch_id, parts).join(present.select(HISTO_VALU), HISTO_VALU, "left_semi"))
 
     def enrich_batch(self, batch: DataFrame, batch_id: int, value_col: str = "value",
                      keep: Sequence[str] = ()) -> DataFrame:
@@ -168,6 +167,5 @@ class HistogramState:
             self._held = None
 
 
-def _sum_parts(parts: list[DataFrame]) -> DataFrame:
-    union = reduce(lambda a, b: a.unionByName(b), parts)
-    return union.groupBy(HISTO_VALU).agg(F.sum("n").alias("n"))
+def _summed(counts: DataFrame) -> DataFrame:
+    return counts.groupBy(HISTO_VALU).agg(F.sum("n").alias("n"))

@@ -38,7 +38,7 @@ def test_fold_property_random_batches(spark, compact_every):
 
 
 def test_state_storage_is_bounded(spark):
-    """Slots are reused: after many batches only two snapshots and two delta windows exist."""
+    """Slots are reused: however many batches, a level has at most twice as many runs as are merged at a time."""
     import glob
     import os
     base = work_dir(spark, "bounded")
@@ -48,9 +48,44 @@ def test_state_storage_is_bounded(spark):
         out = {r["id"]: r[HISTO_SUPP] for r in state.enrich_batch(msgs, b, keep=["id"]).collect()}
         assert out == {1: b + 1, 2: b + 1}
     local = base.replace("file:", "")
-    assert sorted(os.path.basename(p) for p in glob.glob(f"{local}/snapshot/*")) == ["slot=0", "slot=1"]
-    deltas = sorted(os.path.basename(p) for p in glob.glob(f"{local}/delta/slot=*/b=*"))
-    assert deltas == ["b=6", "b=7", "b=8"]
+    slots = {p: len(glob.glob(f"{p}/slot=*")) for p in glob.glob(f"{local}/level=*")}
+    assert {os.path.basename(p): n for p, n in slots.items()} == {"level=0": 4, "level=1": 2, "level=2": 1, "level=3": 1}
+
+
+def test_runs_are_the_digits_of_the_batch_count():
+    state = HistogramState("/nowhere", "v", compact_every=3)
+    for n in range(200):
+        runs = state.runs(n)
+        covered = [b for level, start in runs for b in range(start, start + 3 ** level)]
+        assert covered == list(range(n)) and len(runs) <= 2 * 5
+        assert len({state.run_path(*r) for r in runs}) == len(runs)
+    # Merging costs each batch's counts one rewrite a level.
+    written = sum(3 ** max(i for i in range(9) if n % 3 ** i == 0) for n in range(1, 244) if n % 3 == 0)
+    assert written <= 243 * 5
+
+
+def test_a_batch_reads_only_the_parts_of_its_values(spark):
+    """Files of other parts are made unreadable: a batch without their values doesn't notice."""
+    import glob
+    base = work_dir(spark, "pruned")
+    state = HistogramState(base, "v", compact_every=3, parts=50)
+    many = spark.range(400).select((F.col("id") % 200).cast("string").alias("v")).select(F.to_json(F.struct("v")).alias("value"))
+    for b in range(4):
+        state.enrich_batch(many, b).count()
+    few = spark.createDataFrame([(f'{{"v":"{v}"}}',) for v in (3, 3, 77, 150)], "value string")
+    wanted = {r[0] for r in spark.createDataFrame([("3",), ("77",), ("150",)], "v string").select(
+        F.pmod(F.xxhash64("v"), F.lit(50))).collect()}
+    spoilt = 0
+    for path in glob.glob(f"{base.replace('file:', '')}/level=*/slot=*/part=*/*.parquet"):
+        if int(path.split("part=")[1].split("/")[0]) not in wanted:
+            with open(path, "wb") as f:
+                f.write(b"no parquet")
+            spoilt += 1
+    assert spoilt > 60
+    got = {r[HISTO_VALU]: r[HISTO_SUPP] for r in state.enrich_batch(few, 4).collect()}
+    assert got == {"3": 10, "77": 9, "150": 9}
+    plan = state.lookup(spark, 4, sorted(wanted))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "part#" in plan[plan.index("PartitionFilters: ["):]
 
 
 def test_replayed_batch_is_idempotent(spark):
