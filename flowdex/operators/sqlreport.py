@@ -13,8 +13,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from flowdex.operators.topk import top_k_per_group
+from flowdex.session import ensure_duplicate_keys
 
 # The reference's view name, the log record it implies, and its
 # report statement.  The statement is the reference's, except that ``host`` is
@@ -31,7 +33,7 @@ DEFAULT_STATEMENT = (
 )
 
 
-def parse_records(messages: DataFrame, schema: str | None = LOG_SCHEMA,
+def parse_records(messages: DataFrame, schema: str | StructType | None = LOG_SCHEMA,
                   value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame | None:
     """JSON text -> typed columns.  ``schema=None`` infers it from the messages.
 
@@ -44,7 +46,7 @@ def parse_records(messages: DataFrame, schema: str | None = LOG_SCHEMA,
     return parse_once(messages, value_col, schema, keep).select(*keep, "__r.*")
 
 
-def parse_once(messages: DataFrame, value_col: str, schema: str, keep: Sequence[str] = (),
+def parse_once(messages: DataFrame, value_col: str, schema: str | StructType, keep: Sequence[str] = (),
                alias: str = "__r") -> DataFrame:
     """``from_json`` evaluated exactly once per message, as struct column ``alias``.
 
@@ -61,8 +63,11 @@ def infer_json_schema(messages: DataFrame, value_col: str = "value") -> str | No
     """Schema of the JSON objects in ``value_col``, merged over all rows (one aggregate job).
 
     Non-objects are ignored; mixed numeric types widen as Spark's variant
-    schema merge does.  Returns a DDL string usable by ``from_json``.
+    schema merge does.  Of a member that an object repeats the last one counts,
+    as in the parse (``spark.sql.variant.allowDuplicateKeys``, set by
+    :func:`flowdex.session.configure`).  Returns a DDL string usable by ``from_json``.
     """
+    ensure_duplicate_keys(messages.sparkSession)
     v = F.try_parse_json(value_col)
     objects = messages.select(v.alias("__v")).where(
         F.schema_of_variant("__v").startswith("OBJECT<"))
@@ -73,12 +78,12 @@ def infer_json_schema(messages: DataFrame, value_col: str = "value") -> str | No
 
 
 def variant_schema_to_ddl(schema: str) -> str:
-    """``OBJECT<a: BIGINT, b: OBJECT<c: STRING>>`` -> a struct DDL string."""
-    return re.sub(r"\bOBJECT<", "STRUCT<", schema)
+    """``OBJECT<a: BIGINT, b: OBJECT<c: STRING>>`` -> a struct DDL string; quoted names stay as they are."""
+    return re.sub(r"(`(?:[^`]|``)*`)|\bOBJECT<", lambda m: m[1] or "STRUCT<", schema)
 
 
 def sql_analyzer(messages: DataFrame, statement: str = DEFAULT_STATEMENT,
-                 view: str = DEFAULT_VIEW, schema: str | None = LOG_SCHEMA,
+                 view: str = DEFAULT_VIEW, schema: str | StructType | None = LOG_SCHEMA,
                  value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame | None:
     """Run ``statement`` over the parsed messages exposed as ``view``.
 

@@ -27,23 +27,34 @@ class SqlAnalyzer:
     The default report has its own key names (``mean_decimals`` and
     ``legacy_keys`` apply to it alone); rows of any other statement are rendered
     with the statement's column names.
+
+    ``schema_dir`` keeps an inferred schema across batches: a member keeps its
+    column in batches that lack it, and a type only widens.  ``schema`` then
+    names members that exist from the start (None: none).
     """
 
     rereads_batch = False  # with a declared schema the batch is read once
 
     def __init__(self, statement: str = sqlreport.DEFAULT_STATEMENT, view: str = sqlreport.DEFAULT_VIEW,
                  schema: str | None = sqlreport.LOG_SCHEMA, render: bool = True,
-                 mean_decimals: int | None = None, legacy_keys: bool = False):
+                 mean_decimals: int | None = None, legacy_keys: bool = False, schema_dir: str | None = None):
+        from flowdex.streaming.schema_state import SchemaState
         self.statement = statement
         self.view = view
         self.schema = schema
         self.render = render
         self.mean_decimals = mean_decimals
         self.legacy_keys = legacy_keys
-        self.rereads_batch = schema is None  # inference is a pass of its own
+        self.state = SchemaState(schema_dir, schema) if schema_dir else None
+        self.rereads_batch = schema is None or bool(schema_dir)  # inference is a pass of its own
 
     def __call__(self, batch: DataFrame, batch_id: int = 0) -> DataFrame | None:
-        report = sqlreport.sql_analyzer(batch, self.statement, self.view, self.schema)
+        schema = self.schema
+        if self.state is not None:
+            schema = self.state.advance(batch)
+            if schema is None:  # no member is known yet
+                return None
+        report = sqlreport.sql_analyzer(batch, self.statement, self.view, schema)
         if report is None:  # no JSON object to infer a schema from: no output for this batch
             return None
         if not self.render:

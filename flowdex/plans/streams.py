@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowdex.functions.documents import HISTO_SUPP, HISTO_VALU
+from flowdex.operators import sqlreport
 from flowdex.operators.documents import doc_fields, prepare_documents
 from flowdex.plans.analyzers import HistogramAnalyzer, SqlAnalyzer
 from flowdex.plans.catalog import L, RUNNING, MAIL_PARTS, mail_parts, register
@@ -21,6 +22,7 @@ from flowdex.sinks.index import index_path, index_sink, read_index, write_index
 from flowdex.sources import feeds, mail, mailbox, tables
 from flowdex.streaming import replay
 from flowdex.streaming.quarantine import quarantine
+from flowdex.streaming.schema_state import SchemaState, column_profile
 from flowdex.streaming.runner import run_micro_batch, start_indexing, trigger_of
 
 SHARDS = 4
@@ -138,6 +140,36 @@ def report_to_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.col("batch_id").cast("bigint"), "host", "count", F.round(F.col("mean").cast("double"), 4).alias("mean"))
 
 
+@register("schema_by_batch", """
+with e as (select *, date_diff('day', min(cast(ts as date)) over (), cast(ts as date)) as d from events
+           where event_type is not null and (props->>'$.k') is not null),
+b as (select d, dense_rank() over (order by d) - 1 as batch_id, count(*) n, count(*) filter (event_id % 10 = 0) tenth
+      from e group by d),
+r as (select *, max(case when d >= 10 and d % 2 = 0 then case when d >= 18 and d % 6 = 0 then 3 when d >= 14 then 2 else 1 end
+                    else 0 end) over upto as score,
+             max(case when d >= 24 and d % 6 = 0 then 1 else 0 end) over upto as text,
+             max(case when d >= 20 and tenth > 0 then 1 else 0 end) over upto as zone
+      from b window upto as (order by d rows unbounded preceding))
+select batch_id, 'host' as "column", 'string' as kind, n from r
+union all select batch_id, 'lineno', case text when 1 then 'string' else 'long' end, n from r
+union all select batch_id, 'score', case score when 1 then 'long' when 2 then 'decimal' else 'double' end,
+                 case when d % 2 = 0 then n else 0 end from r where score > 0
+union all select batch_id, 'zone', 'struct', case when d >= 20 then tenth else 0 end from r where zone > 0""")
+def schema_by_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5 across batches: every column known after each batch (one per day), its type so far and the records that have it."""
+    base = work_dir(spark, "schema_by_batch")
+    msgs = tables.drifting_messages(tables.table(spark, sf_dir, "events"))
+    state = SchemaState(f"{base}/schema")
+
+    def profile(batch: DataFrame, batch_id: int) -> DataFrame | None:
+        schema = state.advance(batch)
+        return schema and column_profile(sqlreport.parse_records(batch, schema), schema)
+
+    source = lambda d: feeds.read_text_feed(spark, d)
+    _replayed_stream(spark, msgs, ["value"], "text", source, profile, batch_sink(f"{base}/out"), base)
+    return spark.read.parquet(f"{base}/out").select(F.col("batch_id").cast("bigint"), "column", "kind", "n")
+
+
 @register("mail_stream", MAIL_PARTS)
 def mail_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S15 + S18: a mail drop folder streamed, parsed, written out."""

@@ -16,10 +16,12 @@ from pyspark.sql import SparkSession
 
 # Runtime SQL settings every operator expects.  LAST_WIN makes ``map_concat``
 # behave like ``m ++ Map(...)`` (right side wins) and lets duplicate JSON keys
-# collapse to the last value instead of raising DUPLICATED_MAP_KEY.
+# collapse to the last value instead of raising DUPLICATED_MAP_KEY; the variant
+# setting does the same for objects that schema inference reads.
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -68,6 +70,12 @@ def ensure_map_policy(spark: SparkSession) -> None:
         raise RuntimeError("spark.sql.mapKeyDedupPolicy must be LAST_WIN: call flowdex.session.configure(spark)")
 
 
+def ensure_duplicate_keys(spark: SparkSession) -> None:
+    """Fail early where schema inference would leave out objects that repeat a key."""
+    if spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":
+        raise RuntimeError("spark.sql.variant.allowDuplicateKeys must be true: call flowdex.session.configure(spark)")
+
+
 _LOCAL_ROOT: str | None = None
 
 

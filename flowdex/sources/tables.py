@@ -63,6 +63,36 @@ def log_messages(events: DataFrame, host: str = "event_type", with_id_in_text: b
     )
 
 
+# The days (from the table's first one) on which the drifting log changes.
+DRIFT = {"score": 10, "decimal": 14, "double": 18, "zone": 20, "text": 24}
+
+
+def drifting_messages(events: DataFrame) -> DataFrame:
+    """events -> ``(batch, value)``: a log whose objects change over the days.
+
+    ``score`` comes on day 10 as a whole number, and only on even days; it has a decimal point from day 14 on and an exponent
+    on every sixth day from day 18 on.  ``zone`` comes on day 20, in every tenth object, which also repeats its ``host``.
+    ``lineno`` is quoted on every sixth day from day 24 on.
+    """
+    first = events.agg(F.min(F.to_date("ts"))).first()[0]  # one value
+    if first is None:
+        return events.select(F.to_date("ts").alias("batch"), F.lit(None).cast("string").alias("value"))
+    day = F.datediff(F.to_date("ts"), F.lit(first))
+    k = F.get_json_object("props", "$.k")
+    quoted = (day >= DRIFT["text"]) & (day % 6 == 0)
+    score = (F.when((day < DRIFT["score"]) | (day % 2 == 1), "")
+             .when((day >= DRIFT["double"]) & (day % 6 == 0), F.concat(F.lit(',"score":'), k, F.lit(".5e0")))
+             .when(day >= DRIFT["decimal"], F.concat(F.lit(',"score":'), k, F.lit(".5")))
+             .otherwise(F.concat(F.lit(',"score":'), k)))
+    zoned = (day >= DRIFT["zone"]) & (F.col("event_id") % 10 == 0)
+    zone = F.when(zoned, F.concat(F.lit(',"zone":{"id":'), (F.col("event_id") % 3).cast("string"),
+                                  F.lit('},"host":"again"'))).otherwise("")
+    return events.select(
+        F.to_date("ts").alias("batch"),
+        F.concat(F.lit('{"host":"'), F.col("event_type"), F.lit('","lineno":'),
+                 F.when(quoted, F.concat(F.lit('"'), k, F.lit('"'))).otherwise(k), score, zone, F.lit("}")).alias("value"))
+
+
 def keyed_records(documents: DataFrame) -> DataFrame:
     """documents -> broker-style records: ``topic`` = source, key/value as bytes."""
     return documents.select(
