@@ -19,7 +19,7 @@ from flowdex.plans.catalog import L, RUNNING, MAIL_PARTS, mail_parts, register
 from flowdex.session import work_dir
 from flowdex.sinks.files import batch_sink, write_batch
 from flowdex.sinks.index import index_path, index_sink, read_index, write_index
-from flowdex.sources import feeds, mail, mailbox, tables
+from flowdex.sources import feeds, mail, mailbox, shards, tables
 from flowdex.streaming import replay
 from flowdex.streaming.quarantine import quarantine
 from flowdex.streaming.schema_state import SchemaState, column_profile
@@ -35,6 +35,63 @@ def shard_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.union_shards(tables.shard_sources(spark, sf_dir, "events", ["event_id", "event_type"], SHARDS))
 
 
+SHARD_PARENTS = {"a": [], "b": [], "a0": ["a"], "a2": ["a"], "m": ["a2", "b"]}
+
+
+@register("shard_lineage", """
+with e as (select event_id, event_type, date_diff('day', min(cast(ts as date)) over (), cast(ts as date)) as d from events),
+s as (select *, case when d < 10 then case when event_id % 2 = 0 then 'a' else 'b' end
+                     when event_id % 4 = 0 then 'a0' when d < 20 then case when event_id % 4 = 2 then 'a2' else 'b' end
+                     else 'm' end as shard from e)
+select event_id, event_type, shard, case shard when 'a' then 0 when 'b' then 0 when 'm' then 2 else 1 end as generation,
+       false as early from s""")
+def shard_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards split and merge under one stream, restarts between; ``early``: in a batch before one of a parent's last."""
+    base = work_dir(spark, "shard_lineage")
+    root, out = f"{base}/shards", f"{base}/out"
+    phased = f"{base}/phased"
+    tables.resharded(tables.table(spark, sf_dir, "events")).write.partitionBy("phase", "shard").parquet(phased)
+    records = spark.read.schema("event_id long, event_type string, phase int, shard string").parquet(phased)
+    sink = batch_sink(out)
+
+    def run():
+        query = start_indexing(shards.read_shards(spark, root, "event_id long, event_type string"), None, sink,
+                               f"{base}/checkpoint", trigger=trigger_of(0))
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    def arrive(phase: int, *names: str):
+        for name in names:
+            rows = records.where((F.col("phase") == phase) & (F.col("shard") == name))
+            shards.append_segment(rows.select("event_id", "event_type"), root, name)
+
+    def add(*names: str):
+        for name in names:
+            shards.add_shard(spark, root, name, SHARD_PARENTS[name])
+
+    add("a", "b")
+    arrive(0, "a", "b")
+    run()
+    add("a0", "a2", "m")  # parents are open: nothing of these may come yet
+    arrive(1, "a0", "a2", "b")
+    arrive(2, "m")
+    run()
+    shards.close_shard(spark, root, "a")
+    shards.close_shard(spark, root, "b")
+    run()
+    shards.close_shard(spark, root, "a2")
+    arrive(2, "a0")
+    run()
+    got = spark.read.parquet(out).select("event_id", "event_type", "shard", "generation", F.col("batch_id").cast("bigint").alias("b"))
+    lineage = spark.createDataFrame([(s, p) for s, ps in SHARD_PARENTS.items() for p in ps], "shard string, parent string")
+    last = got.groupBy(F.col("shard").alias("parent")).agg(F.max("b").alias("last")).join(lineage, "parent")
+    last = last.groupBy("shard").agg(F.max("last").alias("last"))
+    return got.join(last, "shard", "left").select("event_id", "event_type", "shard", "generation",
+                                                  F.coalesce(F.col("b") < F.col("last"), F.lit(False)).alias("early"))
+
+
 @register("index_write", L + """
 select event_id, host, path, cast(lineno as varchar) lineno from L""")
 def index_write(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +108,7 @@ def _replayed_stream(spark, msgs: DataFrame, columns, fmt: str, source_of, analy
     feed_dir, ckpt = f"{base}/feed", f"{base}/checkpoint"
 
     def start():
-        return start_indexing(source_of(feed_dir), analyzer, sink, ckpt, trigger=trigger_of(0))
+        return start_indexing(source_of(replay.arrivals(feed_dir)), analyzer, sink, ckpt, trigger=trigger_of(0))
 
     replay.replay(staged, "batch", days, feed_dir, columns, fmt, start)
 

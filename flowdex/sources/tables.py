@@ -93,6 +93,19 @@ def drifting_messages(events: DataFrame) -> DataFrame:
                  F.when(quoted, F.concat(F.lit('"'), k, F.lit('"'))).otherwise(k), score, zone, F.lit("}")).alias("value"))
 
 
+def resharded(events: DataFrame) -> DataFrame:
+    """events -> ``(event_id, event_type, phase, shard)``: shards by id and phase (ten days each, the last one the rest).
+
+    Shard ``a`` (even ids) becomes ``a0`` and ``a2`` after the first phase; ``a2`` and ``b`` (odd ids) become ``m`` after the second.
+    """
+    first = events.agg(F.min(F.to_date("ts"))).first()[0]  # one value
+    day, four = F.datediff(F.to_date("ts"), F.lit(first).cast("date")), F.col("event_id") % 4
+    phase = F.when(day < 10, 0).when(day < 20, 1).otherwise(2)
+    shard = (F.when(phase == 0, F.when(four % 2 == 0, "a").otherwise("b")).when(four == 0, "a0")
+             .when(phase == 2, "m").otherwise(F.when(four == 2, "a2").otherwise("b")))
+    return events.select("event_id", "event_type", phase.alias("phase"), shard.alias("shard"))
+
+
 def keyed_records(documents: DataFrame) -> DataFrame:
     """documents -> broker-style records: ``topic`` = source, key/value as bytes."""
     return documents.select(
