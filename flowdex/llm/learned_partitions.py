@@ -4,8 +4,11 @@
    id) is joined into a neighbour graph, and the graph is cut into balanced parts: halving along principal directions
    gives a start, moves that keep the parts within their capacity then keep more neighbours together.
 2. A small classifier (multinomial logistic regression) learns the parts of a vector's neighbours.  It puts *every* row
-   into its most probable part, and names the ``probes`` most probable parts of a query; ``probes`` is the least number
-   that finds ``RECALL`` of the neighbours within the sample.
+   into its most probable part.  A query goes to its most probable parts until their probabilities reach ``mass``, the
+   least one that finds ``RECALL`` of the neighbours of sampled vectors that the classifier didn't learn from: a query it
+   is sure of is asked in few parts, another one in many.  Parts with too few rows for an answer are filled up with the
+   next ones.  Tables of any size are searched so; a sample of four vectors a part or less can't be learned from and is one
+   part.
 3. Rows and routed queries meet in tiles of at most about ``TILE_ROWS`` x ``TILE_QUERIES``: a part of any size is as many
    blocks as it needs, so nearly equal vectors don't gather in one task.  Each tile reranks by exact inner products.
 """
@@ -22,7 +25,6 @@ from pyspark.sql import functions as F
 
 from flowdex.llm.common import saved, table
 
-SMALL_TABLE = 3000        # fewer rows are one part, searched whole
 MAX_PARTS = 1024
 SAMPLE_PER_PART = 128     # sampled vectors per part (at least MIN_SAMPLE, at most MAX_SAMPLE in all)
 MIN_SAMPLE, MAX_SAMPLE = 4096, 32_768
@@ -33,10 +35,8 @@ TILE_ROWS, TILE_QUERIES = 4096, 512
 
 
 def parts_for(rows: int) -> int:
-    """The power of two nearest to a 16th of the square root of the table's rows; 1 part for a small table."""
-    if rows < SMALL_TABLE:
-        return 1
-    return min(MAX_PARTS, 1 << max(1, round(math.log2(math.sqrt(rows) / 16))))
+    """The power of two nearest to a 16th of the square root of the table's rows, 2 at least."""
+    return min(MAX_PARTS, 1 << max(1, round(math.log2(math.sqrt(max(rows, 1)) / 16))))
 
 
 def usable(vector: Column) -> Column:
@@ -45,16 +45,22 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
-def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
-    """The ``k`` rows of largest inner product of each row, itself excepted."""
-    out = np.empty((len(x), min(k, len(x) - 1)), np.int64)
-    for i in range(0, len(x), 1024):
-        s = x[i:i + 1024] @ x.T
-        s[np.arange(len(s)), np.arange(i, i + len(s))] = -np.inf
+def nearest_rows(x: np.ndarray, asked: np.ndarray, k: int) -> np.ndarray:
+    """The ``k`` rows of ``x`` of largest inner product with each of the rows ``asked``, itself excepted."""
+    out = np.empty((len(asked), min(k, len(x) - 1)), np.int64)
+    for i in range(0, len(asked), 1024):
+        own = asked[i:i + 1024]
+        s = x[own] @ x.T
+        s[np.arange(len(s)), own] = -np.inf
         out[i:i + 1024] = np.argpartition(-s, out.shape[1] - 1, axis=1)[:, :out.shape[1]]
     return out
 
 
+def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
+    """The ``k`` rows of largest inner product of each row, itself excepted."""
+    return nearest_rows(x, np.arange(len(x)), k)
+
+
 def balanced_cut(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 6) -> np.ndarray:
     """Part of each row: halves along principal directions, then moves to the part that holds most neighbours."""
     part = np.zeros(len(x), np.int64)
@@ -94,23 +100,39 @@ def balanced_cut(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 6)
 
 
 class Router:
-    """Logistic regression from a vector to its part, and the number of parts to probe."""
+    """Logistic regression from a vector to its part, and the probability of the parts that a query is asked in."""
 
-    def __init__(self, weights: np.ndarray, bias: np.ndarray, scale: float, probes: int):
-        self.weights, self.bias, self.scale, self.probes = weights, bias, scale, probes
+    def __init__(self, weights: np.ndarray, bias: np.ndarray, scale: float, mass: float = 0.0):
+        self.weights, self.bias, self.scale, self.mass = weights, bias, scale, mass
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         return (x * self.scale) @ self.weights + self.bias
 
-    def ranked(self, x: np.ndarray, probes: int | None = None) -> np.ndarray:
-        return np.argsort(-self.logits(x), axis=1, kind="stable")[:, :probes or self.probes]
+    def home(self, x: np.ndarray) -> np.ndarray:
+        return self.logits(x).argmax(axis=1)
+
+    def ranked(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The parts of each row, most probable first, and the probability of all that come before each."""
+        s = self.logits(x)
+        order = np.argsort(-s, axis=1, kind="stable")
+        p = np.exp(np.take_along_axis(s, order, axis=1) - s.max(axis=1, keepdims=True))
+        before = np.cumsum(p, axis=1) - p
+        return order, before / p.sum(axis=1, keepdims=True)
+
+    def probed(self, x: np.ndarray, sizes: np.ndarray, least: int, probes: int | None = None):
+        """The parts of each row and which of them it is asked in: up to ``mass`` (or ``probes`` of them), and on until
+        they hold ``least`` rows (all parts, if they hold fewer)."""
+        order, before = self.ranked(x)
+        held = sizes[order]
+        ask = np.arange(order.shape[1]) < probes if probes else before <= self.mass
+        return order, ask | (np.cumsum(held, axis=1) - held < least)
 
 
 def fit(x: np.ndarray, parts: int, k: int, seed: int = 11, epochs: int = 30) -> Router:
-    """Cut the sample's neighbour graph, learn the classifier from soft targets, choose the probes."""
+    """Cut the sample's neighbour graph, learn the classifier from soft targets, choose ``mass`` on rows left out."""
     d = x.shape[1]
     if parts == 1:
-        return Router(np.zeros((d, 1)), np.zeros(1), 1.0, 1)
+        return Router(np.zeros((d, 1)), np.zeros(1), 1.0)
     graph = neighbour_graph(x, GRAPH)
     part = balanced_cut(x, graph, parts)
     target = np.zeros((len(x), parts))
@@ -119,12 +141,14 @@ def fit(x: np.ndarray, parts: int, k: int, seed: int = 11, epochs: int = 30) ->
     target /= target.sum(axis=1, keepdims=True)
     scale = math.sqrt(d) / max(1e-12, float(np.sqrt((x * x).sum(axis=1)).mean()))
     rng = np.random.default_rng(seed)
+    shuffled = rng.permutation(len(x))
+    asked, learned = np.split(shuffled, [min(1000, len(x) // 5)])
     w, b = np.zeros((d, parts)), np.zeros(parts)
     state = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(b), np.zeros_like(b)]
     step = 0
     for _ in range(epochs):
-        order = rng.permutation(len(x))
-        for i in range(0, len(x), 256):
+        order = rng.permutation(learned)
+        for i in range(0, len(order), 256):
             own = order[i:i + 256]
             z = x[own] * scale
             s = z @ w + b
@@ -136,14 +160,12 @@ def fit(x: np.ndarray, parts: int, k: int, seed: int = 11, epochs: int = 30) ->
                 m += 0.1 * (g - m)
                 q += 0.01 * (g * g - q)
                 v -= 0.02 * (m / (1 - 0.9 ** step)) / (np.sqrt(q / (1 - 0.99 ** step)) + 1e-8)
-    router = Router(w, b, scale, 1)
-    home = router.ranked(x, 1)[:, 0]
-    asked = rng.permutation(len(x))[:1000]
-    near = neighbour_graph(x, k)[asked]
-    places = router.ranked(x[asked], parts)
-    found = (home[near][:, :, None] == places[:, None, :]).argmax(axis=2)  # the probe that reaches each neighbour
-    share = np.cumsum(np.bincount(found.ravel(), minlength=parts)) / found.size
-    router.probes = int(np.searchsorted(share, RECALL) + 1)
+    router = Router(w, b, scale)
+    home = router.home(x)
+    near = nearest_rows(x, asked, k)
+    order, before = router.ranked(x[asked])
+    found = (home[near][:, :, None] == order[:, None, :]).argmax(axis=2)  # the probe that reaches each neighbour
+    router.mass = float(np.quantile(np.take_along_axis(before, found, axis=1), RECALL, method="higher"))
     return router
 
 
@@ -192,26 +214,33 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
               .limit(2 * MAX_SAMPLE).toPandas().sort_values("id"))
     router = fit(np.array(sample["v"].tolist(), np.float64).reshape(len(sample), d), parts if len(sample) > 4 * parts
                  else 1, k)
-    router.probes = probes or router.probes
+    parts = len(router.bias)
+
+    def vectors_of(batch):
+        return batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
 
     def place(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
-            best = router.ranked(x)
-            ids = batch.column(0).to_numpy()
-            offsets = pa.array(np.arange(len(x) + 1) * best.shape[1], pa.int32())
-            probed = pa.ListArray.from_arrays(offsets, pa.array(best.ravel().astype(np.int32)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(best[:, 0].astype(np.int32)),
-                 pc_if(ids % every == 0, probed)], names=["id", "v", "part", "probed"])
-
-    def pc_if(mask, lists):
-        return pa.array([x if m else None for m, x in zip(mask.tolist(), lists.to_pylist())], pa.list_(pa.int32()))
-
-    placed = saved(rows.mapInArrow(place, "id long, v array<double>, part int, probed array<int>"), "placed")
-    asked = placed.filter("probed is not null").select("id", "v", F.explode("probed").alias("part"))
+            if batch.num_rows:
+                home = router.home(vectors_of(batch)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home)], names=["id", "v", "part"])
+
+    placed = saved(rows.select("id", "v").mapInArrow(place, "id long, v array<double>, part int"), "placed")
+    sizes = np.zeros(parts, np.int64)
+    for r in placed.groupBy("part").count().collect():  # at most MAX_PARTS numbers
+        sizes[r["part"]] = r["count"]
+
+    def route(batches):
+        for batch in batches:
+            if batch.num_rows:
+                order, ask = router.probed(vectors_of(batch), sizes, k + 1, probes)
+                offsets = np.concatenate([[0], np.cumsum(ask.sum(axis=1))]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(order[ask].astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), lists], names=["id", "v", "probed"])
+
+    asked = saved(placed.filter(F.col("id") % every == 0).select("id", "v")
+                  .mapInArrow(route, "id long, v array<double>, probed array<int>"), "asked")
+    asked = asked.select("id", "v", F.explode("probed").alias("part"))
     # At most MAX_PARTS rows, counted with a combine on the map side.
     blocks = (placed.groupBy("part").agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("rb"))
               .join(asked.groupBy("part").agg(F.ceil(F.count("*") / TILE_QUERIES).cast("int").alias("qb")), "part"))
