@@ -31,7 +31,8 @@ MIN_SAMPLE, MAX_SAMPLE = 4096, 32_768
 GRAPH = 10                # neighbours of a vector in the graph
 SLACK = 1.1               # a part holds at most this many times its even share of the sample
 RECALL = 0.95             # share of the sample's neighbours that the probed parts must hold
-TILE_ROWS, TILE_QUERIES = 4096, 512
+TILE_ROWS, TILE_QUERIES = 4096, 4096
+TILE_SCORES = 512         # queries of a tile that are scored at a time
 
 
 def parts_for(rows: int) -> int:
@@ -257,8 +258,11 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64),
                                  "score": np.empty(0)})
-        out = _best(left["ask_id"].to_numpy(), right["id"].to_numpy(), np.stack(left["ask_v"].to_numpy()),
-                    np.stack(right["v"].to_numpy()), k)
+        ids, asked = left["ask_id"].to_numpy(), np.stack(left["ask_v"].to_numpy())
+        row_ids, held = right["id"].to_numpy(), np.stack(right["v"].to_numpy())
+        best = [_best(ids[a:a + TILE_SCORES], row_ids, asked[a:a + TILE_SCORES], held, k)
+                for a in range(0, len(ids), TILE_SCORES)]
+        out = [np.concatenate(c) for c in zip(*best)]
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), out)))
 
     found = (ask.groupBy("ask_part", "ask_r", "ask_q").cogroup(own.groupBy("part", "r", "q"))
