@@ -1,4 +1,9 @@
+import math
+import random
+import re
+import string
 import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -100,3 +105,111 @@ def test_no_python_in_the_plans(spark):
     for df in (sf.findings(docs), sf.redacted(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def words_of(texts):
+    """Counts of the words that stand alone, by Python."""
+    found = Counter()
+    for text in texts:
+        for token in re.split(r"[ \t\n\x0b\f\r]+", text or ""):
+            m = re.fullmatch("[^a-z0-9]*([a-z]{2,})[^a-z0-9]*", token.lower())
+            if m and len(token) > 1:
+                found[m[1]] += 1
+    return found
+
+
+def brute_candidates(text):
+    """(place, run, found) of a text without quoting marks, by Python."""
+    out = []
+    words = re.split(r"[ \t\n\x0b\f\r]+", text or "")
+    for place, word in enumerate(words):
+        before = " ".join(words[k] if k >= 0 else "" for k in (place - 3, place - 2, place - 1))
+        pieces = re.findall(f"[{sf.KEY_CHARS}]+|[^{sf.KEY_CHARS}]+", word)
+        for run, piece in enumerate(pieces):
+            if len(piece) < 8 or not re.match(f"[{sf.KEY_CHARS}]", piece):
+                continue
+            lead, trail = "".join(pieces[max(run - 2, 0):run]), "".join(pieces[run + 1:run + 2])
+            assigns = run + 2 < len(pieces) and re.search(r"^={1,2}>?[\\\"'`(\[{<]*$", trail)
+            found = piece + ("" if assigns else re.match("={0,2}", trail)[0])
+            credential = re.compile(f"(?i)(?:{sf.CREDENTIAL})")
+            near = re.search(sf.NEAR, before)
+            inside = re.search(rf"(?i)(?:{sf.CREDENTIAL})[\w-]*[\"']?[:=]", word, re.ASCII)
+            name = (credential.search(found) and re.search(r"^[\\\"'`\])]*[:=]", trail)
+                    and not re.search(rf"[:=][^{sf.KEY_CHARS}]*$", lead))
+            if (re.search("[0-9]", found) and len(found) >= 12) or near or (inside and not name):
+                out.append((place, run, found))
+    return out
+
+
+def test_candidates_words_and_transitions_by_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    rows += [(100_000 + i, t) for i, (t, _) in JOINED.items()]
+    rows += [(200_000, None), (200_001, ""), (200_002, "w " * 40_000 + f"api_key = {HEX}"),
+             (200_003, "firstWord second_word9 Words, (words) words. WORDS wordsWords1234")]
+    docs = frame(spark, rows)
+    found = sf.candidates(docs)
+    got = sorted((r.id, r.place, r.run, r.found) for r in found.collect())
+    assert got == sorted((i, *x) for i, t in rows for x in brute_candidates(t)) and len(got) > 50
+
+    known, counted = sf.corpus(docs), words_of(t for _, t in rows)
+    total = sum(counted.values())
+    dictionary = {w for w, n in counted.items() if n >= sf.WORD_SHARE * total and 3 <= len(w) <= 15}
+    assert sorted(r.word for r in known.words.collect()) == sorted(dictionary) and "words" in dictionary
+    pairs = Counter()
+    for w, n in counted.items():
+        for a, b in zip("#" + w, w + "#"):
+            pairs[a, b] += n
+
+    def odds(a, b):
+        seen = sum(pairs[a, x] for x in sf.STATES)
+        share = pairs[a, b] / seen if seen else 1 / len(sf.STATES)
+        return math.log2((1 - sf.UNSEEN) * share + sf.UNSEEN / len(sf.STATES))
+
+    for r in sf.with_features(found, known).collect():
+        plain = re.sub("[^a-z0]", "#", re.sub("[0-9]", "0", r.found.lower()))
+        path = list(zip("#" + plain, plain + "#"))
+        assert math.isclose(r.transition, sum(odds(*x) for x in path) / len(path), rel_tol=1e-9)
+        parts = re.findall("[A-Za-z]+", re.sub("([a-z])([A-Z])", r"\1 \2", r.found))
+        assert math.isclose(r.dictionary, sum(len(p) for p in parts if p.lower() in dictionary) / len(r.found), abs_tol=1e-12)
+        assert r.length == len(r.found) and math.isclose(r.digits, sum(c.isdigit() for c in r.found) / len(r.found))
+
+
+def planted(seed, n):
+    """(text, value, label) by construction, not by the module's rule: issued keys and passwords; ordinary long words."""
+    rng = random.Random(seed)
+
+    def of(chars, low, high):
+        return "".join(rng.choice(chars) for _ in range(rng.randint(low, high)))
+
+    hexes, mixed, lower = "0123456789abcdef", string.ascii_letters + string.digits, string.ascii_lowercase
+    out = []
+    for i in range(n):
+        word = rng.choice(["report", "harbor", "number", "winter", "letter"])
+        if i % 2:
+            value = rng.choice([of(hexes, 30, 64), of(mixed, 24, 44), "sk_live_" + of(mixed, 24, 24),
+                                of(mixed, 8, 8) + "7-" + of(mixed, 12, 16)])
+            text = rng.choice(['{w} api_key = "{v}" and', "export MY_SECRET={v} then", '{{"password":"{v}","n":3}}',
+                               "auth_token: {v} {w}", "{w} credential = '{v}';",
+                               "get https://api.example.org/{w}?access_key={v}&n=2 now", "pwd := {v} {w}"])
+        else:
+            value = rng.choice([of("123456789", 1, 2) + ".14." + of("0123456789", 2, 3) + "-build.2024",
+                                f"{word}-{word}-2024-{of('123456789', 2, 3)}-edition", f"{of('0123456789', 13, 17)}",
+                                f"{of(lower, 3, 9)}.{of('0123456789', 2, 2)}@mail.example.org",
+                                f"docs/{word}/chapter_{of('123456789', 2, 2)}.html", f"{word}_{word}_field_{of('123456789', 2, 2)}"])
+            text = rng.choice(["see {v} in the {w}", "the {w} is {v} now", "{w} from {v} and more", "read {v} again"])
+        out.append((text.format(v=value, w=word), value, i % 2))
+    return out
+
+
+def test_planted_findings_of_held_out_rows(spark):
+    base = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").collect()]
+    held = [i for i in range(10 ** 6, 10 ** 6 + 4000) if zlib.crc32(str(i).encode()) % 5 == 0][:600]
+    plants = dict(zip(held, planted(5, len(held))))
+    docs = frame(spark, base + [(i, t) for i, (t, _, _) in plants.items()])
+    got = {(r.doc_id, r.found): r.is_secret for r in sf.findings(docs).filter("doc_id >= 1000000").collect()}
+    kinds = {0: [], 1: []}
+    for i, (_, value, label) in plants.items():
+        kinds[label].append(got.get((i, value), False) == bool(label))
+    shares = {k: sum(v) / len(v) for k, v in kinds.items()}
+    print("planted findings, share right by label:", shares)
+    assert shares[1] >= 0.95 and shares[0] >= 0.95
