@@ -29,8 +29,16 @@ def fan_out(*routes: tuple[Column, Sink]) -> Sink:
 
 
 def quarantine(good: Sink, rejects: Sink, error_col: str = "error", evidence: tuple[str, ...] = ("raw",)) -> Sink:
-    """Rows without an error go to ``good`` without the columns that only explain one; the others go whole to ``rejects``."""
+    """Rows without an error go to ``good`` without the columns that only explain one; the others go whole to ``rejects``.
+
+    The batch that is kept for both holds the evidence of rejected rows alone.
+    """
     def pass_on(batch: DataFrame, batch_id: int) -> None:
         good(batch.drop(error_col, *evidence), batch_id)
 
-    return fan_out((F.col(error_col).isNull(), pass_on), (F.col(error_col).isNotNull(), rejects))
+    routes = fan_out((F.col(error_col).isNull(), pass_on), (F.col(error_col).isNotNull(), rejects))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        shown = {c: F.when(F.col(error_col).isNotNull(), F.col(c)) for c in evidence if c in batch.columns}
+        routes(batch.withColumns(shown) if shown else batch, batch_id)
+    return sink

@@ -76,6 +76,27 @@ def test_quarantine_leaves_each_row_once(spark):
     assert [(r.msg_no, r.error, bytes(r.raw), r.batch_id) for r in bad] == [(2, "bad", b"b", 0)]
 
 
+def test_quarantine_keeps_the_evidence_of_rejects_alone(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr("flowdex.streaming.quarantine.fan_out", lambda *routes: lambda batch, i: held.extend(batch.collect()))
+    rows = spark.createDataFrame([(1, None, b"a"), (2, "bad", b"b")], "msg_no int, error string, raw binary")
+    quarantine(None, None)(rows, 0)
+    assert [(r.msg_no, r.error, r.raw) for r in held] == [(1, None, None), (2, "bad", b"b")]
+
+
+def test_a_drop_is_read_in_small_splits(spark):
+    key, drop = "spark.sql.files.maxPartitionBytes", work_dir(spark, "splits")
+    spark.createDataFrame([], mail.RAW_MAIL_SCHEMA).write.parquet(drop)
+    old = spark.conf.get(key)
+    try:
+        for given, used in (("134217728b", str(32 << 20)), ("1000", "1000")):
+            spark.conf.set(key, given)
+            mail.read_mail_drop(spark, drop)
+            assert spark.conf.get(key) == used
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_a_stream_goes_on_after_bad_mail(spark):
     base = work_dir(spark, "bad_mail_stream")
     good = b"From: a@x.example\nSubject: s\n\nbody"
