@@ -290,7 +290,7 @@ def mail_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A drop polled by messages, whatever files they came in; every message in one poll."""
     base = work_dir(spark, "mail_polls")
     raw = tables.raw_mail(tables.table(spark, sf_dir, "documents"), tables.table(spark, sf_dir, "pages"))
-    raw.write.parquet(f"{base}/drop")
+    raw.write.option("parquet.block.size", str(4 << 20)).parquet(f"{base}/drop")  # a poll takes few row groups
     polls = mailbox.read_mail_polls(spark, f"{base}/drop", f"{base}/progress", per_poll=POLL, per_partition=250)
     sink = batch_sink(f"{base}/out")
     query = (polls.writeStream.foreachBatch(lambda df, batch_id: sink(df.select("msg_no"), batch_id))

@@ -6,6 +6,8 @@ import os
 import random
 import re
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -38,6 +40,27 @@ def test_bad_headers_and_charsets(spark):
     assert [r["error"] for r in got] == [None] * 7 + [mail.NULL_MESSAGE, mail.EMPTY_MESSAGE, mail.BROKEN_MULTIPART, None]
 
 
+def test_mail_comes_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key, None)
+    spark.conf.unset(key)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    raw = spark.range(0, 2000, 1, 1).selectExpr("id as msg_no", "'f' as folder", "cast(repeat('x', 20000) as binary) as raw")
+    try:
+        emails = mail.check_mail(raw)
+        assert max(r.n for r in raw.mapInArrow(sizes, "n long").collect()) < 8 << 20
+        assert emails.where("length(content[0].content) = 20000").count() == 2000
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def test_no_bytes_stop_the_parser():
     rng = random.Random(11)
     words = [b"From:", b"Subject:", b"=?utf-8?B?", b"?=", b"Content-Type: multipart/mixed; boundary=", b"Content-Type: text/html; charset=",
@@ -232,3 +255,15 @@ def test_polls_are_bounded_in_messages(spark):
     run(9)  # nothing was open: the next poll begins where the last one ended
     assert [len(polls[i]) for i in sorted(polls)] == [10, 10, 5, 10, 2]
     assert sorted(m for p in polls.values() for m in p) == list(range(37))
+
+
+def test_a_poll_reads_a_row_group_once(tmp_path):
+    schema = pa.schema([("msg_no", pa.int64()), ("folder", pa.string()), ("raw", pa.binary())])
+    for name, size in (("a", 100), ("b", 7)):
+        table = pa.table([range(100), ["f"] * 100, [b"x"] * 100], schema=schema)
+        pq.write_table(table, tmp_path / f"{name}.parquet", row_group_size=size)
+        os.utime(tmp_path / f"{name}.parquet", (1, 1))
+    reader = box._DropReader({"path": str(tmp_path), "progress": str(tmp_path / "p" / "progress"), "perPartition": "20"})
+    plan = reader.partitions({"messages": 30}, {"messages": 160})
+    assert [p.value[1:] for p in plan] == [(30, 100), (0, 14), (14, 28), (28, 42), (42, 60)]
+    assert [[m for b in reader.read(p) for m in b["msg_no"].to_pylist()] for p in plan] == [list(range(*p.value[1:])) for p in plan]
