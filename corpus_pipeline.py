@@ -14,7 +14,8 @@ from flowdex.llm.common import saved, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can't be told go; the model is learned from the labelled documents of this input."""
+    """Documents whose language can't be told go, those without a label get one; the model is learned from the labelled
+    documents of this input."""
     return language_crf.identified(docs)
 
 

@@ -18,8 +18,10 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowdex.llm.common import table, text_batches, values
 
@@ -37,6 +39,7 @@ EPOCHS, BATCH, RATE, DECAY = 2, 256, 0.3, 1e-5
 SPLICED = 0.3             # share of learning chains joined from two languages, for transitions between languages
 WORD_CACHE = 150_000      # words whose scores a task keeps; the cache restarts beyond it
 GROUP_WORDS = 60_000      # words scored at a time
+LEAST = 0.2               # certainty from which the language of a text is told
 
 
 def _other_numbers() -> str:
@@ -413,26 +416,41 @@ def label_words(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
             .withColumnRenamed("id", id_col))
 
 
-def identified(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text",
-               lang_col: str = "lang") -> DataFrame:
-    """``docs`` without rows whose language can't be told (null, or without a letter), columns as they were.
+def certainty(prob: np.ndarray) -> float:
+    """How surely the words of a text are told: their mean largest probability, 0 where all languages are alike, 1 at most.
+
+    A text in several languages is sure where each of its words is.
+    """
+    chance = 1 / prob.shape[1]
+    return 1.0 if chance == 1 else max(0.0, float((prob.max(axis=1).mean(dtype=np.float64) - chance) / (1 - chance)))
 
-    A text in several languages has a low score for each and stays; ``least`` asks for a score all the same.  Where no
-    row is labelled nothing can be judged: every text with a letter stays.
 
-    Predictions carry each row along, so repeated ids don't matter.
+def identified(docs: DataFrame, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text",
+               lang_col: str = "lang") -> DataFrame:
+    """``docs`` without rows whose language can't be told: null, without a letter, or of words with a ``certainty`` under
+    ``least``.  A row without a label gets the predicted one; all other values are as they were.
+
+    Where no row is labelled nothing can be judged: every text with a letter stays, without a label.  Predictions carry
+    each row along, so repeated ids don't matter.
     """
     model = learn(docs, id_col, text_col, lang_col)
+    fills = isinstance(docs.schema[lang_col].dataType, T.StringType)
 
     def run(batches):
         label = Labeller(model)
         for batch in batches:
-            keep = []
+            keep, names = [], []
+            at = batch.schema.get_field_index(lang_col)
             for group in _groups(values(batch.column(batch.schema.get_field_index(text_col)))):
                 if not model.langs:
                     keep += [len(words) > 0 for words in group]
                     continue
-                keep += [len(p) > 0 and bool(p.mean(axis=0, dtype=np.float64).max() >= least) for p in label(group)]
+                for p in label(group):
+                    keep.append(len(p) > 0 and certainty(p) >= least)
+                    names.append(model.langs[int(p.mean(axis=0, dtype=np.float64).argmax())] if len(p) else None)
+            if model.langs and fills:
+                told = pc.coalesce(batch.column(at), pa.array(names, batch.schema.field(at).type))
+                batch = pa.RecordBatch.from_arrays([told if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return text_batches(docs).mapInArrow(run, docs.schema)

@@ -113,3 +113,14 @@ def test_letters_and_long_words():
     run = "\u0e01\u0e02\u0e04" * 30
     assert "".join(lc.words_of(run)) == run and max(map(len, lc.words_of(run))) <= lc.LONGEST
     assert lc.words_of(None) == lc.words_of("") == []
+
+
+def test_what_the_model_says_counts(spark):
+    rows = [(i, (EN if i % 2 else FR) * 3, "en" if i % 2 else "fr") for i in range(40)]
+    rows += [(100, EN, None), (101, FR, None), (102, EN + FR, None), (103, FR, "en"), (104, "12", None)]
+    rows += [(105, "\u0436\u0449\u0444 \u044d\u044e\u0439 \u0446\u0447\u0431", None)]  # letters of neither language
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang for r in lc.identified(docs).collect()}
+    assert set(got) == set(range(40)) | {100, 101, 102, 103}
+    assert got[100] == "en" and got[101] == "fr" and got[102] in ("en", "fr") and got[103] == "en"
+    assert 105 in {r.doc_id for r in lc.identified(docs, least=0.0).collect()}
