@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+from array import array
 from itertools import chain, combinations, groupby
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowdex.llm.common import BROADCAST_ROWS, Hashes, saved, small, table, text_batches, values
+from flowdex.llm.common import BROADCAST_ROWS, saved, small, table, text_batches, values
 from flowdex.llm.graph import connected_components
 
 # Bytes of lower-case UTF-8: ASCII marks and white space other than line feeds become spaces, digits 0.
@@ -82,19 +83,40 @@ def line_key(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
 
+class WordNumbers(dict):
+    """Words numbered as they come, with their 64-bit hashes; ``bounded`` restarts it when it has grown too large."""
+
+    def __init__(self):
+        super().__init__()
+        self.hashes = array("Q")
+
+    def __missing__(self, word):
+        number = self[word] = len(self.hashes)
+        self.hashes.append(xxhash.xxh3_64_intdigest(word))
+        return number
+
+    def bounded(self, most: int) -> "WordNumbers":
+        if len(self) > most:
+            self.clear()
+            self.hashes = array("Q")
+        return self
+
+
 class SimHasher:
     def __init__(self):
-        self.cache = Hashes()
+        self.cache = WordNumbers()
 
     def __call__(self, lines: list[list[bytes]]) -> np.ndarray:
         """SimHashes of lines given as non-empty lists of words.
 
         Each distinct word of a line counts once: else the most frequent words would make long lines alike.
         """
-        lines = list(map(set, lines))
-        words = list(chain.from_iterable(lines))
-        h = np.fromiter(map(self.cache.bounded(WORD_CACHE).__getitem__, words), np.uint64, len(words))
         sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+        numbers = np.fromiter(map(self.cache.bounded(WORD_CACHE).__getitem__, chain.from_iterable(lines)), np.int64, sizes.sum())
+        words = np.sort(np.repeat(np.arange(len(lines)) << 32, sizes) | numbers)
+        words = words[np.flatnonzero(np.diff(words, prepend=-1))]
+        sizes = np.bincount(words >> 32, minlength=len(lines))
+        h = np.frombuffer(self.cache.hashes, np.uint64)[words & 0xFFFFFFFF]
         # Eight one-byte counters are added as one number, so a longer line is counted in slices of 255 words.
         slices = -(-sizes // 255)
         first = np.cumsum(slices) - slices

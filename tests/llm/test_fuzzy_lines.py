@@ -1,6 +1,7 @@
 import itertools
 
 import numpy as np
+import xxhash
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -103,3 +104,17 @@ def test_other_texts_of_one_id_keep_their_lines(spark):
     assert out.columns == docs.columns
     got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
     assert got == sorted([(1, a), (2, ""), (2, b), (None, ""), (None, "a line of its own"), (3, None)], key=str)
+
+
+def test_simhash_of_distinct_words(monkeypatch):
+    rng = np.random.default_rng(3)
+    lines = [[b"w%d" % k for k in rng.integers(0, 40 * n, n)] * 2 for n in (1, 2, 7, 130, 255, 256, 600)]
+    want = []
+    for line in lines:
+        hashes = [xxhash.xxh3_64_intdigest(w) for w in set(line)]
+        ones = [sum(h.to_bytes(8, "little")[k // 8] >> (7 - k % 8) & 1 for h in hashes) for k in range(64)]
+        want.append(np.packbits([c > len(hashes) // 2 for c in ones]).view(np.int64)[0])
+    monkeypatch.setattr(fl, "WORD_CACHE", 100)
+    hasher = fl.SimHasher()
+    assert all(hasher(lines).tolist() == want for _ in range(3)) and [hasher([x])[0] for x in lines] == want
+    assert len(hasher.cache) == len(hasher.cache.hashes) < 1500
